@@ -35,7 +35,7 @@ def with_previous(
     order = [ts, *tiebreak]
     hot = (
         df.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.count("*").alias("_n"))
         .where(F.col("_n") > hot_rows)
         .select(F.col(key).alias("_key"), F.lit(True).alias("_hot"))
     )

@@ -91,7 +91,7 @@ def user_profile(df: DataFrame, key: str, ts: str, as_of: AsOf = None, history:
         .where(F.col(ts) <= as_of_bound(df, ts, as_of))
         .groupBy(key, F.to_date(ts).alias("login_date"))
         .agg(
-            F.count(F.lit(1)).alias("logins"),
+            F.count("*").alias("logins"),
             F.count_distinct("source_ip").alias("ips"),
             F.count_distinct("country").alias("countries"),
             F.avg(hour).alias("hour_mean"),

@@ -31,7 +31,7 @@ def user_features(
 
     After hours means 22 to 6 across midnight.
     """
-    hour, n = F.hour(ts), F.count(F.lit(1))
+    hour, n = F.hour(ts), F.count("*")
     return (
         df.where(trailing(df, ts, as_of, history))
         .groupBy(key)
@@ -76,7 +76,7 @@ def cluster_outliers(clustered: DataFrame, size_factor: float = 2.0) -> DataFram
     """
     sizes = (
         clustered.groupBy("prediction")
-        .agg(F.count(F.lit(1)).alias("cluster_size"))
+        .agg(F.count("*").alias("cluster_size"))
         .withColumn("_least", F.min("cluster_size").over(W.partitionBy()))
         .where(F.col("cluster_size") <= F.col("_least") * F.lit(size_factor))
         .drop("_least")

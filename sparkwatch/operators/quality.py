@@ -55,7 +55,7 @@ def expect(
     ``total_rows`` and ``failed_<rule>`` on the returned observation, or on a
     stream in its progress under ``name``.
     """
-    metrics = [F.count(F.lit(1)).alias("total_rows")]
+    metrics = [F.count("*").alias("total_rows")]
     metrics += [F.count_if(~_holds(r)).alias(f"failed_{k}") for k, r in rules.items()]
     handle: Observation | str = name if df.isStreaming else Observation()
     out = df.observe(handle, *metrics)
@@ -81,7 +81,7 @@ def quarantine(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
 def expectation_counts(df: DataFrame, rules: Mapping[str, str], table: str) -> DataFrame:
     """One row per rule with passed and failed counts, from a single scan."""
     counted = df.agg(
-        F.count(F.lit(1)).alias("total"),
+        F.count("*").alias("total"),
         *[F.count_if(~_holds(r)).alias(k) for k, r in rules.items()],
     )
     pairs = [F.struct(F.lit(k).alias("rule"), F.col(k).alias("failed")) for k in rules]
@@ -96,7 +96,7 @@ def expectation_counts(df: DataFrame, rules: Mapping[str, str], table: str) -> D
 def null_rates(df: DataFrame, columns: Sequence[str], table: str, limit_pct: float = 5.0) -> DataFrame:
     """V-05: missing values per column; a column passes below ``limit_pct``."""
     counted = df.agg(
-        F.count(F.lit(1)).alias("total"),
+        F.count("*").alias("total"),
         *[F.count_if(F.col(c).isNull()).alias(c) for c in columns],
     )
     pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("null_count")) for c in columns]

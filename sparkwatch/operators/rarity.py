@@ -36,13 +36,13 @@ def rarity(
         df.where(F.col(item).isNotNull())
         .where(trailing(df, ts, as_of, history))
         .groupBy(item)
-        .agg(F.count(F.lit(1)).alias("historical_count"))
+        .agg(F.count("*").alias("historical_count"))
     )
     n = F.col("historical_count")
     fewer = W.orderBy("_level").rowsBetween(W.unboundedPreceding, -1)
     ranks = (
         counts.groupBy(F.least(n, F.lit(rare + 1)).alias("_level"))
-        .agg(F.count(F.lit(1)).alias("_items"))
+        .agg(F.count("*").alias("_items"))
         .withColumn("_below", F.coalesce(F.sum("_items").over(fewer), F.lit(0)))
         .withColumn("_all", F.sum("_items").over(W.partitionBy()))
         .where(F.col("_level") <= rare)
@@ -75,7 +75,7 @@ def rarity_table(df: DataFrame, item: str, ts: str, *, as_of: AsOf = None, histo
         df.where(trailing(df, ts, as_of, history))
         .groupBy(item)
         .agg(
-            F.count(F.lit(1)).alias("execution_count"),
+            F.count("*").alias("execution_count"),
             F.count_distinct("host").alias("host_count"),
             F.count_distinct("user").alias("user_count"),
             F.min(ts).alias("first_seen"),

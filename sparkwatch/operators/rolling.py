@@ -28,7 +28,7 @@ def rolling_zscore(
     """
     extra = dict(extra or {})
     series = df.groupBy(*by, trunc_like(df, ts, bucket).alias("time_bucket")).agg(
-        F.count(F.lit(1)).alias("event_count"), *[c.alias(k) for k, c in extra.items()]
+        F.count("*").alias("event_count"), *[c.alias(k) for k, c in extra.items()]
     )
     if dense:
         kind = dict(series.dtypes)["time_bucket"]

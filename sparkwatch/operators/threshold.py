@@ -52,7 +52,7 @@ def threshold(
         raise ValueError(f"unknown mode {mode!r}")
 
     aggs = [
-        F.count(F.lit(1)).alias(count_as),
+        F.count("*").alias(count_as),
         F.min(ts).alias(first_as),
         F.max(ts).alias(last_as),
     ]

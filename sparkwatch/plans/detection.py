@@ -22,7 +22,7 @@ class DetectionRun:
 
     def summary(self) -> DataFrame:
         """Alerts per rule."""
-        return self.alerts.groupBy("detection_rule").agg(F.count(F.lit(1)).alias("alert_count"))
+        return self.alerts.groupBy("detection_rule").agg(F.count("*").alias("alert_count"))
 
 
 def _signatures(df: DataFrame, rules: Sequence[Rule], as_of: AsOf) -> DataFrame:
@@ -91,7 +91,7 @@ def validate_rules(
     parts = [
         known[name]
         .hits(df, as_of)
-        .agg(F.count(F.lit(1)).alias("found"))
+        .agg(F.count("*").alias("found"))
         .select(
             F.lit(name).alias("rule"),
             F.lit(least).cast("long").alias("expected"),

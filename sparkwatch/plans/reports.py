@@ -16,7 +16,6 @@ from sparkwatch.functions.severity import SEVERITIES, severity_rank, worst_sever
 from sparkwatch.functions.times import AsOf, as_of_bound, minutes_between, percent, trailing, trunc_like
 from sparkwatch.operators.silver import ACTORS
 
-N = F.lit(1)
 
 
 def _is(column: str, value: str) -> Column:
@@ -39,12 +38,12 @@ def _tp_rate() -> Column:
 
 def count_by_severity(alerts: DataFrame) -> DataFrame:
     """K-01 by severity only."""
-    return alerts.groupBy("severity").agg(F.count(N).alias("alert_count"))
+    return alerts.groupBy("severity").agg(F.count("*").alias("alert_count"))
 
 
 def count_by_severity_rule(alerts: DataFrame) -> DataFrame:
     """K-01"""
-    return alerts.groupBy("severity", "detection_rule").agg(F.count(N).alias("alert_count"))
+    return alerts.groupBy("severity", "detection_rule").agg(F.count("*").alias("alert_count"))
 
 
 def new_alert_rollup(alerts: DataFrame) -> DataFrame:
@@ -53,7 +52,7 @@ def new_alert_rollup(alerts: DataFrame) -> DataFrame:
         alerts.where(F.col("status") == "NEW")
         .groupBy("severity")
         .agg(
-            F.count(N).alias("alert_count"),
+            F.count("*").alias("alert_count"),
             F.count_distinct("user").alias("affected_users"),
             F.count_distinct("host").alias("affected_hosts"),
             F.count_distinct("mitre_technique").alias("unique_techniques"),
@@ -78,7 +77,7 @@ def recent_severe(alerts: DataFrame, limit: int = 25) -> DataFrame:
 def performance_24h(alerts: DataFrame, as_of: AsOf = None, within: str = "24 hours") -> DataFrame:
     """K-04"""
     return recent_alerts(alerts, as_of, within).agg(
-        F.count(N).alias("total_alerts"),
+        F.count("*").alias("total_alerts"),
         F.count_distinct("user").alias("affected_users"),
         F.count_distinct("host").alias("affected_hosts"),
         F.count_distinct("detection_rule").alias("triggered_rules"),
@@ -92,7 +91,7 @@ def performance_24h(alerts: DataFrame, as_of: AsOf = None, within: str = "24 hou
 def rule_effectiveness(alerts: DataFrame) -> DataFrame:
     """K-05"""
     return alerts.groupBy("detection_rule", "severity").agg(
-        F.count(N).alias("alert_count"),
+        F.count("*").alias("alert_count"),
         F.count_distinct("user").alias("affected_users"),
         F.min("detection_time").alias("first_detection"),
         F.max("detection_time").alias("last_detection"),
@@ -104,7 +103,7 @@ def rule_effectiveness(alerts: DataFrame) -> DataFrame:
 def summary_24h(alerts: DataFrame, as_of: AsOf = None, within: str = "24 hours") -> DataFrame:
     """K-06"""
     return recent_alerts(alerts, as_of, within).agg(
-        F.count(N).alias("total_alerts"),
+        F.count("*").alias("total_alerts"),
         *[_is("severity", s).alias(s.lower()) for s in SEVERITIES],
         F.count_distinct("user").alias("affected_users"),
         F.count_distinct("host").alias("affected_hosts"),
@@ -114,7 +113,7 @@ def summary_24h(alerts: DataFrame, as_of: AsOf = None, within: str = "24 hours")
 def hourly_series(alerts: DataFrame, as_of: AsOf = None, within: str = "7 days") -> DataFrame:
     """K-07"""
     hour = trunc_like(alerts, "detection_time", "hour").alias("hour")
-    return recent_alerts(alerts, as_of, within).groupBy(hour, "severity").agg(F.count(N).alias("alert_count"))
+    return recent_alerts(alerts, as_of, within).groupBy(hour, "severity").agg(F.count("*").alias("alert_count"))
 
 
 def top_entities(
@@ -131,7 +130,7 @@ def top_entities(
         .where(F.col(entity).isNotNull())
         .groupBy(entity)
         .agg(
-            F.count(N).alias("alert_count"),
+            F.count("*").alias("alert_count"),
             worst_severity("severity").alias("max_severity"),
             second,
             F.max("detection_time").alias("last_alert"),
@@ -146,13 +145,13 @@ def technique_coverage(alerts: DataFrame, as_of: AsOf = None, within: str = "30
     return (
         recent_alerts(alerts, as_of, within)
         .groupBy("mitre_tactic", "mitre_technique")
-        .agg(F.count(N).alias("detection_count"), worst_severity("severity").alias("max_severity"))
+        .agg(F.count("*").alias("detection_count"), worst_severity("severity").alias("max_severity"))
     )
 
 
 def status_share(alerts: DataFrame, as_of: AsOf = None, within: str = "7 days") -> DataFrame:
     """K-10, WIN-05: the window sees one row per status."""
-    counts = recent_alerts(alerts, as_of, within).groupBy("status").agg(F.count(N).alias("count"))
+    counts = recent_alerts(alerts, as_of, within).groupBy("status").agg(F.count("*").alias("count"))
     return counts.withColumn("percentage", percent(F.col("count"), F.sum("count").over(W.partitionBy())))
 
 
@@ -212,7 +211,7 @@ def rule_performance(
 def daily_volume(alerts: DataFrame, as_of: AsOf = None, within: str = "30 days") -> DataFrame:
     """K-13"""
     day = trunc_like(alerts, "detection_time", "day").alias("day")
-    return recent_alerts(alerts, as_of, within).groupBy(day, "detection_rule").agg(F.count(N).alias("alert_count"))
+    return recent_alerts(alerts, as_of, within).groupBy(day, "detection_rule").agg(F.count("*").alias("alert_count"))
 
 
 def outcome_rates(alerts: DataFrame, as_of: AsOf = None, within: str = "30 days") -> DataFrame:
@@ -225,8 +224,8 @@ def outcome_rates(alerts: DataFrame, as_of: AsOf = None, within: str = "30 days"
         .agg(
             tp.alias("true_positives"),
             fp.alias("false_positives"),
-            percent(tp, F.count(N)).alias("tp_rate"),
-            percent(fp, F.count(N)).alias("fp_rate"),
+            percent(tp, F.count("*")).alias("tp_rate"),
+            percent(fp, F.count("*")).alias("fp_rate"),
         )
     )
 
@@ -251,7 +250,7 @@ def weekly_heatmap(alerts: DataFrame, as_of: AsOf = None, within: str = "30 days
         .groupBy(
             F.dayofweek("detection_time").alias("day_of_week"), F.hour("detection_time").alias("hour_of_day")
         )
-        .agg(F.count(N).alias("alert_count"))
+        .agg(F.count("*").alias("alert_count"))
     )
 
 
@@ -285,7 +284,7 @@ def connection_analysis(network: DataFrame, as_of: AsOf = None, within: str = "2
     return (
         network.where(trailing(network, "event_time", as_of, within))
         .groupBy(*cols)
-        .agg(F.count(N).alias("connection_count"))
+        .agg(F.count("*").alias("connection_count"))
         .orderBy(F.col("connection_count").desc(), *cols)
         .limit(limit)
     )
@@ -326,7 +325,7 @@ def ingestion_volume(events: DataFrame, as_of: AsOf = None, within: str = "24 ho
         events.where(trailing(events, t, as_of, within))
         .groupBy("log_source")
         .agg(
-            F.count(N).alias("event_count"),
+            F.count("*").alias("event_count"),
             F.min(t).alias("first_processed"),
             F.max(t).alias("last_processed"),
             F.round(hours, 2).alias("hours_span"),
@@ -344,7 +343,7 @@ def ingestion_lag(events: DataFrame, as_of: AsOf = None, within: str = "1 hour")
         .agg(
             F.round(F.avg(lag), 2).alias("avg_lag_minutes"),
             F.round(F.max(lag), 2).alias("max_lag_minutes"),
-            F.count(N).alias("sample_count"),
+            F.count("*").alias("sample_count"),
         )
     )
 
@@ -355,7 +354,7 @@ def events_per_hour(events: DataFrame, as_of: AsOf = None, within: str = "7 days
     return (
         events.where(trailing(events, "processed_timestamp", as_of, within))
         .groupBy(hour, "log_source")
-        .agg(F.count(N).alias("event_count"))
+        .agg(F.count("*").alias("event_count"))
     )
 
 
@@ -366,10 +365,10 @@ def missing_fields(events: DataFrame, as_of: AsOf = None, within: str = "24 hour
         events.where(trailing(events, "processed_timestamp", as_of, within))
         .groupBy("log_source")
         .agg(
-            F.count(N).alias("total_events"),
+            F.count("*").alias("total_events"),
             lost.alias("missing_timestamp"),
             F.count_if(F.col("user").isNull()).alias("missing_user"),
-            percent(lost, F.count(N)).alias("pct_missing_timestamp"),
+            percent(lost, F.count("*")).alias("pct_missing_timestamp"),
         )
     )
 
@@ -383,7 +382,7 @@ def alert_flow(alerts: DataFrame, as_of: AsOf = None, within: str = "7 days") ->
     base = (
         recent_alerts(alerts, as_of, within)
         .groupBy("detection_rule", "status", F.coalesce("assigned_to", F.lit("Unassigned")).alias("who"))
-        .agg(F.count(N).alias("n"))
+        .agg(F.count("*").alias("n"))
     )
     edges = F.array(
         F.struct(F.lit(1).alias("step"), F.col("detection_rule").alias("source"), F.col("status").alias("target")),
@@ -403,7 +402,7 @@ def source_ip_rollup(alerts: DataFrame, as_of: AsOf = None, within: str = "7 day
         recent_alerts(alerts, as_of, within)
         .where(F.col("source_ip").isNotNull())
         .groupBy("source_ip")
-        .agg(F.count(N).alias("alert_count"), worst_severity("severity").alias("max_severity"))
+        .agg(F.count("*").alias("alert_count"), worst_severity("severity").alias("max_severity"))
     )
 
 
@@ -425,10 +424,10 @@ def source_quality(silver: Mapping[str, DataFrame]) -> DataFrame:
             parts.append(
                 silver[name]
                 .agg(
-                    F.count(N).alias("total_events"),
+                    F.count("*").alias("total_events"),
                     F.count_distinct(entity).alias("unique_entities"),
                     bad.alias("flagged_events"),
-                    percent(bad, F.count(N)).alias("flagged_pct"),
+                    percent(bad, F.count("*")).alias("flagged_pct"),
                 )
                 .select(F.lit(name).alias("log_source"), "*")
             )
@@ -437,4 +436,4 @@ def source_quality(silver: Mapping[str, DataFrame]) -> DataFrame:
 
 def titles_by_count(alerts: DataFrame) -> DataFrame:
     """K-29"""
-    return alerts.groupBy("alert_title").agg(F.count(N).alias("alert_count"))
+    return alerts.groupBy("alert_title").agg(F.count("*").alias("alert_count"))

@@ -252,7 +252,7 @@ def user_behavior_anomaly(
     """D-10"""
     b = baseline_zscore(
         df, "user_email", "event_time", as_of=as_of,
-        metrics={"logins": F.count(F.lit(1)), "ips": F.count_distinct("source_ip")},
+        metrics={"logins": F.count("*"), "ips": F.count_distinct("source_ip")},
         today={"countries": F.count_distinct("country"), "last_login": F.max("event_time")}, **how,
     )
     zl, zi = F.abs("z_logins"), F.abs("z_ips")
@@ -314,7 +314,7 @@ def network_anomaly(
     b = baseline_zscore(
         df, "host", "event_time", as_of=as_of,
         metrics={
-            "connections": F.count(F.lit(1)),
+            "connections": F.count("*"),
             "ips": F.count_distinct("destination_ip"),
             "ports": F.count_distinct("destination_port"),
         },

@@ -23,7 +23,7 @@ CRITICAL_COLUMNS = {
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """V-01: rows per table; an empty table fails."""
     parts = [
-        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
+        df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("table_name"), "rows")
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, parts).withColumn("passed", F.col("rows") > 0)
@@ -38,7 +38,7 @@ def missing_columns(df: DataFrame, wanted: Sequence[str] | None = None) -> list[
 def registry_state(rules: DataFrame) -> DataFrame:
     """V-03"""
     return rules.agg(
-        F.count(F.lit(1)).alias("rules"), F.count_if(F.col("enabled")).alias("enabled_rules")
+        F.count("*").alias("rules"), F.count_if(F.col("enabled")).alias("enabled_rules")
     )
 
 
@@ -77,7 +77,7 @@ def validate(
             (F.col("rules") > 0).alias("passed"),
         ),
         tactic_gaps(spark, alerts)
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count("*").alias("n"))
         .select(
             F.lit("expected tactics covered").alias("check"),
             F.lit("security_alerts").alias("subject"),
@@ -104,5 +104,5 @@ def score(checks: DataFrame) -> DataFrame:
     return checks.agg(
         ok.alias("passed"),
         F.count_if(~F.col("passed")).alias("failed"),
-        F.round(ok * F.lit(100.0).cast("double") / F.count(F.lit(1)), 1).alias("score_pct"),
+        F.round(ok * F.lit(100.0).cast("double") / F.count("*"), 1).alias("score_pct"),
     )

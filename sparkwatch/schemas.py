@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql.types import (
     ArrayType,
     BooleanType,
+    DateType,
     DataType,
     DoubleType,
     IntegerType,
@@ -23,6 +24,7 @@ _TYPES = {
     "double": DoubleType(),
     "boolean": BooleanType(),
     "timestamp": TimestampType(),
+    "date": DateType(),
     "array<string>": ArrayType(StringType()),
 }
 
