@@ -29,7 +29,7 @@ def baseline_zscore(
     second grouping by key then folds the days. This takes the place of two
     aggregates joined on the key (JN-01, JN-02). ``metrics`` and ``today`` map
     names to aggregate columns; ``today`` ones have no baseline. Keys need rows
-    on both sides.
+    on both sides, and today must not begin before the history ends.
     """
     start = as_of_bound(df, ts, as_of, history)
     end = as_of_bound(df, ts, as_of, gap)

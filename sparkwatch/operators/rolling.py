@@ -37,10 +37,8 @@ def rolling_zscore(
         )
         grid = ends.select(
             *by,
-            F.explode(F.sequence("_lo", "_hi", F.expr(f"INTERVAL 1 {bucket}")))
-            .cast(kind)
-            .alias("time_bucket"),
-        )
+            F.explode(F.sequence("_lo", "_hi", F.expr(f"INTERVAL 1 {bucket}"))).alias("time_bucket"),
+        ).withColumn("time_bucket", F.col("time_bucket").cast(kind))
         series = grid.join(series, [*by, "time_bucket"], "left").fillna(0, ["event_count", *extra])
     frame = W.partitionBy(*by).orderBy("time_bucket").rowsBetween(-rows, -1)
     n = F.col("event_count")

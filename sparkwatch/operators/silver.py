@@ -8,6 +8,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from sparkwatch.functions.text import first_match, to_int
 
@@ -22,7 +23,11 @@ LOGON_EVENTS = (4624, 4625, 4672)
 HIGH_RISK_CALLS = "Create.*Key|Attach.*Policy|Create.*User|Delete.*"
 
 
-def _time(name: str) -> Column:
+def _time(df: DataFrame, name: str) -> Column:
+    """PRJ-05: text to timestamp; a column that is a time already stays as it is,
+    so that time filters still reach the files."""
+    if isinstance(df.schema[name].dataType, (TimestampType, TimestampNTZType)):
+        return F.col(name)
     return F.try_to_timestamp(F.col(name).cast("string"))
 
 
@@ -46,7 +51,7 @@ def sysmon_process(raw: DataFrame) -> DataFrame:
         "normal",
     )
     return raw.where(F.col("EventID") == 1).select(
-        _time("EventTime").alias("event_time"),
+        _time(raw, "EventTime").alias("event_time"),
         F.col("Computer").alias("host"),
         F.col("ProcessName").alias("process_name"),
         to_int(F.col("ProcessId")).alias("process_id"),
@@ -63,8 +68,8 @@ def sysmon_process(raw: DataFrame) -> DataFrame:
 def sysmon_network(raw: DataFrame, keep_incomplete: bool = False) -> DataFrame:
     """NRM-08: connections (EventID 3) with a port class.
 
-    ``keep_incomplete`` leaves rows without a destination in, so that the
-    expectation on the destination can see them.
+    ``keep_incomplete`` leaves rows without a destination in, so that an
+    expectation on the destination can see them before they are filtered.
     """
     port = to_int(F.col("DestinationPort"))
     kind = first_match(
@@ -78,7 +83,7 @@ def sysmon_network(raw: DataFrame, keep_incomplete: bool = False) -> DataFrame:
     if not keep_incomplete:
         rows = rows.where(F.col("DestinationIP").isNotNull())
     return rows.select(
-        _time("EventTime").alias("event_time"),
+        _time(raw, "EventTime").alias("event_time"),
         F.col("Computer").alias("host"),
         F.col("ProcessName").alias("process_name"),
         to_int(F.col("ProcessId")).alias("process_id"),
@@ -101,7 +106,7 @@ def okta_auth(raw: DataFrame) -> DataFrame:
         "normal",
     )
     return raw.select(
-        _time("published").alias("event_time"),
+        _time(raw, "published").alias("event_time"),
         F.col("uuid").alias("event_id"),
         F.col("eventType").alias("event_type"),
         F.col("actor.alternateId").alias("user_email"),
@@ -131,7 +136,7 @@ def windows_auth(raw: DataFrame) -> DataFrame:
         "normal_logon",
     )
     return raw.where(event.isin(*LOGON_EVENTS)).select(
-        _time("TimeCreated").alias("event_time"),
+        _time(raw, "TimeCreated").alias("event_time"),
         event.cast("int").alias("event_id"),
         F.col("Computer").alias("host"),
         logon.alias("logon_type"),
@@ -158,7 +163,7 @@ def cloudtrail(raw: DataFrame) -> DataFrame:
         "normal",
     )
     return raw.select(
-        _time("eventTime").alias("event_time"),
+        _time(raw, "eventTime").alias("event_time"),
         F.col("eventID").alias("event_id"),
         F.col("eventName").alias("event_name"),
         F.col("eventType").alias("event_type"),
@@ -186,7 +191,7 @@ def sysmon_registry(raw: DataFrame) -> DataFrame:
     """
     path = F.get_json_object("RawEventData", "$.TargetObject")
     return raw.where(F.col("EventID").between(12, 14)).select(
-        _time("EventTime").alias("event_time"),
+        _time(raw, "EventTime").alias("event_time"),
         F.col("Computer").alias("host"),
         F.col("User").alias("user"),
         F.regexp_extract("Image", r"([^\\/]*)$", 1).alias("process_name"),

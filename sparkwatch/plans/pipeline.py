@@ -24,10 +24,17 @@ class Source:
     silver: tuple[tuple[str, Callable[[DataFrame], DataFrame]], ...]
 
 
+def _network(raw: DataFrame) -> DataFrame:
+    return silver.sysmon_network(raw, keep_incomplete=True)
+
+
+# Silver rows to keep once the expectations have seen all of them.
+KEEP = {"sysmon_network": "destination_ip IS NOT NULL"}
+
 SOURCES: Mapping[str, Source] = {
     "sysmon": Source(
         schemas.RAW_SYSMON,
-        (("sysmon_process", silver.sysmon_process), ("sysmon_network", silver.sysmon_network)),
+        (("sysmon_process", silver.sysmon_process), ("sysmon_network", _network)),
     ),
     "okta": Source(schemas.RAW_OKTA, (("okta_auth", silver.okta_auth),)),
     "windows": Source(schemas.RAW_WINDOWS, (("windows_auth", silver.windows_auth),)),
@@ -47,7 +54,7 @@ def silver_batch(spark: SparkSession, raw: Mapping[str, str]) -> dict[str, DataF
         source = SOURCES[name]
         rows = with_origin(read_json(spark, path, source.schema))
         for table, make in source.silver:
-            out[table] = make(rows)
+            out[table] = make(rows).where(KEEP.get(table, "true"))
     return out
 
 
@@ -75,6 +82,7 @@ def run_pipeline(
         for table, make in source.silver:
             bronze = table_stream(spark, f"{root}/bronze_{name}", bronze_schema(source))
             df, _ = expect(make(bronze), SILVER_RULES[table], name=table)
+            df = df.where(KEEP.get(table, "true"))
             queries[table] = write_stream(
                 df, table, f"{root}/{table}", f"{root}/_checkpoints/{table}", "parquet", every, available_now
             )

@@ -286,8 +286,12 @@ def rare_process_execution(
     r = rarity(df, "process_name", "event_time", as_of=as_of, steps=steps, **how).where(
         calm & ~F.lower(parent).isin(*QUIET_PARENTS)
     )
+    if top is not None:
+        r = r.orderBy(
+            "rarity_percentile", F.col("event_time").desc(), "process_name", "host", "user", "command_line"
+        ).limit(top)
     very = F.col("rarity_category") == "VERY_RARE"
-    hits = r.select(
+    return r.select(
         "event_time", "host", "user", "process_name", "command_line", "parent_process_name",
         "historical_count", "rarity_category",
         F.round(F.col("rarity_percentile") * 100, 2).alias("rarity_score"),
@@ -300,11 +304,6 @@ def rare_process_execution(
             " by user ", F.col("user"),
         ).alias("description"),
     )
-    if top is None:
-        return hits
-    return hits.orderBy(
-        "rarity_score", F.col("event_time").desc(), "process_name", "host", "user", "command_line"
-    ).limit(top)
 
 
 def network_anomaly(

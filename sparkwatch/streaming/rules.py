@@ -59,6 +59,7 @@ def start_sequence(
     tiebreak: Sequence[str], carry: Sequence[str], out: str, state: str, checkpoint: str,
     name: str = "sequence", every: str = "1 minute", available_now: bool = False,
     describe: Callable[[DataFrame], DataFrame] | None = None, hot_rows: int = HOT_ROWS,
+    late_seconds: int = 86_400,
 ) -> StreamingQuery:
     """STR-11: ``sequence_gap`` on a stream.
 
@@ -66,7 +67,8 @@ def start_sequence(
     is compared together with those rows by the batch operator, which also cuts
     up hot keys, and then replaces the table. Two folders take turns, so a
     batch repeated after a failure finds the state it started from. Keys whose
-    last event is too old to matter for a new one are dropped. An event that
+    last event lies further back than the gap plus ``late_seconds`` are dropped,
+    since no event that is at most that late can pair with it. An event that
     arrives in a later batch than a newer event of its key finds that newer
     event as its neighbour and gives no hit; a batch run over the same data
     would order it first. Hits of a batch go to ``out/batch_id=<n>``.
@@ -96,7 +98,7 @@ def start_sequence(
             )
             edge = both.agg(F.max(ts).alias("t")).first()["t"]
             if edge is not None:
-                oldest = F.lit(edge) - F.expr(f"INTERVAL {max_gap_seconds} SECONDS")
+                oldest = F.lit(edge) - F.expr(f"INTERVAL {max_gap_seconds + late_seconds} SECONDS")
                 newest = newest.where(F.col(ts) >= oldest)
             newest.select(*fields).write.mode("overwrite").parquet(f"{state}/slot={batch_id % 2}")
         finally:
