@@ -56,9 +56,12 @@ def base_name(path: Column) -> Column:
 
 
 def to_int(text: Column) -> Column:
-    """SCL-18: decimal or ``0x`` text to int, null if it is neither."""
+    """SCL-18: decimal or ``0x`` text to int, null if it is neither.
+
+    Text is checked before the cast: a failed cast costs an exception per row.
+    """
     value = F.trim(text.cast("string"))
-    number = F.when(
-        value.rlike("^0[xX][0-9A-Fa-f]+$"), F.conv(F.substring(value, 3, 32), 16, 10)
-    ).otherwise(value)
+    number = F.when(value.rlike(r"^[+-]?[0-9]{1,18}(\.[0-9]*)?$"), value).when(
+        value.rlike(r"^0[xX][0-9A-Fa-f]{1,16}$"), F.conv(F.substring(value, 3, 16), 16, 10)
+    )
     return number.try_cast("double").try_cast("int")

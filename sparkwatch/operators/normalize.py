@@ -31,31 +31,47 @@ def _stamp(source: str) -> list[Column]:
     ]
 
 
-def parse_event_xml(df: DataFrame, text: str = "value") -> DataFrame:
-    """UDF-01, UDF-02: event XML to struct ``event`` and map ``data``.
+def _once(df: DataFrame, **parsed: Column) -> DataFrame:
+    """Add costly columns so that each is computed once per row.
 
-    ``data`` holds the named values of EventData; for a repeated name the last
-    value counts and an empty element is an empty string. ``event._corrupt``
-    keeps the text that could not be parsed.
+    A filter on a projected column is pushed below the projection and repeats
+    its expression there; a filter on a generated column stays above.
     """
-    event = F.from_xml(text, schemas.EVENT_XML, {"columnNameOfCorruptRecord": "_corrupt"})
+    one = F.array(F.struct(*[c.alias(name) for name, c in parsed.items()]))
+    return df.select("*", F.explode(one).alias("_one")).select("*", "_one.*").drop("_one")
+
+
+def _event(text: Column) -> Column:
+    return F.from_xml(text, schemas.EVENT_XML, {"columnNameOfCorruptRecord": "_corrupt"})
+
+
+def parse_event_xml(df: DataFrame, names: list[str], text: str = "value") -> DataFrame:
+    """UDF-01, UDF-02: event XML to struct ``event``, the named values of its
+    EventData as JSON in ``data_json``, and those in ``names`` as struct ``data``.
+
+    For a repeated name the last value counts; an empty element is an empty
+    string. ``event._corrupt`` keeps the text that could not be parsed.
+    """
+    return _with_data(_once(df, event=_event(F.col(text))), names)
+
+
+def _with_data(df: DataFrame, names: list[str]) -> DataFrame:
+    """The struct is read from the JSON in one go: twenty lookups in a map make
+    a generated method so long that the JVM does not compile it."""
+    pairs_type = "array<struct<_Name:string,_VALUE:string>>"
     named = F.filter(F.col("event.EventData.Data"), lambda d: d["_Name"].isNotNull())
-    last = F.size("_names")
-    pairs = F.filter(
+    backwards = F.reverse(F.transform("_data", lambda d: d["_Name"]))
+    last = F.filter(
         "_data",
-        lambda d, i: i == last - F.array_position(F.reverse("_names"), d["_Name"]).cast("int"),
+        lambda d, i: i == F.size("_data") - F.array_position("_back", d["_Name"]).cast("int"),
     )
+    pairs = F.transform(last, lambda d: F.struct(d["_Name"], F.coalesce(d["_VALUE"], F.lit(""))))
     return (
-        df.withColumn("event", event)
-        .withColumn("_data", F.coalesce(named, F.array().cast("array<struct<_Name:string,_VALUE:string>>")))
-        .withColumn("_names", F.transform("_data", lambda d: d["_Name"]))
-        .withColumn(
-            "data",
-            F.map_from_entries(
-                F.transform(pairs, lambda d: F.struct(d["_Name"], F.coalesce(d["_VALUE"], F.lit(""))))
-            ),
-        )
-        .drop("_data", "_names")
+        df.withColumn("_data", F.coalesce(named, F.array().cast(pairs_type)))
+        .withColumn("_back", backwards)
+        .withColumn("data_json", F.to_json(F.map_from_entries(pairs)))
+        .drop("_data", "_back")
+        .withColumn("data", F.from_json("data_json", schemas.nested(" ".join(names))))
     )
 
 
@@ -69,60 +85,54 @@ def unparsed(df: DataFrame, text: str = "value") -> DataFrame:
     The normalisers leave such rows out, this gives them back as evidence.
     """
     value = F.col(text)
-    parsed = parse_event_xml(df, text)
-    good_xml = value.startswith("<Event") & _is_event(F.col("event"))
     good_json = value.startswith("{") & F.try_parse_json(value).isNotNull()
-    return parsed.where(~F.coalesce(good_xml | good_json, F.lit(False))).drop("event", "data")
-
-
-def _sysmon_fields() -> dict[str, Column]:
-    data = lambda name: F.col("data")[name]
-    plain = [
-        f.name
-        for f in schemas.SYSMON.fields
-        if f.name not in ("EventID", "EventTime", "Computer", "RawEventData")
-    ]
-    return {
-        "EventID": F.col("event.System.EventID"),
-        "EventTime": F.col("event.System.TimeCreated._SystemTime"),
-        "Computer": F.col("event.System.Computer"),
-        **{name: data(name) for name in plain},
-        "RawEventData": F.to_json("data"),
-    }
+    return (
+        _once(df.where(~F.coalesce(good_json, F.lit(False))), event=_event(F.when(value.startswith("<Event"), value)))
+        .where(~F.coalesce(_is_event(F.col("event")), F.lit(False)))
+        .drop("event")
+    )
 
 
 def normalize_sysmon_raw(df: DataFrame, text: str = "value") -> DataFrame:
     """NRM-01: host events in XML or JSON text to the canonical table."""
     value = F.col(text)
-    as_json = F.from_json(
-        value, ", ".join(f"{f.name} string" for f in schemas.SYSMON.fields)
+    is_xml = value.startswith("<Event")
+    names = [f.name for f in schemas.SYSMON.fields]
+    good = _once(df.where(is_xml | value.startswith("{")), event=_event(F.when(is_xml, value))).where(
+        ~is_xml | _is_event(F.col("event"))
     )
-    parsed = parse_event_xml(
-        df.where(value.startswith("<Event") | value.startswith("{")).withColumn(
-            "_xml", F.when(value.startswith("<Event"), value)
-        ),
-        "_xml",
-    ).withColumn("_json", F.when(value.startswith("{"), as_json))
-    fields = {
-        name: F.when(F.col("_xml").isNotNull(), c).otherwise(F.col("_json")[name])
-        for name, c in _sysmon_fields().items()
+    parsed = (
+        _with_data(good, names)
+        .withColumn("data_json", F.when(is_xml, F.col("data_json")))
+        .withColumn("data", F.when(is_xml, F.col("data")).otherwise(F.from_json(value, schemas.nested(" ".join(names)))))
+    )
+    system = {
+        "EventID": F.col("event.System.EventID"),
+        "EventTime": F.col("event.System.TimeCreated._SystemTime"),
+        "Computer": F.col("event.System.Computer"),
+        "RawEventData": F.col("data_json"),
     }
-    rows = parsed.where(F.col("_json").isNotNull() | _is_event(F.col("event"))).select(
-        *[c.alias(name) for name, c in fields.items()]
+    rows = parsed.select(
+        *[(F.coalesce(system[n], F.col("data")[n]) if n in system else F.col("data")[n]).alias(n) for n in names]
     )
     return _conform(rows, schemas.SYSMON, _stamp("sysmon"))
 
 
+_WINDOWS_DATA = (
+    "SubjectUserName TargetUserName SubjectDomainName TargetDomainName SubjectLogonId TargetLogonId "
+    "ProcessId ProcessName IpAddress IpPort LogonType Status WorkstationName"
+).split()
+
+
 def normalize_windows_raw(df: DataFrame, text: str = "value") -> DataFrame:
-    """NRM-02: Windows event XML to the canonical table."""
-    parsed = parse_event_xml(df.where(F.col(text).startswith("<Event")), text)
+    """NRM-02: Windows event XML to the canonical table, with status and workstation."""
+    good = _once(df.where(F.col(text).startswith("<Event")), event=_event(F.col(text)))
+    parsed = _with_data(good.where(_is_event(F.col("event"))), _WINDOWS_DATA)
     data = lambda name: F.col("data")[name]
     system = lambda name: F.col(f"event.System.{name}")
-    rows = parsed.where(_is_event(F.col("event"))).select(
-        system("EventID").alias("EventID"),
-        system("EventRecordID").alias("EventRecordID"),
+    rows = parsed.select(
+        *[system(n).alias(n) for n in ("EventID", "EventRecordID", "Computer", "Channel", "Level", "Task", "Keywords")],
         system("TimeCreated._SystemTime").alias("TimeCreated"),
-        *[system(n).alias(n) for n in ("Computer", "Channel", "Level", "Task", "Keywords")],
         system("Provider._Name").alias("ProviderName"),
         system("Provider._Guid").alias("ProviderGuid"),
         system("Security._UserID").alias("UserID"),
@@ -130,14 +140,9 @@ def normalize_windows_raw(df: DataFrame, text: str = "value") -> DataFrame:
         or_else(data("SubjectDomainName"), data("TargetDomainName")).alias("AccountDomain"),
         or_else(data("SubjectLogonId"), data("TargetLogonId")).alias("LogonID"),
         data("ProcessId").alias("ProcessID"),
-        *[
-            data(n).alias(n)
-            for n in ("ProcessName", "IpAddress", "IpPort", "TargetUserName", "TargetDomainName", "LogonType")
-        ],
+        *[data(n).alias(n) for n in _WINDOWS_DATA[7:] + ["TargetUserName", "TargetDomainName"]],
         F.col("event.RenderingInfo.Message").alias("Message"),
-        F.to_json("data").alias("EventData"),
-        data("Status").alias("Status"),
-        data("WorkstationName").alias("WorkstationName"),
+        F.col("data_json").alias("EventData"),
     )
     return _conform(rows, schemas.WINDOWS, [F.col("Status"), F.col("WorkstationName"), *_stamp("windows")])
 

@@ -66,15 +66,14 @@ def run_detections(
         if signature_from is not None:
             ts = group[0].alert.event_time
             df = df.where(F.col(ts) >= F.lit(str(signature_from)).cast(df.schema[ts].dataType))
-        good = []
-        for r in group:
-            try:
-                _signatures(df, [r], as_of)
-                good.append(r)
-            except Exception as error:  # noqa: BLE001
-                failed[r.name] = str(error).splitlines()[0]
-        if good:
-            parts.append(_signatures(df, good, as_of))
+        try:
+            parts.append(_signatures(df, group, as_of))
+        except Exception:  # noqa: BLE001  find out which rule it was
+            for r in group:
+                try:
+                    parts.append(_signatures(df, [r], as_of))
+                except Exception as error:  # noqa: BLE001
+                    failed[r.name] = str(error).splitlines()[0]
     if not parts:
         raise ValueError(f"no rule could run: {failed}")
     return DetectionRun(consolidate(parts), failed)

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from sparkwatch.sinks.files import JSON_TIME
+
 Transform = Callable[[DataFrame], DataFrame]
 
 
@@ -36,6 +38,8 @@ def write_stream(
         .option("path", out)
         .outputMode("append")
     )
+    if format == "json":
+        writer = writer.option("timestampFormat", JSON_TIME)
     trigger = {"availableNow": True} if available_now else {"processingTime": every}
     return writer.trigger(**trigger).start()
 

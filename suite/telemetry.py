@@ -47,13 +47,17 @@ def pick(index: Column, *values) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
 
 
+def with_k(events: DataFrame) -> DataFrame:
+    return events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+
+
 def events(spark: SparkSession, sf: str) -> DataFrame:
-    return load(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    return with_k(load(spark, sf, "events"))
 
 
 
 
-def raw_process(spark: SparkSession, sf: str) -> DataFrame:
+def process_raw_from(events: DataFrame) -> DataFrame:
     k, kind, uid = F.col("k"), F.col("event_type"), F.col("user_id")
     flags = pick(
         k % 10, "-enc SQBFAFgA", "-encodedcommand SQBFAFgA", "-w hidden", "-windowstyle hidden",
@@ -72,7 +76,7 @@ def raw_process(spark: SparkSession, sf: str) -> DataFrame:
         .when((kind == "signup") & (k < 10), F.lit("run lsadump::sam"))
         .otherwise(text("run ", F.col("props")))
     )
-    return events(spark, sf).select(
+    return with_k(events).select(
         F.lit(1).alias("EventID"),
         F.col("ts").alias("EventTime"),
         text("WS-", uid % 40).alias("Computer"),
@@ -88,7 +92,7 @@ def raw_process(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def raw_okta(spark: SparkSession, sf: str) -> DataFrame:
+def okta_raw_from(events: DataFrame) -> DataFrame:
     k, kind, uid = F.col("k"), F.col("event_type"), F.col("user_id")
     event = (
         F.when(kind == "purchase", F.lit("user.mfa.update"))
@@ -96,7 +100,7 @@ def raw_okta(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise("user.authentication.sso")
     )
     app = F.struct(F.lit("Salesforce").alias("displayName"))
-    return events(spark, sf).select(
+    return with_k(events).select(
         F.col("event_id").cast("string").alias("uuid"),
         F.col("ts").alias("published"),
         event.alias("eventType"),
@@ -171,9 +175,9 @@ def raw_cloudtrail(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def raw_network(spark: SparkSession, sf: str) -> DataFrame:
+def network_raw_from(lines: DataFrame) -> DataFrame:
     part = F.col("l_partkey")
-    return load(spark, sf, "lineitem").select(
+    return lines.select(
         F.lit(3).alias("EventID"),
         F.col("l_shipdate").alias("EventTime"),
         text("WS-", F.col("l_suppkey")).alias("Computer"),
@@ -185,6 +189,18 @@ def raw_network(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def raw_process(spark, sf):
+    return process_raw_from(load(spark, sf, "events"))
+
+
+def raw_okta(spark, sf):
+    return okta_raw_from(load(spark, sf, "events"))
+
+
+def raw_network(spark, sf):
+    return network_raw_from(load(spark, sf, "lineitem"))
+
+
 def _processed(df: DataFrame) -> DataFrame:
     """A processing time that follows the event by five minutes plus its seconds."""
     t = F.col("event_time")
@@ -212,6 +228,14 @@ def network(spark, sf):
     return _processed(silver.sysmon_network(raw_network(spark, sf)))
 
 
+def process_stream(events: DataFrame) -> DataFrame:
+    return silver.sysmon_process(process_raw_from(events))
+
+
+def okta_stream(events: DataFrame) -> DataFrame:
+    return silver.okta_auth(okta_raw_from(events))
+
+
 # The same tables in SQL.
 
 
