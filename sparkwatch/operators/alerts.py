@@ -64,7 +64,7 @@ def _detected_at(as_of: AsOf) -> Column:
     return F.current_timestamp() if as_of is None else F.lit(str(as_of)).cast("timestamp")
 
 
-def alert_fields(m: AlertMap, severity: Column, description: Column, as_of: AsOf = None) -> list[Column]:
+def alert_fields(m: AlertMap, severity: Column, description: Column, as_of: AsOf = None) -> dict[str, Column]:
     """The 17 alert columns over the columns of a hit.
 
     The id is a hash of rule, entity, event time and the identity columns, so a
@@ -97,12 +97,13 @@ def alert_fields(m: AlertMap, severity: Column, description: Column, as_of: AsOf
         "notes": F.lit(None).cast("string"),
         "updated_at": found,
     }
-    return [values[f.name].alias(f.name) for f in schemas.ALERTS.fields]
+    return {f.name: values[f.name] for f in schemas.ALERTS.fields}
 
 
 def to_alert(hits: DataFrame, m: AlertMap, as_of: AsOf = None) -> DataFrame:
     """G-01: rule hits with ``severity`` and ``description`` as alert rows."""
-    return hits.select(*alert_fields(m, F.col("severity"), F.col("description"), as_of))
+    values = alert_fields(m, F.col("severity"), F.col("description"), as_of)
+    return hits.select(*[c.alias(name) for name, c in values.items()])
 
 
 def consolidate(parts: Sequence[DataFrame]) -> DataFrame:

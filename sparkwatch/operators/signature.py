@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -13,19 +16,25 @@ def signature(df: DataFrame, where: Column, severity: Column | str, description:
     )
 
 
-def match_all(df: DataFrame, cases: dict[str, tuple[Column, Column]]) -> DataFrame:
+def match_all(df: DataFrame, cases: Mapping[str, tuple[Column, Mapping[str, Column]]]) -> DataFrame:
     """Test many signatures in one pass over ``df``.
 
-    ``cases`` maps a name to its predicate and a struct of result columns; the
-    structs must share one type. A row yields one output row per signature it
-    matches. Rows without a match are filtered before the array is built.
+    ``cases`` maps a name to its predicate and its result columns; all cases
+    have the same column names. A row yields one output row per signature it
+    matches. Only the number of the matched signature is generated; the result
+    columns are chosen by it afterwards, so those nobody reads are pruned.
     """
-    any_hit = None
-    for test, _ in cases.values():
-        any_hit = test if any_hit is None else any_hit | test
-    hits = F.array(*[F.when(test, out) for test, out in cases.values()])
-    return (
-        df.where(any_hit)
-        .select(F.explode(F.array_compact(hits)).alias("hit"))
-        .select("hit.*")
+    tests = [test for test, _ in cases.values()]
+    numbers = F.array(*[F.when(test, F.lit(i)) for i, test in enumerate(tests)])
+    hits = df.where(reduce(lambda a, b: a | b, tests)).withColumn(
+        "_case", F.explode(F.array_compact(numbers))
     )
+    columns = [out for _, out in cases.values()]
+
+    def choose(name: str) -> Column:
+        picked = columns[-1][name]
+        for i in range(len(columns) - 2, -1, -1):
+            picked = F.when(F.col("_case") == i, columns[i][name]).otherwise(picked)
+        return picked
+
+    return hits.select(*[choose(name).alias(name) for name in columns[0]])

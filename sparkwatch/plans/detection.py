@@ -29,7 +29,7 @@ def _signatures(df: DataFrame, rules: Sequence[Rule], as_of: AsOf) -> DataFrame:
     cases = {}
     for r in rules:
         test, text = r.match()
-        cases[r.name] = (test, F.struct(*alert_fields(r.alert, F.lit(r.severity), text, as_of)))
+        cases[r.name] = (test, alert_fields(r.alert, F.lit(r.severity), text, as_of))
     return match_all(df, cases)
 
 

@@ -34,7 +34,7 @@ def data(**fields):
 
 def sysmon_xml(spark, sf):
     """``events`` as host event XML with prolog; every fifth has an attribute on EventID."""
-    e = T.events(spark, sf)
+    e = T.with_k(T.load_wide(spark, sf, "events"))
     k, uid = F.col("k"), F.col("user_id")
     fields = data(
         RuleName=F.lit(""), User=text("CORP\\user", uid), ProcessId=F.col("event_id") % 5000,
@@ -112,7 +112,7 @@ SYSMON_TO_SILVER = sql(
 
 
 def windows_xml(spark, sf):
-    e = T.events(spark, sf)
+    e = T.with_k(T.load_wide(spark, sf, "events"))
     k, uid = F.col("k"), F.col("user_id")
     fields = data(
         SubjectUserName=F.when(k % 2 == 0, text("svc", k)).otherwise(F.lit("")),
