@@ -51,22 +51,19 @@ def user_features(
 
 
 def cluster(
-    features: DataFrame, cols: Sequence[str] = USER_FEATURES, k: int = 4, seed: int = 42
+    features: DataFrame, cols: Sequence[str] = USER_FEATURES, k: int = 4, seed: int = 42, scale: bool = True
 ) -> DataFrame:
-    """Add ``prediction``, the k-means cluster of the standardised features.
+    """Add ``prediction``, the k-means cluster of the features, standardised or as they are.
 
     Fitting passes over the features several times, so they are written to the
     shared folder once instead of being aggregated again for each pass.
     """
     stored = written_table(features, "features")
-    model = Pipeline(
-        stages=[
-            VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="skip"),
-            StandardScaler(inputCol="features", outputCol="scaled_features"),
-            KMeans(featuresCol="scaled_features", k=k, seed=seed),
-        ]
-    ).fit(stored)
-    return model.transform(stored).drop("features", "scaled_features")
+    stages = [VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="skip")]
+    if scale:
+        stages.append(StandardScaler(inputCol="features", outputCol="scaled_features"))
+    stages.append(KMeans(featuresCol="scaled_features" if scale else "features", k=k, seed=seed))
+    return Pipeline(stages=stages).fit(stored).transform(stored).drop("features", "scaled_features")
 
 
 def cluster_outliers(clustered: DataFrame, size_factor: float = 2.0) -> DataFrame:

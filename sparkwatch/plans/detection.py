@@ -79,6 +79,19 @@ def run_detections(
     return DetectionRun(consolidate(parts), failed)
 
 
+def register_views(tables: Mapping[str, DataFrame], as_of: AsOf = None, rules: Sequence[Rule] = RULES) -> list[str]:
+    """SNK-09: a temporary view of the hits per rule whose table is given.
+
+    Rules that need an eager step, such as fitting a model, run it here.
+    """
+    names = []
+    for r in rules:
+        if r.table in tables:
+            r.hits(tables[r.table], as_of).createOrReplaceTempView(r.name)
+            names.append(r.name)
+    return names
+
+
 def validate_rules(
     samples: Mapping[str, tuple[DataFrame, int]], as_of: AsOf = None, rules: Sequence[Rule] = RULES
 ) -> DataFrame:

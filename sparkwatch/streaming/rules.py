@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sparkwatch.functions.neighbours import HOT_ROWS
+from sparkwatch.operators.alerts import notification_payload
 from sparkwatch.operators.sequence import sequence_gap
 from sparkwatch.sinks.tables import append_alerts
 
@@ -54,6 +55,27 @@ def start_alert_writer(
     )
 
 
+def start_notifier(
+    alerts: DataFrame, send: Callable[[DataFrame, int], None], checkpoint: str, name: str = "notify",
+    every: str = "1 minute", available_now: bool = False,
+) -> StreamingQuery:
+    """SNK-15: hand the payloads of new critical alerts to ``send`` per micro-batch.
+
+    ``send`` gets a DataFrame (alert_id, payload) and the batch number; how the
+    messages leave is up to it.
+    """
+    critical = alerts.where((F.col("severity") == "CRITICAL") & (F.col("status") == "NEW"))
+    trigger = {"availableNow": True} if available_now else {"processingTime": every}
+    return (
+        notification_payload(critical)
+        .writeStream.queryName(name)
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(send)
+        .trigger(**trigger)
+        .start()
+    )
+
+
 def start_sequence(
     stream: DataFrame, key: str, ts: str, *, changed: str, max_gap_seconds: int,
     tiebreak: Sequence[str], carry: Sequence[str], out: str, state: str, checkpoint: str,

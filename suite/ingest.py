@@ -8,6 +8,7 @@ from sparkwatch import schemas
 from sparkwatch.operators import normalize as N
 from sparkwatch.operators import quality as Q
 from sparkwatch.operators import silver
+from sparkwatch.plans.rules import BY_NAME
 from sparkwatch.session import scratch_path
 from sparkwatch.sources import files, tables
 from suite import telemetry as T
@@ -278,6 +279,28 @@ CLOUDTRAIL_TO_SILVER = f"""SELECT {shown('o_orderdate')} AS event_time, o_orderk
     ELSE 'normal' END AS risk_classification, o_orderstatus <> 'F' AS api_success FROM {_CALLS}"""
 
 
+def registry_keys(spark, sf):
+    """``events`` as registry changes in event XML; the odd values of k touch run keys."""
+    e = T.with_k(T.load_wide(spark, sf, "events"))
+    path = text("HKLM\\Software\\CurrentVersion\\", F.when(F.col("k") % 2 == 1, F.lit("RunOnce")).otherwise("Fonts"), "\\v", F.col("k"))
+    body = text(
+        "<Event><System><EventID>", F.col("k") % 3 + 11, '</EventID><TimeCreated SystemTime="', iso("ts"),
+        '"/><Computer>PC</Computer></System><EventData>', data(TargetObject=path, Image=F.lit("C:\\a\\reg.exe"), User=text("user", F.col("user_id"))),
+        "</EventData></Event>",
+    )
+    changes = silver.sysmon_registry(N.normalize_sysmon_raw(e.select(body.alias("value"))))
+    hits = BY_NAME["detect_registry_run_key"].hits(changes)
+    return plain(hits.select("event_time", "user", "process_name", "registry_path", "severity", "description"))
+
+
+REGISTRY_KEYS = sql(
+    f"""SELECT {shown('ts')} AS event_time, 'user' || user_id AS "user", 'reg.exe' AS process_name, p AS registry_path,
+  'MEDIUM' AS severity, 'Autorun key changed: ' || p AS description
+FROM (SELECT *, 'HKLM\\Software\\CurrentVersion\\RunOnce\\v' || k AS p FROM ev) WHERE k % 2 = 1 AND k % 3 + 11 >= 12""",
+    "ev",
+)
+
+
 def _count(df, *keys):
     return df.groupBy(*keys).agg(F.count("*").alias("n"))
 
@@ -503,6 +526,7 @@ FROM ev GROUP BY ALL""",
     "silver_windows_auth": (silver_table(T.windows), silver_sql("windows_auth", "windows")),
     "silver_cloudtrail": (silver_table(T.cloud), silver_sql("cloudtrail", "cloud")),
     "common_events": (common_counts, COMMON_COUNTS),
+    "detect_registry_run_key": (registry_keys, REGISTRY_KEYS),
     "expect_counts": (expectations, EXPECTATIONS),
     "expect_quarantine": (quarantined, QUARANTINED),
     "expect_drop": (

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sparkwatch import schemas, scratch_path
 from sparkwatch.operators import alerts as A
 from sparkwatch.plans import reports, rules, validation
-from sparkwatch.plans.detection import run_detections, validate_rules
+from sparkwatch.plans.detection import register_views, run_detections, validate_rules
 from sparkwatch.sinks import files, tables
 from sparkwatch.streaming import manage
 from sparkwatch.streaming import rules as stream_rules
@@ -222,6 +222,23 @@ def test_stream_management(spark, root):
     assert spark.read.json(f"{root}/out").count() == 5
 
 
+def test_notifier_sends_critical_alerts(spark, root):
+    run_detections(all_tables(spark), AS_OF, QUICK).alerts.write.parquet(f"{root}/in")
+    sent = []
+    q = stream_rules.start_notifier(
+        spark.readStream.schema(schemas.ALERTS).parquet(f"{root}/in"),
+        lambda batch, n: sent.extend(r["payload"] for r in batch.collect()), f"{root}/cp", available_now=True,
+    )
+    q.awaitTermination()
+    assert len(sent) == 3 and all('"color":"danger"' in p for p in sent)
+
+
+def test_rule_views(spark):
+    names = register_views(all_tables(spark), AS_OF, QUICK)
+    assert spark.table("detect_psexec").count() == 1 and "detect_mimikatz" in names
+    assert spark.sql("SELECT max(failure_count) FROM detect_okta_bruteforce").first()[0] == 10
+
+
 def test_duplicate_alerts_on_a_stream(spark, root):
     alerts = run_detections(all_tables(spark), AS_OF, QUICK).alerts
     alerts.unionByName(alerts).write.parquet(f"{root}/in")
