@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
-from sparkwatch.functions.times import AsOf
+from sparkwatch.functions.times import AsOf, as_of_bound
 from sparkwatch.operators.alerts import alert_fields, consolidate, to_alert
 from sparkwatch.operators.signature import match_all
 from sparkwatch.plans.rules import RULES, Rule
@@ -37,14 +37,16 @@ def run_detections(
     tables: Mapping[str, DataFrame],
     as_of: AsOf = None,
     rules: Sequence[Rule] = RULES,
-    signature_from: AsOf = None,
+    new_from: AsOf = None,
 ) -> DetectionRun:
     """Alerts of all enabled rules, unwritten.
 
     Signature rules on one table share one scan of it; every other rule adds
     its own branch, and the union is written by one job. A rule whose table or
     columns are missing is reported in ``failed`` and does not stop the others.
-    ``signature_from`` limits signature rules to newer events in repeated runs.
+    Most rules look at a span that ends at ``as_of``. Signature and sequence
+    rules have no such span; in repeated runs ``new_from`` limits them to hits
+    from then on, so that they do not read the whole history again.
     """
     active = [r for r in rules if r.enabled]
     parts: list[DataFrame] = []
@@ -58,14 +60,15 @@ def run_detections(
             by_table.setdefault(r.table, []).append(r)
         else:
             try:
-                parts.append(to_alert(r.hits(tables[r.table], as_of), r.alert, as_of))
+                more = {"new_from": new_from} if r.incremental and new_from is not None else {}
+                parts.append(to_alert(r.hits(tables[r.table], as_of, **more), r.alert, as_of))
             except Exception as error:  # noqa: BLE001  isolate the rule
                 failed[r.name] = str(error).splitlines()[0]
     for table, group in by_table.items():
         df = tables[table]
-        if signature_from is not None:
+        if new_from is not None:
             ts = group[0].alert.event_time
-            df = df.where(F.col(ts) >= F.lit(str(signature_from)).cast(df.schema[ts].dataType))
+            df = df.where(F.col(ts) >= as_of_bound(df, ts, new_from))
         try:
             parts.append(_signatures(df, group, as_of))
         except Exception:  # noqa: BLE001  find out which rule it was

@@ -211,16 +211,25 @@ def network_scanning(
 
 
 def impossible_travel(
-    df: DataFrame, as_of: AsOf = None, max_gap_seconds: int = 3600, **how
+    df: DataFrame, as_of: AsOf = None, max_gap_seconds: int = 3600, new_from: AsOf = None, **how
 ) -> DataFrame:
-    """D-08. Without ``as_of`` all logins count, with it those up to then."""
+    """D-08. Without ``as_of`` all logins count, with it those up to then.
+
+    ``new_from`` gives the hits from then on; it reads back no further than the
+    gap, since an older login cannot be part of one.
+    """
     logins = df.where((F.col("outcome") == "SUCCESS") & F.col("country").isNotNull())
     if as_of is not None:
         logins = logins.where(F.col("event_time") <= as_of_bound(df, "event_time", as_of))
+    if new_from is not None:
+        back = f"{max_gap_seconds + 1} seconds"
+        logins = logins.where(F.col("event_time") >= as_of_bound(df, "event_time", new_from, back))
     hits = sequence_gap(
         logins, "user_email", "event_time", changed="country", max_gap_seconds=max_gap_seconds,
         tiebreak=["event_id"], carry=["city", "source_ip"], **how,
     )
+    if new_from is not None:
+        hits = hits.where(F.col("event_time") >= as_of_bound(df, "event_time", new_from))
     return describe_travel(hits)
 
 
@@ -441,6 +450,7 @@ class Rule:
     expected_fpr: float | None = None
     tags: tuple[str, ...] = ()
     enabled: bool = True
+    incremental: bool = False
 
     @property
     def name(self) -> str:
@@ -524,7 +534,7 @@ RULES: tuple[Rule, ...] = (
             "previous_login_time", "time_diff_minutes", "current_country", "previous_country",
             "current_city", "previous_city", "previous_ip",
         ),
-        text="Detects logins from two countries within an hour",
+        text="Detects logins from two countries within an hour", incremental=True,
     ),
     _rule(
         "cloudtrail", "detect_aws_privilege_escalation", "AWS Privilege Escalation Attempt", "T1098",

@@ -133,7 +133,7 @@ def windows_xml(spark, sf):
 
 _WINDOWS_COLS = (
     "EventID EventRecordID TimeCreated Computer Channel ProviderName AccountName AccountDomain ProcessID IpAddress "
-    "IpPort TargetUserName LogonType Message"
+    "TargetUserName LogonType Message"
 ).split()
 
 
@@ -145,7 +145,7 @@ NRM_WINDOWS = sql(
     f"""SELECT CASE WHEN event_type = 'error' THEN 4625 ELSE 4624 END AS "EventID", event_id AS "EventRecordID",
   {shown('ts')} AS "TimeCreated", 'WS-' || (user_id % 40) AS "Computer", 'Security' AS "Channel",
   'Audit' AS "ProviderName", CASE WHEN k % 2 = 0 THEN 'svc' || k ELSE 'user' || user_id END AS "AccountName",
-  'CORP' AS "AccountDomain", k AS "ProcessID", '10.0.0.' || k AS "IpAddress", CAST(NULL AS INTEGER) AS "IpPort",
+  'CORP' AS "AccountDomain", k AS "ProcessID", '10.0.0.' || k AS "IpAddress",
   'user' || user_id AS "TargetUserName", ([2, 3, 10, 7])[k % 4 + 1] AS "LogonType", 'an account' AS "Message"
 FROM ev""",
     "ev",
@@ -269,7 +269,7 @@ NRM_CLOUDTRAIL = f"""SELECT '1.08' AS "eventVersion", {shown('o_orderdate')} AS
 
 
 def cloudtrail_to_silver(spark, sf):
-    out = silver.cloudtrail(N.cloudtrail_to_raw(N.normalize_cloudtrail_raw(cloud_files(spark, sf), partitions=16)))
+    out = silver.cloudtrail(N.cloudtrail_to_raw(N.normalize_cloudtrail_raw(cloud_files(spark, sf), partitions=spark.sparkContext.defaultParallelism)))
     return plain(out.select("event_time", "event_id", "event_name", "user_name", "s3_bucket", "risk_classification", "api_success"))
 
 
@@ -280,11 +280,11 @@ CLOUDTRAIL_TO_SILVER = f"""SELECT {shown('o_orderdate')} AS event_time, o_orderk
 
 
 def registry_keys(spark, sf):
-    """``events`` as registry changes in event XML; the odd values of k touch run keys."""
+    """``events`` as registry changes in event XML; errors touch run keys, views are no registry events."""
     e = T.with_k(T.load_wide(spark, sf, "events"))
-    path = text("HKLM\\Software\\CurrentVersion\\", F.when(F.col("k") % 2 == 1, F.lit("RunOnce")).otherwise("Fonts"), "\\v", F.col("k"))
+    path = text("HKLM\\Software\\CurrentVersion\\", F.when(F.col("event_type") == "error", F.lit("RunOnce")).otherwise("Fonts"), "\\v", F.col("k"))
     body = text(
-        "<Event><System><EventID>", F.col("k") % 3 + 11, '</EventID><TimeCreated SystemTime="', iso("ts"),
+        "<Event><System><EventID>", F.when(F.col("event_type") == "view", 11).otherwise(13), '</EventID><TimeCreated SystemTime="', iso("ts"),
         '"/><Computer>PC</Computer></System><EventData>', data(TargetObject=path, Image=F.lit("C:\\a\\reg.exe"), User=text("user", F.col("user_id"))),
         "</EventData></Event>",
     )
@@ -296,7 +296,7 @@ def registry_keys(spark, sf):
 REGISTRY_KEYS = sql(
     f"""SELECT {shown('ts')} AS event_time, 'user' || user_id AS "user", 'reg.exe' AS process_name, p AS registry_path,
   'MEDIUM' AS severity, 'Autorun key changed: ' || p AS description
-FROM (SELECT *, 'HKLM\\Software\\CurrentVersion\\RunOnce\\v' || k AS p FROM ev) WHERE k % 2 = 1 AND k % 3 + 11 >= 12""",
+FROM (SELECT *, 'HKLM\\Software\\CurrentVersion\\RunOnce\\v' || k AS p FROM ev) WHERE event_type = 'error'""",
     "ev",
 )
 
@@ -382,8 +382,8 @@ def expectations(spark, sf):
 
 
 EXPECTATIONS = """SELECT 'sysmon_network' AS table_name, r AS rule,
-  count(*) FILTER (r <> 'has_address' OR l_partkey % 50 <> 0) AS passed,
-  count(*) FILTER (r = 'has_address' AND l_partkey % 50 = 0) AS failed
+  count(*) FILTER (r <> 'has_address' OR l_tax > 0 OR l_discount > 0) AS passed,
+  count(*) FILTER (r = 'has_address' AND l_tax <= 0 AND l_discount <= 0) AS failed
 FROM lineitem CROSS JOIN (VALUES ('valid_timestamp'), ('valid_destination'), ('has_address')) v(r) GROUP BY r"""
 
 
@@ -397,7 +397,7 @@ def quarantined(spark, sf):
 
 QUARANTINED = """SELECT CASE WHEN l_linenumber IN (3, 4, 7) THEN 'lateral_movement_port' WHEN l_linenumber IN (5, 6)
     THEN 'c2_common_port' ELSE 'normal' END AS port_classification, count(*) AS n,
-  CASE WHEN l_partkey % 50 = 0 THEN 'quarantine' ELSE 'good' END AS part FROM lineitem GROUP BY ALL"""
+  CASE WHEN l_tax > 0 OR l_discount > 0 THEN 'good' ELSE 'quarantine' END AS part FROM lineitem GROUP BY ALL"""
 
 
 def dropped(spark, sf):
@@ -453,7 +453,7 @@ def json_files(spark, sf):
     rows = load(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
     rows.write.option("compression", "gzip").json(path)
     back = files.with_origin(files.read_json(spark, path, rows.schema, recursive=True))
-    return files.spread(back, 16).groupBy("event_type").agg(
+    return files.spread(back, spark.sparkContext.defaultParallelism).groupBy("event_type").agg(
         F.count("*").alias("n"), F.count_distinct("user_id").alias("users"), F.max("event_id").alias("last_id"),
         F.count("source_file").alias("with_file"),
     )
@@ -463,7 +463,7 @@ def report(spark, sf):
     path = scratch_path(spark, "report")
     load(spark, sf, "events").select("event_id").write.json(path)
     schema = schemas.flat("event_id long")
-    return files.source_report(spark, {"events": (path, schema), "missing": (path + "-none", schema)})
+    return files.source_report(spark, {"events": (path, schema), "missing": (path + "-none", schema)}).fillna(-1, ["events"])
 
 
 def since(spark, sf):
@@ -531,7 +531,7 @@ FROM ev GROUP BY ALL""",
     "expect_quarantine": (quarantined, QUARANTINED),
     "expect_drop": (
         dropped,
-        "SELECT 'WS-' || l_suppkey AS host, count(*) AS n FROM lineitem WHERE l_partkey % 50 <> 0 GROUP BY 1",
+        "SELECT 'WS-' || l_suppkey AS host, count(*) AS n FROM lineitem WHERE l_tax > 0 OR l_discount > 0 GROUP BY 1",
     ),
     "null_rate_checks": (nulls, NULLS),
     "json_extract_props": (
@@ -551,7 +551,7 @@ FROM ev GROUP BY ALL""",
     ),
     "source_report": (
         report,
-        "SELECT 'events' AS source, count(*) AS events, true AS available FROM events UNION ALL SELECT 'missing', NULL, false",
+        "SELECT 'events' AS source, count(*) AS events, true AS available FROM events UNION ALL SELECT 'missing', -1, false",
     ),
     "read_since_mark": (since, SINCE),
     "query_named_parameter": (

@@ -119,7 +119,7 @@ def stream_expectations(spark, sf):
 
 
 STREAM_EXPECTATIONS = """SELECT 'total_rows' AS metric, count(*) AS value FROM lineitem
-UNION ALL SELECT 'failed_has_address', count(*) FROM lineitem WHERE l_partkey % 50 = 0"""
+UNION ALL SELECT 'failed_has_address', count(*) FROM lineitem WHERE l_tax <= 0 AND l_discount <= 0"""
 
 
 def stream_alerts(spark, sf):

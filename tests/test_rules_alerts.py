@@ -93,6 +93,20 @@ def test_run_isolates_missing_tables(spark):
     assert sum(counts.values()) == run.alerts.count()
 
 
+def test_new_from_gives_the_newer_hits(spark):
+    step = timedelta(minutes=20)
+    rows = okta(spark, [(NOW - i * step, "v@x", "9", "XY"[i % 2], "SUCCESS") for i in range(12)])
+    every = rules.impossible_travel(rows, AS_OF)
+    newer = rules.impossible_travel(rows, AS_OF, new_from="2025-11-03 11:00:00")
+    assert every.count() == 11 and newer.count() == 4
+    assert set(newer.collect()) == set(every.where("current_login_time >= timestamp'2025-11-03 11:00:00'").collect())
+    chosen = [rules.BY_NAME["detect_mimikatz"], rules.BY_NAME["detect_impossible_travel"]]
+    starts = process(spark, ("mimikatz.exe", "x"))
+    both = {"sysmon_process": starts, "okta_auth": rows}
+    assert run_detections(both, AS_OF, chosen, "2025-11-03 11:00:00").alerts.count() == 5
+    assert run_detections(both, AS_OF, chosen, "2025-11-03 12:00:01").alerts.count() == 0
+
+
 def test_broken_signature_does_not_stop_the_others(spark):
     bad = rules._rule("sysmon_process", "detect_bad", "Bad", "T0", "X", "LOW", match=lambda: (F.col("no_such"), F.lit("")))
     run = run_detections(all_tables(spark), AS_OF, [bad, rules.BY_NAME["detect_psexec"]])
