@@ -28,11 +28,33 @@ def as_of_bound(df: DataFrame, ts: str, as_of: AsOf, back: str | None = None) ->
     return at - F.expr(f"INTERVAL {back}") if back else at
 
 
+def _day(df: DataFrame, ts: str) -> Column | None:
+    """The date partition that goes with a time: ``event_date`` for ``event_time``."""
+    name = ts.removesuffix("_time") + "_date"
+    return F.col(name) if ts.endswith("_time") and name in df.columns else None
+
+
+def since(df: DataFrame, ts: str, bound: Column) -> Column:
+    """``ts >= bound``, also on the date partition where the table has one.
+
+    A filter on the time alone would open the files of every day. The day is
+    taken one too wide, so the partition may have been cut in another time zone.
+    """
+    day = _day(df, ts)
+    test = F.col(ts) >= bound
+    return test if day is None else test & (day >= F.date_sub(F.to_date(bound), 1))
+
+
+def until(df: DataFrame, ts: str, bound: Column) -> Column:
+    """``ts <= bound``, also on the date partition where the table has one."""
+    day = _day(df, ts)
+    test = F.col(ts) <= bound
+    return test if day is None else test & (day <= F.date_add(F.to_date(bound), 1))
+
+
 def trailing(df: DataFrame, ts: str, as_of: AsOf, within: str) -> Column:
     """FLT-11: rows of the last ``within`` up to ``as_of``."""
-    return (F.col(ts) >= as_of_bound(df, ts, as_of, within)) & (
-        F.col(ts) <= as_of_bound(df, ts, as_of)
-    )
+    return since(df, ts, as_of_bound(df, ts, as_of, within)) & until(df, ts, as_of_bound(df, ts, as_of))
 
 
 def midnight(df: DataFrame, ts: str, as_of: AsOf) -> Column:

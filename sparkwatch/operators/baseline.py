@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sparkwatch.functions.times import AsOf, as_of_bound, midnight
+from sparkwatch.functions.times import AsOf, as_of_bound, midnight, since, trailing, until
 
 
 def baseline_zscore(
@@ -43,8 +43,8 @@ def baseline_zscore(
     today = today or {}
     rows = df.where(
         F.col(key).isNotNull()
-        & (t >= F.least(start, fresh))
-        & (t <= now)
+        & since(df, ts, F.least(start, fresh))
+        & until(df, ts, now)
         & (((t >= start) & (t < end)) | (t >= fresh))
     )
     daily = rows.groupBy(
@@ -87,8 +87,7 @@ def user_profile(df: DataFrame, key: str, ts: str, as_of: AsOf = None, history:
     """
     hour = F.hour(ts)
     daily = (
-        df.where(F.col(ts) >= as_of_bound(df, ts, as_of, history))
-        .where(F.col(ts) <= as_of_bound(df, ts, as_of))
+        df.where(trailing(df, ts, as_of, history))
         .groupBy(key, F.to_date(ts).alias("login_date"))
         .agg(
             F.count("*").alias("logins"),

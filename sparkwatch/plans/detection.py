@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
-from sparkwatch.functions.times import AsOf, as_of_bound
+from sparkwatch.functions.times import AsOf, as_of_bound, since
 from sparkwatch.operators.alerts import alert_fields, consolidate, to_alert
 from sparkwatch.operators.signature import match_all
 from sparkwatch.plans.rules import RULES, Rule
@@ -68,7 +68,7 @@ def run_detections(
         df = tables[table]
         if new_from is not None:
             ts = group[0].alert.event_time
-            df = df.where(F.col(ts) >= as_of_bound(df, ts, new_from))
+            df = df.where(since(df, ts, as_of_bound(df, ts, new_from)))
         try:
             parts.append(_signatures(df, group, as_of))
         except Exception:  # noqa: BLE001  find out which rule it was

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from sparkwatch import schemas
@@ -65,8 +65,9 @@ def run_pipeline(
 
     With ``available_now`` each layer is finished before the next one starts
     and the call returns when all rows have passed; otherwise all streams run
-    on. Silver streams carry their expectations as observed metrics. Returns
-    the queries by table name.
+    on. Silver streams carry their expectations as observed metrics and write
+    one partition per event date, which the rules prune on. Returns the queries
+    by table name.
     """
     queries = {}
     for name, path in raw.items():
@@ -82,9 +83,10 @@ def run_pipeline(
         for table, make in source.silver:
             bronze = table_stream(spark, f"{root}/bronze_{name}", bronze_schema(source))
             df, _ = expect(make(bronze), SILVER_RULES[table], name=table)
-            df = df.where(KEEP.get(table, "true"))
+            df = df.where(KEEP.get(table, "true")).withColumn("event_date", F.to_date("event_time"))
             queries[table] = write_stream(
-                df, table, f"{root}/{table}", f"{root}/_checkpoints/{table}", "parquet", every, available_now
+                df, table, f"{root}/{table}", f"{root}/_checkpoints/{table}", "parquet", every, available_now,
+                ("event_date",),
             )
     if available_now:
         finish(queries)
@@ -92,9 +94,10 @@ def run_pipeline(
 
 
 def read_silver(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The silver tables written by ``run_pipeline``."""
+    """The silver tables written by ``run_pipeline``, with their partition column."""
+    day = schemas.flat("event_date date").fields
     return {
-        table: spark.read.schema(schemas.SILVER[table]).parquet(f"{root}/{table}")
+        table: spark.read.schema(StructType([*schemas.SILVER[table].fields, *day])).parquet(f"{root}/{table}")
         for source in SOURCES.values()
         for table, _ in source.silver
     }

@@ -1,8 +1,8 @@
 """K-01 to K-29: reports over alerts, rules and event tables.
 
 All take ``as_of``, so a report can be repeated for any moment. Alert reports
-bound the detection time first; on the stored alert table, which is
-partitioned by detection date, ``recent_alerts`` turns that into pruning.
+bound the detection time first, which on the stored alert table also prunes
+its date partitions.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from sparkwatch.functions.severity import SEVERITIES, severity_rank, worst_severity
-from sparkwatch.functions.times import AsOf, as_of_bound, minutes_between, percent, trailing, trunc_like
+from sparkwatch.functions.times import AsOf, minutes_between, percent, trailing, trunc_like
 from sparkwatch.operators.silver import ACTORS
 
 
@@ -23,12 +23,8 @@ def _is(column: str, value: str) -> Column:
 
 
 def recent_alerts(alerts: DataFrame, as_of: AsOf, within: str) -> DataFrame:
-    """FLT-11 over alerts; also prunes date partitions where the table has them."""
-    out = alerts.where(trailing(alerts, "detection_time", as_of, within))
-    if "detection_date" in alerts.columns:
-        first = as_of_bound(alerts, "detection_time", as_of, within)
-        out = out.where(F.col("detection_date") >= F.to_date(first))
-    return out
+    """FLT-11 over alerts."""
+    return alerts.where(trailing(alerts, "detection_time", as_of, within))
 
 
 def _tp_rate() -> Column:

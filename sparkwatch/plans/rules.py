@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from sparkwatch import schemas
 from sparkwatch.functions.severity import severity_steps
 from sparkwatch.functions.text import contains_any, first_match, sentence, starts_with_any
-from sparkwatch.functions.times import AsOf, as_of_bound, minutes_between
+from sparkwatch.functions.times import AsOf, as_of_bound, minutes_between, since, trailing, until
 from sparkwatch.operators.alerts import AlertMap
 from sparkwatch.operators.baseline import baseline_zscore
 from sparkwatch.operators.cluster import cluster, cluster_outliers, user_features
@@ -220,10 +220,10 @@ def impossible_travel(
     """
     logins = df.where((F.col("outcome") == "SUCCESS") & F.col("country").isNotNull())
     if as_of is not None:
-        logins = logins.where(F.col("event_time") <= as_of_bound(df, "event_time", as_of))
+        logins = logins.where(until(df, "event_time", as_of_bound(df, "event_time", as_of)))
     if new_from is not None:
         back = f"{max_gap_seconds + 1} seconds"
-        logins = logins.where(F.col("event_time") >= as_of_bound(df, "event_time", new_from, back))
+        logins = logins.where(since(df, "event_time", as_of_bound(df, "event_time", new_from, back)))
     hits = sequence_gap(
         logins, "user_email", "event_time", changed="country", max_gap_seconds=max_gap_seconds,
         tiebreak=["event_id"], carry=["city", "source_ip"], **how,
@@ -381,11 +381,7 @@ def timeseries_anomaly(
     recent: str = "24 hours", **how,
 ) -> DataFrame:
     """D-14"""
-    failures = df.where(
-        (F.col("outcome") == "FAILURE")
-        & (F.col("event_time") >= as_of_bound(df, "event_time", as_of, history))
-        & (F.col("event_time") <= as_of_bound(df, "event_time", as_of))
-    )
+    failures = df.where((F.col("outcome") == "FAILURE") & trailing(df, "event_time", as_of, history))
     series = rolling_zscore(
         failures, "event_time",
         extra={"affected_users": F.count_distinct("user_email"), "source_ips": F.count_distinct("source_ip")},

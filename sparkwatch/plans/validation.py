@@ -20,12 +20,25 @@ CRITICAL_COLUMNS = {
 }
 
 
+# Column that marks suspicious rows, per table that has one.
+INDICATORS = {
+    "sysmon_process": "threat_indicator",
+    "sysmon_network": "port_classification",
+    "okta_auth": "risk_indicator",
+    "cloudtrail": "risk_classification",
+}
+
+
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """V-01: rows per table; an empty table fails."""
-    parts = [
-        df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("table_name"), "rows")
-        for name, df in tables.items()
-    ]
+    """V-01: rows and suspicious rows per table; an empty table fails."""
+    parts = []
+    for name, df in tables.items():
+        mark = F.col(INDICATORS[name]) != "normal" if name in INDICATORS else F.lit(False)
+        parts.append(
+            df.agg(F.count("*").alias("rows"), F.count_if(mark).alias("suspicious_rows")).select(
+                F.lit(name).alias("table_name"), "rows", "suspicious_rows"
+            )
+        )
     return reduce(DataFrame.unionByName, parts).withColumn("passed", F.col("rows") > 0)
 
 

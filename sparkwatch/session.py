@@ -56,7 +56,8 @@ def written_table(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where several passes need the same intermediate rows: the copy
-    survives the loss of executors and ends the lineage there.
+    survives the loss of executors and ends the lineage there. It stays until
+    the owner of the shared folder clears it.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)

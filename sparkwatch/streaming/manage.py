@@ -28,7 +28,7 @@ class StreamSpec:
 
 def write_stream(
     df: DataFrame, name: str, out: str, checkpoint: str, format: str = "json",
-    every: str = "10 seconds", available_now: bool = False,
+    every: str = "10 seconds", available_now: bool = False, partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
     """Append a stream to files, at an interval or once over what is there."""
     writer = (
@@ -38,6 +38,8 @@ def write_stream(
         .option("path", out)
         .outputMode("append")
     )
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     if format == "json":
         writer = writer.option("timestampFormat", JSON_TIME)
     trigger = {"availableNow": True} if available_now else {"processingTime": every}

@@ -77,8 +77,8 @@ def nrm_sysmon_xml(spark, sf):
 
 
 def nrm_sysmon_json(spark, sf):
-    """Both formats in one text column; JSON rows for odd users."""
-    e = T.events(spark, sf)
+    """``events`` as JSON lines of the same shape."""
+    e = T.with_k(T.load_wide(spark, sf, "events"))
     as_json = F.to_json(
         F.struct(
             F.lit(1).alias("EventID"), iso("ts").alias("EventTime"), text("WS-", F.col("user_id") % 40).alias("Computer"),
@@ -189,7 +189,7 @@ def okta_api(spark, sf):
         F.when(k % 2 == 0, F.array(F.struct(F.lit("Salesforce").alias("displayName")))).alias("target"),
         F.struct(F.struct(F.col("props").alias("requestUri")).alias("debugData")).alias("debugContext"),
     )
-    lines = T.events(spark, sf).select(F.to_json(record).alias("value"))
+    lines = T.with_k(T.load_wide(spark, sf, "events")).select(F.to_json(record).alias("value"))
     return lines.select(F.from_json("value", schemas.RAW_OKTA_API).alias("r")).select("r.*")
 
 
@@ -244,7 +244,7 @@ def cloud_files(spark, sf):
             F.struct(F.col("o_orderpriority").alias("bucketName")).alias("requestParameters"),
         )
 
-    lines = load(spark, sf, "orders").select(
+    lines = T.load_wide(spark, sf, "orders").select(
         F.to_json(F.struct(F.array(call("GetObject"), call("DeleteObject")).alias("Records"))).alias("value")
     )
     return lines.select(F.from_json("value", schemas.RAW_CLOUDTRAIL_FILE).alias("f")).select("f.*")
@@ -260,7 +260,7 @@ def nrm_cloudtrail(spark, sf):
     return plain(N.normalize_cloudtrail_raw(cloud_files(spark, sf)).select(*_CLOUD_COLS))
 
 
-_CALLS = "orders CROSS JOIN (VALUES ('GetObject'), ('DeleteObject')) c(call)"
+_CALLS = "(SELECT *, unnest(['GetObject', 'DeleteObject']) AS call FROM orders)"
 NRM_CLOUDTRAIL = f"""SELECT '1.08' AS "eventVersion", {shown('o_orderdate')} AS "eventTime",
   o_orderkey || '-' || call AS "eventID", call AS "eventName", 's3.amazonaws.com' AS "eventSource",
   CASE WHEN o_orderstatus = 'F' THEN 'AccessDenied' END AS "errorCode", 'cust' || o_custkey AS "userIdentity_userName",
@@ -384,7 +384,7 @@ def expectations(spark, sf):
 EXPECTATIONS = """SELECT 'sysmon_network' AS table_name, r AS rule,
   count(*) FILTER (r <> 'has_address' OR l_tax > 0 OR l_discount > 0) AS passed,
   count(*) FILTER (r = 'has_address' AND l_tax <= 0 AND l_discount <= 0) AS failed
-FROM lineitem CROSS JOIN (VALUES ('valid_timestamp'), ('valid_destination'), ('has_address')) v(r) GROUP BY r"""
+FROM (SELECT *, unnest(['valid_timestamp', 'valid_destination', 'has_address']) AS r FROM lineitem) GROUP BY r"""
 
 
 def quarantined(spark, sf):

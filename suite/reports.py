@@ -159,6 +159,34 @@ def checks(spark, sf):
     )
 
 
+def silver_counts(spark, sf):
+    return validation.table_counts(
+        {
+            "sysmon_process": T.process(spark, sf),
+            "sysmon_network": T.network(spark, sf),
+            "okta_auth": T.okta(spark, sf),
+            "windows_auth": T.windows(spark, sf),
+            "cloudtrail": T.cloud(spark, sf),
+        }
+    )
+
+
+SILVER_COUNTS = sql(
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS table_name, count(*) AS rows, {cnt(cond)} AS suspicious_rows, count(*) > 0 AS passed
+  FROM {view}"""
+        for name, view, cond in (
+            ("sysmon_process", "process", "threat_indicator <> 'normal'"),
+            ("sysmon_network", "network", "port_classification <> 'normal'"),
+            ("okta_auth", "okta", "risk_indicator <> 'normal'"),
+            ("windows_auth", "windows", "false"),
+            ("cloudtrail", "cloud", "risk_classification <> 'normal'"),
+        )
+    ),
+    *_TABLES,
+)
+
+
 def check_score(spark, sf):
     return validation.score(checks(spark, sf))
 
@@ -351,6 +379,7 @@ FROM common WHERE {within(20000)} GROUP BY log_source"""),
         over_alerts("""SELECT t AS mitre_tactic FROM (VALUES ('Credential Access'), ('Execution'),
   ('Lateral Movement'), ('Exfiltration'), ('Impact')) v(t) WHERE t NOT IN (SELECT mitre_tactic FROM alerts)"""),
     ),
+    "validation_table_counts": (silver_counts, SILVER_COUNTS),
     "validation_checks": (checks, CHECKS),
     "validation_score": (
         check_score,

@@ -63,12 +63,11 @@ HAVING count(*) >= 2 AND date_trunc('day', ts) + INTERVAL 1 DAY
 
 
 def stream_travel(spark, sf):
-    """Impossible travel over event files that arrive day by day."""
+    """Impossible travel with the last login per user as state."""
     root = scratch_path(spark, "stream-travel")
-    days = load(spark, sf, "events").withColumn("part", F.floor(F.datediff("ts", F.lit("2024-01-01").cast("date")) / 10))
-    days.repartitionByRange(3, "part").sortWithinPartitions("ts").drop("part").write.parquet(f"{root}/in")
-    raw = tables.table_stream(spark, f"{root}/in", load(spark, sf, "events").schema)
-    logins = T.okta_stream(raw).where((F.col("outcome") == "SUCCESS") & F.col("country").isNotNull())
+    logins = T.okta_stream(table_stream(spark, sf, "events")).where(
+        (F.col("outcome") == "SUCCESS") & F.col("country").isNotNull()
+    )
     q = stream_rules.start_sequence(
         logins, "user_email", "event_time", changed="country", max_gap_seconds=3600, tiebreak=["event_id"],
         carry=["city", "source_ip"], out=f"{root}/out", state=f"{root}/state", checkpoint=f"{root}/checkpoint",

@@ -17,6 +17,10 @@ AS_OF = "2025-11-03 12:00:00"
 NOW = datetime(2025, 11, 3, 12)
 
 
+def as_rows(df):
+    return sorted(map(tuple, df.collect()))
+
+
 def process(spark, *rows):
     full = [(NOW, "H", name, 1, command, "u", "cmd.exe", 2, "h", "x", "sysmon", "process_creation", NOW) for name, command in rows]
     return spark.createDataFrame(full, schemas.SILVER["sysmon_process"])
@@ -131,6 +135,17 @@ def test_report_prunes_date_partitions(spark, root):
     assert "detection_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
+def test_rules_prune_date_partitions(spark, root):
+    days = [(NOW - timedelta(days=d), "v@x", "9", "X", "FAILURE") for d in range(60)]
+    tables.write_sorted(okta(spark, days), root)
+    stored = spark.read.parquet(root)
+    for find in (rules.okta_bruteforce, rules.timeseries_anomaly, rules.user_behavior_anomaly):
+        plan = find(stored, AS_OF)._jdf.queryExecution().executedPlan().toString()
+        assert all("event_date" in p.split("]")[0] for p in plan.split("PartitionFilters: [")[1:])
+    hits = rules.okta_bruteforce(stored, AS_OF, within="10 days", min_count=10)
+    assert [r["failure_count"] for r in hits.collect()] == [11]
+
+
 def test_triage(spark, root):
     base = run_detections(all_tables(spark), AS_OF, QUICK).alerts
     one = base.where(F.col("detection_rule") == "detect_psexec")
@@ -223,6 +238,31 @@ def test_stream_sequence_keeps_state_between_batches(spark, root):
     assert got == {("a", "X", "Y", 3600), ("a", "Y", "Z", 100)}
 
 
+def test_threshold_rules_on_streams_equal_batch(spark, root):
+    rows = [(NOW + timedelta(seconds=20 * i), "a@x", "1", "X", "FAILURE") for i in range(40)]
+    rows += [(NOW + timedelta(seconds=20 * i), "b@x", "1", "X", "FAILURE") for i in range(3)]
+    end = [(NOW + timedelta(days=2), "z@x", "1", "X", "FAILURE")]
+    how = dict(mode="sliding", slide="5 minutes", steps=((20, "CRITICAL"), (7, "HIGH")))
+    batch = rules.okta_bruteforce(okta(spark, rows + end), **how)
+    hits = rules.okta_bruteforce(stream_of(spark, root, [rows, end]), watermark="10 minutes", **how)
+    q = manage.write_stream(hits, "brute", f"{root}/out", f"{root}/cp", "parquet", available_now=True)
+    q.awaitTermination()
+    cols = ["user_email", "failure_count", "first_failure", "window_start", "severity", "description"]
+    assert as_rows(spark.read.parquet(f"{root}/out").select(*cols)) == as_rows(batch.select(*cols)) != []
+
+
+def test_scan_rule_on_a_stream(spark, root):
+    at = lambda s: NOW + timedelta(seconds=s)
+    rows = [(at(i), "h", "p", 1, "u", f"10.0.0.{i}", 443, "normal", "sysmon", "network_connection", NOW) for i in range(30)]
+    rows.append((NOW + timedelta(days=1), "z", "p", 1, "u", "1.1.1.1", 443, "normal", "sysmon", "network_connection", NOW))
+    schema = schemas.SILVER["sysmon_network"]
+    spark.createDataFrame(rows, schema).write.parquet(f"{root}/in")
+    hits = rules.network_scanning(spark.readStream.schema(schema).parquet(f"{root}/in"), mode="sliding", watermark="1 minute")
+    manage.write_stream(hits, "scan", f"{root}/out", f"{root}/cp", "parquet", available_now=True).awaitTermination()
+    got = spark.read.parquet(f"{root}/out").collect()
+    assert [(r["host"], r["severity"], r["ports_accessed"]) for r in got] == [("h", "LOW", [443])]
+
+
 def test_stream_management(spark, root):
     spark.range(5).write.json(f"{root}/in")
     schema = schemas.flat("id long")
