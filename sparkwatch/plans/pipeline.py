@@ -59,15 +59,18 @@ def silver_batch(spark: SparkSession, raw: Mapping[str, str]) -> dict[str, DataF
 
 
 def run_pipeline(
-    spark: SparkSession, raw: Mapping[str, str], root: str, available_now: bool = True, every: str = "30 seconds"
+    spark: SparkSession, raw: Mapping[str, str], root: str, available_now: bool = True, every: str = "30 seconds",
+    by_date: bool = True,
 ) -> dict:
     """Start bronze and silver streams for the given raw folders below ``root``.
 
     With ``available_now`` each layer is finished before the next one starts
     and the call returns when all rows have passed; otherwise all streams run
     on. Silver streams carry their expectations as observed metrics and write
-    one partition per event date, which the rules prune on. Returns the queries
-    by table name.
+    one partition per event date, which the rules prune on. A backfill over
+    years would give each task a file for every day; turn ``by_date`` off for
+    it and lay the table out afterwards with ``write_sorted``. Returns the
+    queries by table name.
     """
     queries = {}
     for name, path in raw.items():
@@ -86,7 +89,7 @@ def run_pipeline(
             df = df.where(KEEP.get(table, "true")).withColumn("event_date", F.to_date("event_time"))
             queries[table] = write_stream(
                 df, table, f"{root}/{table}", f"{root}/_checkpoints/{table}", "parquet", every, available_now,
-                ("event_date",),
+                ("event_date",) if by_date else (),
             )
     if available_now:
         finish(queries)
