@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from sparkwatch.functions.severity import SEVERITIES, severity_rank, worst_severity
 from sparkwatch.functions.times import AsOf, minutes_between, percent, trailing, trunc_like
-from sparkwatch.operators.silver import ACTORS
 
 
 
