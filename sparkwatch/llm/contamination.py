@@ -25,8 +25,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-from sparkwatch.llm.text import Words, lower_table, rolling, slices
+from pyspark.sql.types import LongType, StructField, StructType
+
+from sparkwatch.llm.text import (
+    Words,
+    carried,
+    lower_table,
+    rolling,
+    slices,
+    with_row,
+    word_bytes,
+)
 from sparkwatch.session import written_table
 
 #: Bytes of item text in one block, which is what a task holds of the benchmark.
@@ -34,13 +43,6 @@ BLOCK_BYTES = 16 << 20
 _WINDOWS = "item string, place int, size int, words binary, shingles array<long>"
 
 
-def word_bytes() -> np.ndarray:
-    """True for the bytes of words: digits, a-z and all beyond ASCII (after lower-casing)."""
-    table = np.zeros(256, bool)
-    table[0x30:0x3A] = table[0x61:0x7B] = table[0x80:] = True
-    return table
-
-
 def _windows(items: DataFrame, window: int, shingle: int) -> DataFrame:
     """Distinct windows of each item with the hashes of their shingles."""
 
@@ -175,13 +177,13 @@ def _joined(block: dict, last: bool):
             own = [batch.column(0)] if not last else [pa.nulls(batch.num_rows, pa.string())]
             yield pa.RecordBatch.from_arrays(
                 [*own, pa.array(state, pa.binary()), batch.column(2), pa.array(counts)],
-                names=["text", "state", "doc_id", "n_words"],
+                names=["text", "state", "row", "n_words"],
             )
 
     return run
 
 
-def _summary(percent_inverse: int, with_spans: bool):
+def _summary(share: int):
     def run(batches):
         for batch in batches:
             n_hit, n_items, digest, spans_out = [], [], [], []
@@ -196,17 +198,16 @@ def _summary(percent_inverse: int, with_spans: bool):
                 digest.append(hashlib.sha256(",".join(sorted(found)).encode()).hexdigest())
                 spans_out.append([{"start": x, "end": y} for x, y in spans])
             n_words = batch.column(batch.schema.get_field_index("n_words"))
-            bad = [h > 0 and percent_inverse * h >= n for h, n in zip(n_hit, n_words.to_pylist(), strict=True)]
+            bad = [h > 0 and share * h >= n for h, n in zip(n_hit, n_words.to_pylist(), strict=True)]
             columns = [
                 batch.column(0), n_words, pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()),
                 pa.array(digest, pa.string()), pa.array(bad, pa.bool_()),
             ]
-            names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
-            if with_spans:
-                columns.append(
-                    pa.array(spans_out, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
-                )
-                names.append("spans")
+            names = ["row", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+            columns.append(
+                pa.array(spans_out, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
+            )
+            names.append("spans")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
@@ -218,15 +219,15 @@ def contamination(
     window: int = 13,
     shingle: int = 5,
     share: int = 20,
-    with_spans: bool = True,
     block_bytes: int = BLOCK_BYTES,
+    carry: list[str] | None = None,
 ) -> DataFrame:
     """How far benchmark ``items`` (item_id, text) occur in ``docs`` (doc_id, text).
 
-    Per row of ``docs``: doc_id, n_words, n_hit (words inside an occurrence of a window),
+    Per row of ``docs``: ``row`` (the columns in ``carry``, or all), n_words, n_hit (words inside an occurrence of a window),
     n_items (items with a window in it), items_sha256 (of those item_ids, sorted as strings and
-    joined by commas), contaminated (n_hit > 0 and ``share`` * n_hit >= n_words) and, on
-    request, the spans of the occurrences (word numbers, end exclusive).
+    joined by commas), contaminated (n_hit > 0 and ``share`` * n_hit >= n_words) and spans, the
+    occurrences (word numbers, end exclusive).
 
     Words are maximal runs of ASCII digits, ASCII letters (lower-cased) and other non-ASCII
     characters. Null and empty texts have no words: such documents are clean, such items
@@ -248,17 +249,14 @@ def contamination(
         wanted = [(k, np.array(sorted(v), np.uint64)) for k, v in sorted(by_size.items())]
         counts = {r.shingle & (2**64 - 1): r.n for r in _counted(docs, wanted).collect()} if rows else {}
         blocks.append(_block(rows, counts, shingle))
-    state = docs.select(
-        F.col("text").cast("string").alias("text"),
-        F.lit(None).cast("binary").alias("state"),
-        F.col("doc_id").cast("long").alias("doc_id"),
-    )
+    state = carried(docs, carry).withColumn("state", F.lit(None).cast("binary"))
     for block in blocks:
-        state = state.select("text", "state", "doc_id").mapInArrow(
-            _joined(block, block is blocks[-1]),
-            "text string, state binary, doc_id long, n_words long",
-        )
-    shown = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
-    if with_spans:
-        shown += ", spans array<struct<start:long,end:long>>"
-    return state.select("doc_id", "state", "n_words").mapInArrow(_summary(share, with_spans), shown)
+        state = state.select("text", "state", "row")
+        step = StructType.fromDDL("text string, state binary")
+        step = StructType([*step.fields, state.schema["row"], StructField("n_words", LongType())])
+        state = state.mapInArrow(_joined(block, block is blocks[-1]), step)
+    shown = (
+        "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
+        "spans array<struct<start:long,end:long>>"
+    )
+    return state.select("row", "state", "n_words").mapInArrow(_summary(share), with_row(state, shown))

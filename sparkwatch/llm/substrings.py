@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkwatch.llm.text import SPACES, Words, byte_table, mix, rolling, slices, within
+from sparkwatch.llm.text import SPACES, Words, byte_table, mix, rolling, with_row, within
 
 _MAIL = "batch long, bucket long, hashes binary, more binary, lows binary"
 _REPLY = "batch long, bucket long, level int, bits binary"
@@ -222,13 +222,13 @@ def _removed(work: _Batch, replies: dict) -> np.ndarray:
     return np.cumsum(gone[:-1]) > 0
 
 
-RESULT = "doc_id long, text string, n_words long, n_removed long, kept_sha256 string, spans array<struct<start:long,end:long>>"
+_RESULT = "n_words long, n_removed long, kept_sha256 string, spans array<struct<start:long,end:long>>"
 
 
 def _results(work: _Batch, table: pa.Table, gone: np.ndarray) -> list[dict]:
     words, out = work.words, []
     raw = words.raw
-    for r, doc in enumerate(table["doc_id"].to_pylist()):
+    for r in range(table.num_rows):
         a, b = words.first[r], words.first[r + 1]
         low, high = words.offsets[r], words.offsets[r + 1]
         flags = gone[a:b]
@@ -252,7 +252,6 @@ def _results(work: _Batch, table: pa.Table, gone: np.ndarray) -> list[dict]:
             text = b"".join(pieces).decode("utf-8", "replace")
         out.append(
             {
-                "doc_id": doc,
                 "text": text,
                 "n_words": int(b - a),
                 "n_removed": int(flags.sum()),
@@ -264,15 +263,19 @@ def _results(work: _Batch, table: pa.Table, gone: np.ndarray) -> list[dict]:
 
 
 def remove_repeats(
-    docs: DataFrame, length: int = 13, batch_rows: int = BATCH_ROWS, with_text: bool = True
+    docs: DataFrame,
+    length: int = 13,
+    carry: list[str] | None = None,
+    with_text: bool = True,
+    batch_rows: int = BATCH_ROWS,
 ) -> DataFrame:
     """Remove words covered by a window of ``length`` words that a smaller doc_id holds too.
 
-    Per row of ``docs`` (doc_id, text): doc_id, text (what is left; unchanged where nothing is
-    removed), n_words, n_removed, kept_sha256 (of the kept words joined by one space), spans
-    (removed words, end exclusive). Windows are judged on the input.
-
-    Other columns are not read. A null text has no words and stays null; an empty one stays
+    Per row of ``docs`` (doc_id, text): ``row`` (the columns in ``carry``, or all but text),
+    text (what is left; unchanged where nothing is removed), n_words, n_removed, kept_sha256
+    (of the kept words joined by one space), spans (removed words, end exclusive). Windows are
+    judged on the input.
+ A null text has no words and stays null; an empty one stays
     empty. A row without doc_id neither loses words nor makes others lose any. Rows that
     repeat a doc_id count as the same document, so they do not remove each other.
 
@@ -280,12 +283,14 @@ def remove_repeats(
     it. The windows of the last level are compared by 96 bits of hash.
     """
     lengths = levels(length)
+    names = [c for c in docs.columns if c != "text"] if carry is None else carry
     spark = docs.sparkSession
     n_rows = docs.count()
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n_rows / 4096))
     texts = docs.select(
         F.floor(F.monotonically_increasing_id() / batch_rows).alias("batch"),
         F.col("doc_id").cast("long").alias("doc_id"),
+        F.struct(*[docs[f"`{c}`"] for c in names]).alias("row"),
         F.col("text").cast("string").alias("text"),
     )
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -301,16 +306,19 @@ def remove_repeats(
         last = level + 1 == len(lengths)
         reply = mail.groupBy("bucket").applyInArrow(_answered(level, last), _REPLY)
         replies = reply if replies is None else replies.unionByName(reply)
-    shown = RESULT if with_text else RESULT.replace("text string, ", "")
+    shown = ("text string, " if with_text else "") + _RESULT
 
     def finish(key, table, told):
         work = _Batch(table, lengths, buckets)
         rows = _results(work, table, _removed(work, _replies(told)))
         fields = [
-            ("doc_id", pa.int64()), ("text", pa.string()), ("n_words", pa.int64()),
-            ("n_removed", pa.int64()), ("kept_sha256", pa.string()),
+            ("text", pa.string()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
+            ("kept_sha256", pa.string()),
             ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
         ]
-        return pa.Table.from_pylist(rows, pa.schema([f for f in fields if with_text or f[0] != "text"]))
+        out = pa.Table.from_pylist(rows, pa.schema(fields if with_text else fields[1:]))
+        return out.add_column(0, "row", table["row"])
 
-    return texts.groupBy("batch").cogroup(replies.groupBy("batch")).applyInArrow(finish, shown)
+    return texts.groupBy("batch").cogroup(replies.groupBy("batch")).applyInArrow(
+        finish, with_row(texts, shown)
+    )

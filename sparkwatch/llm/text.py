@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _MIX_A = 0xBF58476D1CE4E5B9
 _MIX_B = 0x94D049BB133111EB
@@ -103,6 +105,13 @@ def byte_table(outside: bytes) -> np.ndarray:
     return table
 
 
+def word_bytes() -> np.ndarray:
+    """True for the bytes of words: digits, a-z and all beyond ASCII (after lower-casing)."""
+    table = np.zeros(256, bool)
+    table[0x30:0x3A] = table[0x61:0x7B] = table[0x80:] = True
+    return table
+
+
 def lower_table() -> np.ndarray:
     """The byte values with A-Z lower-cased."""
     table = np.arange(256, dtype=np.uint8)
@@ -145,3 +154,19 @@ def slices(batches, column: str, most_bytes: int = 1 << 22):
             stop = max(int(np.searchsorted(ends, base + most_bytes, "right")), begin + 1)
             yield batch.slice(begin, stop - begin)
             begin = stop
+
+
+def carried(df, columns: list[str] | None = None):
+    """``row`` (a struct of the given columns, or all) beside the text as a string.
+
+    Operators hand ``row`` on untouched, so extra columns may have any name and type.
+    """
+    names = df.columns if columns is None else columns
+    return df.select(
+        F.struct(*[df[f"`{c}`"] for c in names]).alias("row"), df["text"].cast("string").alias("text")
+    )
+
+
+def with_row(df, ddl: str) -> StructType:
+    """The schema of ``row`` followed by the columns in ``ddl``."""
+    return StructType([df.schema["row"], *StructType.fromDDL(ddl).fields])
