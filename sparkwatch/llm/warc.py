@@ -261,7 +261,7 @@ def _lines(batches):
         rows = zip(*(c.to_pylist() for c in batch.columns), strict=True)
         out = []
         for page_id, url, sha, size, done, first in rows:
-            if first is not None and first != page_id:
+            if first is not None and page_id is not None and first != page_id:
                 done = member(record(f"urn:page:{page_id}", b"", size, sha, url, f"urn:page:{first}"))[:-1]
             out.append(done)
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
