@@ -6,8 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-# A key with more rows than this is cut into time slices.
-HOT_ROWS = 5_000_000
+#: Width of the time slices in which the rows of a key are ordered.
+SLICE_SECONDS = 3600
 
 
 def _micros(c: Column) -> Column:
@@ -20,44 +20,29 @@ def with_previous(
     ts: str,
     tiebreak: Sequence[str],
     carry: Sequence[str],
-    hot_rows: int = HOT_ROWS,
-    slice_seconds: int = 60,
+    slice_seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
     """WIN-01: add struct ``prev`` with the ``carry`` columns of the row before.
 
     Rows are ordered by ``ts`` and ``tiebreak`` within ``key``. A plain LAG
-    sorts all rows of a key in one task, so keys above ``hot_rows`` are
-    partitioned by (key, time slice) instead. The last row of every slice of
-    such a key is copied into the next slice that has rows, which makes LAG
-    exact across the cut; the copies are dropped again afterwards. The list of
-    hot keys holds at most rows / hot_rows entries, so it may be broadcast.
+    sorts all rows of a key in one task, so every key is partitioned by (key,
+    time slice). The last row of each slice, one aggregated row, is copied into
+    the next slice of the key that has rows, which makes LAG exact across
+    the cut; the copies are dropped again afterwards. So a task holds what one
+    key has in one slice, and the input is read twice.
     """
     order = [ts, *tiebreak]
-    hot = (
-        df.groupBy(key)
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") > hot_rows)
-        .select(F.col(key).alias("_key"), F.lit(True).alias("_hot"))
-    )
     width = slice_seconds * 1_000_000
-    slice_of = F.floor(_micros(F.col(ts)) / F.lit(width))
-    rows = (
-        df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_key")), "left")
-        .drop("_key")
-        .withColumn("_slice", F.when(F.col("_hot"), slice_of))
-    )
+    rows = df.withColumn("_slice", F.floor(_micros(F.col(ts)) / F.lit(width)))
     kept = list(dict.fromkeys([*carry, *order]))
     tails = (
-        rows.where(F.col("_hot"))
-        .groupBy(key, "_slice")
+        rows.groupBy(key, "_slice")
         .agg(F.max(F.struct(*order, *[c for c in kept if c not in order])).alias("_last"))
         .withColumn("_slice", F.lead("_slice").over(W.partitionBy(key).orderBy("_slice")))
         .where(F.col("_slice").isNotNull())
         .select(key, "_slice", "_last.*", F.lit(True).alias("_copy"))
     )
-    both = rows.drop("_hot").withColumn("_copy", F.lit(False)).unionByName(
-        tails, allowMissingColumns=True
-    )
+    both = rows.withColumn("_copy", F.lit(False)).unionByName(tails, allowMissingColumns=True)
     window = W.partitionBy(key, "_slice").orderBy(*order)
     return (
         both.withColumn("prev", F.lag(F.struct(*carry)).over(window))

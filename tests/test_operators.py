@@ -101,7 +101,7 @@ def logins(spark, seed=0, n=400, users=5, hot=0.5):
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_sliced_previous_row_equals_lag(spark, seed):
     df = logins(spark, seed)
-    got = with_previous(df, "user", "t", ["id"], ["t", "country", "id"], hot_rows=20, slice_seconds=300)
+    got = with_previous(df, "user", "t", ["id"], ["t", "country", "id"], slice_seconds=300)
     want = df.withColumn("prev", F.lag(F.struct("t", "country", "id")).over(W.partitionBy("user").orderBy("t", "id")))
     assert sorted(map(str, got.select("id", "prev").collect())) == sorted(map(str, want.select("id", "prev").collect()))
     assert got.count() == df.count()
@@ -110,7 +110,7 @@ def test_sliced_previous_row_equals_lag(spark, seed):
 def test_hot_key_is_spread_over_tasks(spark):
     """The rows of a hot key are partitioned by key and slice."""
     df = logins(spark, 4, 300, hot=1.0)
-    out = with_previous(df, "user", "t", ["id"], ["country"], hot_rows=20, slice_seconds=300)
+    out = with_previous(df, "user", "t", ["id"], ["country"], slice_seconds=300)
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "_slice" in plan.split("Window")[1]
 
