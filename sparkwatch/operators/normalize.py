@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import IntegerType, LongType, StructType, TimestampType
 
@@ -93,28 +95,34 @@ def unparsed(df: DataFrame, text: str = "value") -> DataFrame:
     )
 
 
+def _sysmon_columns(data: Column, system: dict[str, Column]) -> list[Column]:
+    names = [f.name for f in schemas.SYSMON.fields]
+    return [(F.coalesce(system[n], data[n]) if n in system else data[n]).alias(n) for n in names]
+
+
 def normalize_sysmon_raw(df: DataFrame, text: str = "value") -> DataFrame:
-    """NRM-01: host events in XML or JSON text to the canonical table."""
+    """NRM-01: host events in XML or JSON text to the canonical table.
+
+    XML and JSON go separate ways, so a JSON line meets no XML parser. Records that
+    are not readable are left out of both; ``unparsed`` returns them.
+    """
     value = F.col(text)
-    is_xml = value.startswith("<Event")
     names = [f.name for f in schemas.SYSMON.fields]
-    good = _once(df.where(is_xml | value.startswith("{")), event=_event(F.when(is_xml, value))).where(
-        ~is_xml | _is_event(F.col("event"))
-    )
-    parsed = (
-        _with_data(good, names)
-        .withColumn("data_json", F.when(is_xml, F.col("data_json")))
-        .withColumn("data", F.when(is_xml, F.col("data")).otherwise(F.from_json(value, schemas.nested(" ".join(names)))))
-    )
-    system = {
-        "EventID": F.col("event.System.EventID"),
-        "EventTime": F.col("event.System.TimeCreated._SystemTime"),
-        "Computer": F.col("event.System.Computer"),
-        "RawEventData": F.col("data_json"),
-    }
-    rows = parsed.select(
-        *[(F.coalesce(system[n], F.col("data")[n]) if n in system else F.col("data")[n]).alias(n) for n in names]
+    xml = _once(df.where(value.startswith("<Event")), event=_event(value)).where(_is_event(F.col("event")))
+    xml = _with_data(xml, names).select(
+        *_sysmon_columns(
+            F.col("data"),
+            {
+                "EventID": F.col("event.System.EventID"),
+                "EventTime": F.col("event.System.TimeCreated._SystemTime"),
+                "Computer": F.col("event.System.Computer"),
+                "RawEventData": F.col("data_json"),
+            },
+        )
     )
+    lines = df.where(value.startswith("{") & F.try_parse_json(value).isNotNull())
+    lines = lines.select(F.from_json(value, schemas.nested(" ".join(names))).alias("data"))
+    rows = xml.unionByName(lines.select(*_sysmon_columns(F.col("data"), {})))
     return _conform(rows, schemas.SYSMON, _stamp("sysmon"))
 
 
@@ -260,12 +268,21 @@ def convert_cloudtrail(df: DataFrame) -> DataFrame:
     )
 
 
-def conversion_rate(raw: DataFrame, converted: DataFrame, source: str) -> DataFrame:
-    """K-31: records in, records converted and the share in percent."""
-    both = raw.select(F.lit(1).alias("r"), F.lit(0).alias("c")).unionAll(
-        converted.select(F.lit(0), F.lit(1))
-    )
-    return both.agg(F.sum("r").alias("raw_count"), F.sum("c").alias("converted_count")).select(
+def conversion_rate(raw: DataFrame, source: str, text: str = "value", formats: Sequence[str] = ("xml", "json")) -> DataFrame:
+    """K-31: records in, records a normaliser converts and the share in percent.
+
+    One scan: each record is parsed once and counted by whether it could be. ``formats`` are
+    those that the normaliser of the source takes.
+    """
+    value = F.col(text)
+    good = F.lit(False)
+    if "json" in formats:
+        good = good | (value.startswith("{") & F.try_parse_json(value).isNotNull())
+    rows = raw.select(value.alias("value"), F.coalesce(good, F.lit(False)).alias("good"))
+    if "xml" in formats:
+        rows = _once(rows, event=_event(F.when(F.col("value").startswith("<Event"), F.col("value"))))
+        rows = rows.select((F.col("good") | F.coalesce(_is_event(F.col("event")), F.lit(False))).alias("good"))
+    return rows.agg(F.count("*").alias("raw_count"), F.count_if("good").alias("converted_count")).select(
         F.lit(source).alias("source"),
         "raw_count",
         "converted_count",

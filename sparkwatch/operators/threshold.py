@@ -27,14 +27,15 @@ def threshold(
     first_as: str = "first_seen",
     last_as: str = "last_seen",
     distinct_as: str = "distinct_count",
-    approx: bool | None = None,
+    approx: bool = False,
 ) -> DataFrame:
     """Groups with at least ``min_count`` events, or distinct values, in a span.
 
     ``trailing`` looks at the last ``within`` before ``as_of``. ``sliding``
     covers all history with event-time windows of that length, moved by
-    ``slide``, and works on streams when ``watermark`` is set. Streams cannot
-    count distinct values exactly, so there the count is approximate. ``sets``
+    ``slide``, and works on streams when ``watermark`` is set. Distinct values
+    are counted exactly in both; a stream groups by the value first and counts
+    the groups of closed windows, unless ``approx`` asks for an estimate. ``sets``
     names sorted value sets to keep per group; use it for columns of few
     distinct values such as ports or API names.
     """
@@ -56,14 +57,22 @@ def threshold(
         F.min(ts).alias(first_as),
         F.max(ts).alias(last_as),
     ]
-    level = count_as
-    if distinct:
-        level = distinct_as
-        approx = df.isStreaming if approx is None else approx
+    level = distinct_as if distinct else count_as
+    chained = bool(distinct) and df.isStreaming and not approx
+    if chained:
+        df, groups = _by_value(df, keys, groups, distinct, aggs, sets), [F.col(g) for g in _names(keys, mode)]
+        aggs = [
+            F.sum(count_as).alias(count_as),
+            F.min(first_as).alias(first_as),
+            F.max(last_as).alias(last_as),
+            F.count("_value").alias(distinct_as),
+        ]
+    elif distinct:
         count = F.approx_count_distinct if approx else F.count_distinct
         aggs.append(count(distinct).alias(distinct_as))
     for name, column in (sets or {}).items():
-        aggs.append(F.sort_array(F.collect_set(column)).alias(name))
+        found = F.flatten(F.collect_list(name)) if chained else F.collect_set(column)
+        aggs.append(F.sort_array(F.array_distinct(found)).alias(name))
 
     out = df.groupBy(*groups).agg(*aggs).where(F.col(level) >= min_count)
     if mode == "sliding":
@@ -73,6 +82,16 @@ def threshold(
     return out
 
 
+def _names(keys: Sequence[str], mode: str) -> list[str]:
+    return [*keys, "_span"] if mode == "sliding" else list(keys)
+
+
+def _by_value(df, keys, groups, distinct, aggs, sets) -> DataFrame:
+    """One row per group and distinct value, with what the groups need of it."""
+    kept = [F.collect_set(column).alias(name) for name, column in (sets or {}).items()]
+    return df.groupBy(*groups, F.col(distinct).alias("_value")).agg(*aggs, *kept)
+
+
 def threshold_evidence(
     df: DataFrame,
     hits: DataFrame,
@@ -80,6 +99,8 @@ def threshold_evidence(
     ts: str,
     first_as: str = "first_seen",
     last_as: str = "last_seen",
+    as_of: AsOf = None,
+    within: str | None = None,
 ) -> DataFrame:
     """AGG-10: the events behind each hit, one row per event.
 
@@ -87,7 +108,10 @@ def threshold_evidence(
     this long form holds the same times. Hits carry their span, so the join is
     on the keys and limited to it; AQE splits a key with many events. Sliding
     hits keep their window columns, since an event may lie in several windows.
+    With the ``within`` and ``as_of`` of trailing hits only that span is read.
     """
+    if within is not None:
+        df = df.where(trailing(df, ts, as_of, within))
     window = [c for c in ("window_start", "window_end") if c in hits.columns]
     spans = hits.select(
         *[F.col(k).alias(f"_{k}") for k in keys],

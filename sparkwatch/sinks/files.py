@@ -9,11 +9,10 @@ JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
 def write_json(
-    df: DataFrame, path: str, mode: str = "overwrite", partition_by: tuple[str, ...] = (), single_file: bool = False
+    df: DataFrame, path: str, mode: str = "overwrite", partition_by: tuple[str, ...] = ()
 ) -> None:
-    """JSON lines with ISO times. ``single_file`` is for exports of known small size."""
-    out = df.coalesce(1) if single_file else df
-    out.write.mode(mode).partitionBy(*partition_by).option("timestampFormat", JSON_TIME).json(path)
+    """JSON lines with ISO times."""
+    df.write.mode(mode).partitionBy(*partition_by).option("timestampFormat", JSON_TIME).json(path)
 
 
 def flat_columns(df: DataFrame) -> DataFrame:

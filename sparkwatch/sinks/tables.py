@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkwatch import schemas
@@ -21,10 +22,10 @@ def read_alerts(spark: SparkSession, path: str) -> DataFrame | None:
     """The stored alerts with their partition column, or None before the first write."""
     try:
         return spark.read.schema(_stored_schema()).parquet(path)
-    except Exception as error:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(error):
-            return None
-        raise
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def append_alerts(alerts: DataFrame, path: str) -> None:

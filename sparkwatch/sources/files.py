@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -76,8 +77,8 @@ def saved_schema(spark: SparkSession, sample_path: str, schema_path: str) -> Str
     """
     try:
         text = spark.read.text(schema_path, wholetext=True).first()
-    except Exception as error:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(error):
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
         text = None
     if text is not None:
@@ -102,6 +103,43 @@ def spread(df: DataFrame, partitions: int) -> DataFrame:
     return df.repartition(partitions)
 
 
+def read_json_rescued(
+    spark: SparkSession, path: str, schema: StructType, stream: bool = False, rescued: str = "rescued", **options
+) -> DataFrame:
+    """SRC-02: JSON lines in the types of ``schema``, and what does not fit them as JSON text.
+
+    ``rescued`` is null where a record fits. Otherwise it is an object of the top-level fields that
+    the schema does not know and of those whose value was lost in their type; a line that
+    is no JSON object is kept whole as ``{"_line": ...}``. So no field of a later format vanishes.
+    """
+    lines = read_lines(spark, path, stream, **options)
+    return rescue_json(lines, schema, rescued)
+
+
+def rescue_json(lines: DataFrame, schema: StructType, rescued: str = "rescued", text: str = "value") -> DataFrame:
+    """``read_json_rescued`` over a column of JSON text; other columns stay."""
+    line = F.col(text)
+    typed = F.from_json(line, schema)
+    raw = F.from_json(line, "map<string,string>")
+    one = F.array(F.struct(typed.alias("t"), raw.alias("m"), F.coalesce(F.json_object_keys(line), F.array()).alias("k")))
+    rows = lines.select("*", F.explode(one).alias("_r"))
+    known = {f.name: F.col("_r.t")[f.name] for f in schema.fields}
+    names = F.array(*[F.lit(n) for n in known])
+    gone = F.array_compact(
+        F.array(*[
+            F.when(value.isNull() & F.try_element_at("_r.m", F.lit(name)).isNotNull(), F.lit(name))
+            for name, value in known.items()
+        ])
+    )
+    extra = F.array_union(F.array_except("_r.k", names), gone)
+    kept = F.map_filter("_r.m", lambda k, _: F.array_contains(extra, k))
+    whole = F.to_json(F.struct(line.alias("_line")))
+    is_object = F.col("_r.m").isNotNull() & F.json_object_keys(line).isNotNull()
+    rest = F.when(line.isNull() | (F.trim(line) == ""), None).when(~is_object, whole).when(F.size(extra) > 0, F.to_json(kept))
+    others = [c for c in lines.columns if c != text]
+    return rows.select(*others, *[v.alias(n) for n, v in known.items()], rest.alias(rescued))
+
+
 def unexpected_keys(lines: DataFrame, schema: StructType) -> DataFrame:
     """Top-level JSON keys that the schema does not know, with their counts."""
     known = F.array(*[F.lit(f.name) for f in schema.fields])
@@ -113,12 +151,14 @@ def unexpected_keys(lines: DataFrame, schema: StructType) -> DataFrame:
 
 
 def source_report(spark: SparkSession, paths: dict[str, tuple[str, StructType]]) -> DataFrame:
-    """K-30: events per source; a source that cannot be read shows null."""
+    """K-30: events per source; a source without a folder shows null."""
     parts = []
     for name, (path, schema) in paths.items():
         try:
             part = spark.read.schema(schema).json(path).agg(F.count("*").alias("events"))
-        except Exception:  # noqa: BLE001  a missing folder is part of the report
+        except AnalysisException as error:  # a missing folder is part of the report
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             part = spark.range(1).select(F.lit(None).cast("long").alias("events"))
         parts.append(part.select(F.lit(name).alias("source"), "events"))
     out = parts[0]

@@ -15,8 +15,20 @@ def use_namespace(spark: SparkSession, schema: str) -> DataFrame:
     return spark.sql("SHOW TABLES")
 
 
+def _is_file(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).isFile()
+
+
 def table_stream(spark: SparkSession, path: str, schema: StructType, **options) -> DataFrame:
-    """SRC-09: rows appended to a Parquet table folder, as a stream."""
+    """SRC-09: rows appended to a Parquet table, as a stream.
+
+    A table is a folder of part files, all of which are read. A table that is
+    a single file is read through its folder, which streams need.
+    """
+    if _is_file(spark, path):
+        path, _, name = path.rstrip("/").rpartition("/")
+        options["pathGlobFilter"] = name
     return spark.readStream.schema(schema).options(**options).parquet(path)
 
 

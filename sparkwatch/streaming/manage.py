@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from sparkwatch.sinks.files import JSON_TIME
 
@@ -96,13 +97,54 @@ def stop_streams(spark: SparkSession) -> list[str]:
     return stopped
 
 
-def observed(query: StreamingQuery, name: str) -> dict[str, int]:
-    """STR-09: expectation counts summed over the progress kept by the query."""
-    totals: dict[str, int] = {}
-    for progress in query.recentProgress:
-        row = progress["observedMetrics"].get(name)
-        if row is not None:
-            values = row.asDict() if hasattr(row, "asDict") else dict(row)
-            for k, v in values.items():
-                totals[k] = totals.get(k, 0) + v
-    return totals
+class ObservedTotals(StreamingQueryListener):
+    """STR-09: expectation counts of streams, added up over all their batches.
+
+    A query itself keeps the progress of its last batches only. This listens to every progress
+    from the start of the ``with`` block on and counts each batch once. To carry counts over a
+    restart, store what ``of`` returns.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.batches: dict[tuple[str, str], dict[int, dict[str, int]]] = {}
+        self.ended: set[str] = set()
+        self.news = threading.Condition()
+
+    def __enter__(self) -> ObservedTotals:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.spark.streams.removeListener(self)
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        progress = event.progress
+        with self.news:
+            for name, row in progress.observedMetrics.items():
+                counts = self.batches.setdefault((str(progress.runId), name), {})
+                counts[progress.batchId] = row.asDict()
+            self.news.notify_all()
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        with self.news:
+            self.ended.add(str(event.runId))
+            self.news.notify_all()
+
+    def of(self, query: StreamingQuery, name: str, wait_seconds: float = 60) -> dict[str, int]:
+        """The counts named ``name`` of a query; of one that has ended, when all have arrived."""
+        run = str(query.runId)
+        with self.news:
+            if not query.isActive and not self.news.wait_for(lambda: run in self.ended, wait_seconds):
+                raise TimeoutError(f"the last counts of {query.name} did not arrive")
+            totals: dict[str, int] = {}
+            for counts in self.batches.get((run, name), {}).values():
+                for k, v in counts.items():
+                    totals[k] = totals.get(k, 0) + v
+        return totals

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from datetime import timedelta
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sparkwatch.functions.neighbours import HOT_ROWS
 from sparkwatch.operators.alerts import notification_payload
 from sparkwatch.operators.sequence import sequence_gap
 from sparkwatch.sinks.tables import append_alerts
@@ -76,61 +78,101 @@ def start_notifier(
     )
 
 
-def start_sequence(
-    stream: DataFrame, key: str, ts: str, *, changed: str, max_gap_seconds: int,
-    tiebreak: Sequence[str], carry: Sequence[str], out: str, state: str, checkpoint: str,
-    name: str = "sequence", every: str = "1 minute", available_now: bool = False,
-    describe: Callable[[DataFrame], DataFrame] | None = None, hot_rows: int = HOT_ROWS,
-    late_seconds: int = 86_400,
-) -> StreamingQuery:
-    """STR-11: ``sequence_gap`` on a stream.
-
-    The last event per key is kept in a table below ``state``. Each micro-batch
-    is compared together with those rows by the batch operator, which also cuts
-    up hot keys, and then replaces the table. Two folders take turns, so a
-    batch repeated after a failure finds the state it started from. Keys whose
-    last event lies further back than the gap plus ``late_seconds`` are dropped,
-    since no event that is at most that late can pair with it. An event that
-    arrives in a later batch than a newer event of its key finds that newer
-    event as its neighbour and gives no hit; a batch run over the same data
-    would order it first. Hits of a batch go to ``out/batch_id=<n>``.
+@dataclass(frozen=True)
+class SequenceStream:
+    """STR-11: ``sequence_gap`` on a stream, with the result of a batch run.
+
+    Rows may arrive up to ``late_seconds`` after newer ones. The edge is the newest time seen less
+    that span; what lies before it is complete. Each micro-batch is put together with the rows
+    kept below ``state``, the batch operator runs over both, and hits whose later row has come
+    to lie before the edge are written, each once, to ``out/batch_id=<n>``. Rows from the edge less
+    the gap on are kept. Two folders take turns, so a batch that is repeated after a failure
+    finds the state it started from. Rows that arrive later than allowed are left out, as
+    behind a watermark; ``flush`` writes the hits after the last edge when a stream has ended.
     """
-    fields = list(dict.fromkeys([key, ts, *tiebreak, changed, *carry]))
-    order = [ts, *tiebreak]
-    rest = [c for c in fields if c not in order and c != key]
 
-    def run(batch: DataFrame, batch_id: int) -> None:
+    key: str
+    ts: str
+    changed: str
+    max_gap_seconds: int
+    tiebreak: Sequence[str]
+    out: str
+    state: str
+    carry: Sequence[str] = ()
+    late_seconds: int = 86_400
+    describe: Callable[[DataFrame], DataFrame] | None = None
+
+    def start(
+        self, stream: DataFrame, checkpoint: str, name: str = "sequence", every: str = "1 minute",
+        available_now: bool = False,
+    ) -> StreamingQuery:
+        trigger = {"availableNow": True} if available_now else {"processingTime": every}
+        return (
+            stream.writeStream.queryName(name)
+            .option("checkpointLocation", checkpoint)
+            .foreachBatch(self._run)
+            .trigger(**trigger)
+            .start()
+        )
+
+    def hits(self, spark: SparkSession) -> DataFrame:
+        """All hits written so far."""
+        return spark.read.parquet(self.out).drop("batch_id")
+
+    def flush(self, spark: SparkSession) -> None:
+        """Write the hits after the last edge; for streams that have ended."""
+        slots = [s for s in (0, 1) if self._edge(spark, s) is not None]
+        if slots:
+            slot = max(slots, key=lambda s: self._edge(spark, s)["batch_id"])
+            edge = self._edge(spark, slot)
+            rows = spark.read.parquet(f"{self.state}/slot={slot}")
+            self._write(rows, edge["edge"], None, edge["batch_id"] + 1)
+
+    def _edge(self, spark: SparkSession, slot: int):
+        """Edge and number of the batch that wrote a slot, None before the first."""
+        try:
+            return spark.read.schema("edge timestamp, batch_id long").parquet(f"{self.state}/edge={slot}").first()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
+    def _write(self, rows: DataFrame, after, until, batch_id: int) -> None:
+        found = sequence_gap(
+            rows, self.key, self.ts, changed=self.changed, max_gap_seconds=self.max_gap_seconds,
+            tiebreak=self.tiebreak, carry=self.carry,
+        )
+        time = F.col(self.ts).cast("timestamp")
+        if after is not None:
+            found = found.where(time > F.lit(after))
+        if until is not None:
+            found = found.where(time <= F.lit(until))
+        found = self.describe(found) if self.describe else found
+        found.write.mode("overwrite").parquet(f"{self.out}/batch_id={batch_id}")
+
+    def _run(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch.select(*fields).withColumn("_new", F.lit(True)).persist()
+        fields = list(dict.fromkeys([self.key, self.ts, *self.tiebreak, self.changed, *self.carry]))
+        time = F.col(self.ts).cast("timestamp")
+        last = self._edge(spark, (batch_id - 1) % 2) if batch_id > 0 else None
+        before = last["edge"] if last else None
+        rows = batch.select(*fields)
+        if before is not None:
+            rows = rows.where(time > F.lit(before))
+        if last is not None:
+            rows = rows.unionByName(spark.read.parquet(f"{self.state}/slot={(batch_id - 1) % 2}"))
+        rows = rows.persist()
         try:
-            both = rows
-            if batch_id > 0:
-                before = spark.read.parquet(f"{state}/slot={(batch_id - 1) % 2}")
-                both = rows.unionByName(before.withColumn("_new", F.lit(False)))
-            hits = sequence_gap(
-                both, key, ts, changed=changed, max_gap_seconds=max_gap_seconds, tiebreak=tiebreak,
-                carry=carry, hot_rows=hot_rows,
-            ).where(F.col("_new")).drop("_new")
-            hits = describe(hits) if describe else hits
-            hits.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-            newest = (
-                both.groupBy(key)
-                .agg(F.max(F.struct(*order, *rest)).alias("_last"))
-                .select(key, "_last.*")
-            )
-            edge = both.agg(F.max(ts).alias("t")).first()["t"]
+            newest = rows.agg(F.max(time).alias("t")).first()["t"]
+            edge = None if newest is None else newest - timedelta(seconds=self.late_seconds)
+            edge = before if edge is None or before is not None and edge < before else edge
             if edge is not None:
-                oldest = F.lit(edge) - F.expr(f"INTERVAL {max_gap_seconds + late_seconds} SECONDS")
-                newest = newest.where(F.col(ts) >= oldest)
-            newest.select(*fields).write.mode("overwrite").parquet(f"{state}/slot={batch_id % 2}")
+                self._write(rows, before, edge, batch_id)
+                kept = rows.where(time > F.lit(edge - timedelta(seconds=self.max_gap_seconds + 1)))
+            else:
+                kept = rows
+            kept.write.mode("overwrite").parquet(f"{self.state}/slot={batch_id % 2}")
+            mark = spark.createDataFrame([(edge, batch_id)], "edge timestamp, batch_id long")
+            mark.write.mode("overwrite").parquet(f"{self.state}/edge={batch_id % 2}")
         finally:
             rows.unpersist()
-
-    trigger = {"availableNow": True} if available_now else {"processingTime": every}
-    return (
-        stream.writeStream.queryName(name)
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(run)
-        .trigger(**trigger)
-        .start()
-    )

@@ -35,7 +35,7 @@ def data(**fields):
 
 def sysmon_xml(spark, sf):
     """``events`` as host event XML with prolog; every fifth has an attribute on EventID."""
-    e = T.with_k(T.load_wide(spark, sf, "events"))
+    e = T.with_k(T.load(spark, sf, "events"))
     k, uid = F.col("k"), F.col("user_id")
     fields = data(
         RuleName=F.lit(""), User=text("CORP\\user", uid), ProcessId=F.col("event_id") % 5000,
@@ -78,7 +78,7 @@ def nrm_sysmon_xml(spark, sf):
 
 def nrm_sysmon_json(spark, sf):
     """``events`` as JSON lines of the same shape."""
-    e = T.with_k(T.load_wide(spark, sf, "events"))
+    e = T.with_k(T.load(spark, sf, "events"))
     as_json = F.to_json(
         F.struct(
             F.lit(1).alias("EventID"), iso("ts").alias("EventTime"), text("WS-", F.col("user_id") % 40).alias("Computer"),
@@ -113,7 +113,7 @@ SYSMON_TO_SILVER = sql(
 
 
 def windows_xml(spark, sf):
-    e = T.with_k(T.load_wide(spark, sf, "events"))
+    e = T.with_k(T.load(spark, sf, "events"))
     k, uid = F.col("k"), F.col("user_id")
     fields = data(
         SubjectUserName=F.when(k % 2 == 0, text("svc", k)).otherwise(F.lit("")),
@@ -189,7 +189,7 @@ def okta_api(spark, sf):
         F.when(k % 2 == 0, F.array(F.struct(F.lit("Salesforce").alias("displayName")))).alias("target"),
         F.struct(F.struct(F.col("props").alias("requestUri")).alias("debugData")).alias("debugContext"),
     )
-    lines = T.with_k(T.load_wide(spark, sf, "events")).select(F.to_json(record).alias("value"))
+    lines = T.with_k(T.load(spark, sf, "events")).select(F.to_json(record).alias("value"))
     return lines.select(F.from_json("value", schemas.RAW_OKTA_API).alias("r")).select("r.*")
 
 
@@ -244,7 +244,7 @@ def cloud_files(spark, sf):
             F.struct(F.col("o_orderpriority").alias("bucketName")).alias("requestParameters"),
         )
 
-    lines = T.load_wide(spark, sf, "orders").select(
+    lines = T.load(spark, sf, "orders").select(
         F.to_json(F.struct(F.array(call("GetObject"), call("DeleteObject")).alias("Records"))).alias("value")
     )
     return lines.select(F.from_json("value", schemas.RAW_CLOUDTRAIL_FILE).alias("f")).select("f.*")
@@ -281,7 +281,7 @@ CLOUDTRAIL_TO_SILVER = f"""SELECT {shown('o_orderdate')} AS event_time, o_orderk
 
 def registry_keys(spark, sf):
     """``events`` as registry changes in event XML; errors touch run keys, views are no registry events."""
-    e = T.with_k(T.load_wide(spark, sf, "events"))
+    e = T.with_k(T.load(spark, sf, "events"))
     path = text("HKLM\\Software\\CurrentVersion\\", F.when(F.col("event_type") == "error", F.lit("RunOnce")).otherwise("Fonts"), "\\v", F.col("k"))
     body = text(
         "<Event><System><EventID>", F.when(F.col("event_type") == "view", 11).otherwise(13), '</EventID><TimeCreated SystemTime="', iso("ts"),
@@ -330,8 +330,7 @@ def damaged(spark, sf):
 
 
 def conversion(spark, sf):
-    raw = damaged(spark, sf)
-    return N.conversion_rate(raw, N.convert_windows_xml(raw), "windows")
+    return N.conversion_rate(damaged(spark, sf), "windows", formats=("xml",))
 
 
 CONVERSION = sql(
@@ -345,6 +344,52 @@ def unparsed(spark, sf):
     return N.unparsed(damaged(spark, sf)).agg(F.count("*").alias("n"), F.max(F.length("value")).alias("longest"))
 
 
+def damaged_json(spark, sf):
+    """Host events as JSON lines of which those with k below 7 are cut off."""
+    e = T.events(spark, sf)
+    line = F.to_json(F.struct(F.lit(1).alias("EventID"), text("user", F.col("user_id")).alias("User"), "props"))
+    return e.select(F.when(F.col("k") < 7, F.substring(line, 1, 12)).otherwise(line).alias("value"))
+
+
+def broken_json(spark, sf):
+    """Broken lines are left out by the normaliser, returned as evidence and counted."""
+    raw = damaged_json(spark, sf)
+    kept = N.normalize_sysmon_raw(raw).agg(F.count("*").alias("rows"), F.count("User").alias("with_user"))
+    rest = N.unparsed(raw).agg(F.count("*").alias("broken"), F.max(F.length("value")).alias("longest"))
+    rate = N.conversion_rate(raw, "sysmon").select("raw_count", "converted_count", "success_rate")
+    return kept.crossJoin(rest).crossJoin(rate)  # three single rows
+
+
+BROKEN_JSON = sql(
+    """SELECT count(*) FILTER (k >= 7) AS rows, count(*) FILTER (k >= 7) AS with_user, count(*) FILTER (k < 7) AS broken,
+  12 AS longest, count(*) AS raw_count, count(*) FILTER (k >= 7) AS converted_count,
+  round(count(*) FILTER (k >= 7) * 100.0 / count(*), 2) AS success_rate FROM ev""",
+    "ev",
+)
+
+
+def rescued_fields(spark, sf):
+    """A later format: a new field, a value of another type, and lines that are no objects."""
+    e, k = T.events(spark, sf), F.col("k")
+    line = F.when(k == 7, F.lit("{broken")).otherwise(
+        text(
+            '{"event_id":', F.col("event_id"), ',"score":', F.when(k % 5 == 0, F.lit('"n/a"')).otherwise(k.cast("string")),
+            F.when(k % 3 == 0, F.lit(',"extra":{"a":1}')).otherwise(""), "}",
+        )
+    )
+    path = scratch_path(spark, "rescued")
+    e.select(line.alias("value")).write.text(path)
+    return files.read_json_rescued(spark, path, schemas.flat("event_id long, score int"))
+
+
+RESCUED_FIELDS = sql(
+    """SELECT CASE WHEN k <> 7 THEN event_id END AS event_id, CASE WHEN k <> 7 AND k % 5 <> 0 THEN k END AS score,
+  CASE WHEN k = 7 THEN '{"_line":"{broken"}' WHEN k % 5 = 0 AND k % 3 = 0 THEN '{"score":"n/a","extra":"{\\"a\\":1}"}'
+    WHEN k % 5 = 0 THEN '{"score":"n/a"}' WHEN k % 3 = 0 THEN '{"extra":"{\\"a\\":1}"}' END AS rescued FROM ev""",
+    "ev",
+)
+
+
 def silver_table(table, *drop):
     return lambda spark, sf: plain(table(spark, sf).drop(*drop))
 
@@ -520,6 +565,8 @@ FROM ev GROUP BY ALL""",
     ),
     "conversion_rate": (conversion, CONVERSION),
     "unparsed_records": (unparsed, sql("SELECT count(*) AS n, 300 AS longest FROM ev WHERE k < 7", "ev")),
+    "broken_json_records": (broken_json, BROKEN_JSON),
+    "bronze_rescued_fields": (rescued_fields, RESCUED_FIELDS),
     "silver_sysmon_process": (silver_table(T.process), silver_sql("sysmon_process", "process")),
     "silver_sysmon_network": (silver_table(T.network), silver_sql("sysmon_network", "network")),
     "silver_okta_auth": (silver_table(T.okta), silver_sql("okta_auth", "okta")),

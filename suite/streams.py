@@ -24,9 +24,8 @@ from suite.telemetry import load, plain, shown, sql
 
 
 def table_stream(spark, sf, name):
-    """One of the given Parquet files as a stream."""
-    schema = load(spark, sf, name).schema
-    return tables.table_stream(spark, sf, schema, pathGlobFilter=f"{name}.parquet")
+    """One of the given tables as a stream, be it a file or a folder of parts."""
+    return tables.table_stream(spark, f"{sf}/{name}.parquet", load(spark, sf, name).schema)
 
 
 def stream_normalize(spark, sf):
@@ -62,19 +61,40 @@ HAVING count(*) >= 2 AND date_trunc('day', ts) + INTERVAL 1 DAY
   <= (SELECT max(ts) FROM events WHERE event_type = 'error') - INTERVAL 1 HOUR"""
 
 
+def stream_threshold_distinct(spark, sf):
+    """Distinct values per window of a stream, counted exactly."""
+    root = scratch_path(spark, "stream-distinct")
+    rows = stream_rules.event_time_stream(table_stream(spark, sf, "events"), "ts")
+    hits = threshold(
+        rows, ["user_id"], "ts", within="2 days", min_count=2, mode="sliding", watermark="1 hour", distinct="event_type",
+        sets={"types": "event_type"},
+    )
+    q = manage.write_stream(hits, "distinct", f"{root}/out", f"{root}/checkpoint", "parquet", available_now=True)
+    q.awaitTermination()
+    return plain(spark.read.schema(hits.schema).parquet(f"{root}/out"))
+
+
+STREAM_DISTINCT = f"""WITH w AS (SELECT *, time_bucket(INTERVAL 2 DAY, ts, TIMESTAMP '1970-01-01') AS s FROM events)
+SELECT user_id, count(*) AS event_count, {shown('min(ts)')} AS first_seen, {shown('max(ts)')} AS last_seen,
+  count(DISTINCT event_type) AS distinct_count, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS types,
+  {shown('s')} AS window_start, {shown('s + INTERVAL 2 DAY')} AS window_end
+FROM w GROUP BY user_id, s HAVING count(DISTINCT event_type) >= 2
+  AND s + INTERVAL 2 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"""
+
+
 def stream_travel(spark, sf):
     """Impossible travel with the last login per user as state."""
     root = scratch_path(spark, "stream-travel")
     logins = T.okta_stream(table_stream(spark, sf, "events")).where(
         (F.col("outcome") == "SUCCESS") & F.col("country").isNotNull()
     )
-    q = stream_rules.start_sequence(
-        logins, "user_email", "event_time", changed="country", max_gap_seconds=3600, tiebreak=["event_id"],
-        carry=["city", "source_ip"], out=f"{root}/out", state=f"{root}/state", checkpoint=f"{root}/checkpoint",
-        available_now=True, describe=rules.describe_travel,
+    sequence = stream_rules.SequenceStream(
+        "user_email", "event_time", changed="country", max_gap_seconds=3600, tiebreak=("event_id",),
+        carry=("city", "source_ip"), out=f"{root}/out", state=f"{root}/state", describe=rules.describe_travel,
     )
-    q.awaitTermination()
-    return plain(spark.read.parquet(f"{root}/out").drop("batch_id"))
+    sequence.start(logins, f"{root}/checkpoint", available_now=True).awaitTermination()
+    sequence.flush(spark)
+    return plain(sequence.hits(spark))
 
 
 def stream_pipeline(spark, sf):
@@ -107,13 +127,14 @@ STREAM_PIPELINE = sql(
 
 
 def stream_expectations(spark, sf):
-    """Counts observed on a stream, as reported by its progress."""
+    """Counts observed on a stream, added up over all of its batches."""
     root = scratch_path(spark, "stream-expect")
     rows = silver.sysmon_network(T.network_raw_from(table_stream(spark, sf, "lineitem")), keep_incomplete=True)
     checked, name = expect(rows, {"has_address": "destination_ip IS NOT NULL"}, name="network_rules")
-    q = manage.write_stream(checked, "expect", f"{root}/out", f"{root}/checkpoint", "parquet", available_now=True)
-    q.awaitTermination()
-    counts = manage.observed(q, name)
+    with manage.ObservedTotals(spark) as totals:
+        q = manage.write_stream(checked, "expect", f"{root}/out", f"{root}/checkpoint", "parquet", available_now=True)
+        q.awaitTermination()
+        counts = totals.of(q, name)
     return spark.createDataFrame([(k, int(v)) for k, v in counts.items()], "metric string, value long")
 
 
@@ -156,6 +177,7 @@ def stream_enriched(spark, sf):
 QUERIES = {
     "stream_normalize_xml": (stream_normalize, sql(f"SELECT {_SYSMON_SQL} FROM ev", "ev")),
     "stream_threshold": (stream_threshold, STREAM_THRESHOLD),
+    "stream_threshold_distinct": (stream_threshold_distinct, STREAM_DISTINCT),
     "stream_impossible_travel": (stream_travel, TRAVEL),
     "stream_bronze_silver": (stream_pipeline, STREAM_PIPELINE),
     "stream_expectations": (stream_expectations, STREAM_EXPECTATIONS),

@@ -22,14 +22,6 @@ def load(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def load_wide(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """For work that is heavy per row: a table of fewer files than cores is
-    spread over the cores first. Larger tables are split by their files."""
-    df = load(spark, sf, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 def plain(df: DataFrame) -> DataFrame:
     """Times and arrays as text, decimals as double, for comparison across engines."""
     out = []

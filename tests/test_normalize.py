@@ -149,13 +149,13 @@ def test_batch_pipeline_equals_stream_pipeline(spark, root):
         '{"EventID":1,"EventTime":"2025-11-03T10:00:02","ProcessName":"a.exe"}',
     ]
     spark.createDataFrame([(r,) for r in rows], "value string").write.text(f"{root}/raw")
-    queries = pipeline.run_pipeline(spark, {"sysmon": f"{root}/raw"}, f"{root}/tables")
-    batch = pipeline.silver_batch(spark, {"sysmon": f"{root}/raw"})
-    from sparkwatch.streaming.manage import observed
+    from sparkwatch.streaming.manage import ObservedTotals
 
-    assert observed(queries["sysmon_network"], "sysmon_network") == {
-        "total_rows": 2, "failed_valid_timestamp": 0, "failed_valid_destination": 1,
-    }
+    with ObservedTotals(spark) as totals:
+        queries = pipeline.run_pipeline(spark, {"sysmon": f"{root}/raw"}, f"{root}/tables")
+        counts = totals.of(queries["sysmon_network"], "sysmon_network")
+    assert counts == {"total_rows": 2, "failed_valid_timestamp": 0, "failed_valid_destination": 1}
+    batch = pipeline.silver_batch(spark, {"sysmon": f"{root}/raw"})
     for name in ("sysmon_process", "sysmon_network"):
         stored = spark.read.parquet(f"{root}/tables/{name}").drop("processed_timestamp", "event_date")
         assert stored.collect() == batch[name].drop("processed_timestamp").collect()

@@ -1,5 +1,6 @@
 """Rule presets, the detection run, alert life cycle and streams."""
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -7,9 +8,11 @@ from pyspark.sql import functions as F
 
 from sparkwatch import schemas, scratch_path
 from sparkwatch.operators import alerts as A
+from sparkwatch.operators.sequence import sequence_gap
 from sparkwatch.plans import reports, rules, validation
 from sparkwatch.plans.detection import register_views, run_detections, validate_rules
 from sparkwatch.sinks import files, tables
+from sparkwatch.sources import tables as source_tables
 from sparkwatch.streaming import manage
 from sparkwatch.streaming import rules as stream_rules
 
@@ -190,7 +193,7 @@ def test_exports(spark, root):
     nested = alerts.select("alert_id", F.array("severity").alias("levels"))
     files.write_csv(nested, f"{root}/csv")
     assert spark.read.option("header", True).csv(f"{root}/csv").columns == ["alert_id", "levels"]
-    files.write_json(A.export_rows(alerts, AS_OF), f"{root}/json", single_file=True)
+    files.write_json(A.export_rows(alerts, AS_OF), f"{root}/json")
     assert spark.read.json(f"{root}/json").count() == alerts.count()
     tables.write_sorted(alerts, f"{root}/sorted")
     assert spark.read.parquet(f"{root}/sorted").count() == alerts.count()
@@ -229,15 +232,84 @@ def test_stream_sequence_keeps_state_between_batches(spark, root):
         [(at(3700), "a", "3", "Y", "SUCCESS"), (at(3800), "a", "4", "Z", "SUCCESS")],
     ]
     stream = stream_of(spark, root, batches)
-    q = stream_rules.start_sequence(
-        stream, "user_email", "event_time", changed="country", max_gap_seconds=3600, tiebreak=["event_id"],
-        carry=["city", "source_ip"], out=f"{root}/out", state=f"{root}/state", checkpoint=f"{root}/cp", available_now=True,
-    )
-    q.awaitTermination()
-    got = {(r["user_email"], r["previous_country"], r["country"], r["gap_seconds"]) for r in spark.read.parquet(f"{root}/out").collect()}
+    sequence = travel_stream(root)
+    sequence.start(stream, f"{root}/cp", available_now=True).awaitTermination()
+    sequence.flush(spark)
+    got = {(r["user_email"], r["previous_country"], r["country"], r["gap_seconds"]) for r in sequence.hits(spark).collect()}
     assert got == {("a", "X", "Y", 3600), ("a", "Y", "Z", 100)}
 
 
+def travel_stream(root, late_seconds=86_400):
+    return stream_rules.SequenceStream(
+        "user_email", "event_time", changed="country", max_gap_seconds=3600, tiebreak=("event_id",),
+        carry=("city", "source_ip"), out=f"{root}/out", state=f"{root}/state", late_seconds=late_seconds,
+    )
+
+
+@pytest.mark.parametrize("late_seconds", [7200, 86_400])
+def test_late_rows_give_the_hits_of_a_batch_run(spark, root, late_seconds):
+    r = random.Random(9)
+    rows = [(NOW + timedelta(seconds=90 * i), r.choice("ab"), str(i), r.choice("XYZ"), "SUCCESS") for i in range(200)]
+    late = [(i + r.randrange(60), row) for i, row in enumerate(rows)]  # up to 90 minutes
+    ordered = [row for _, row in sorted(late, key=lambda x: x[0])]
+    stream = stream_of(spark, root, [ordered[i : i + 25] for i in range(0, 200, 25)])
+    sequence = travel_stream(root, late_seconds)
+    sequence.start(stream, f"{root}/cp", available_now=True).awaitTermination()
+    sequence.flush(spark)
+    want = sequence_gap(
+        okta(spark, rows), "user_email", "event_time", changed="country", max_gap_seconds=3600,
+        tiebreak=["event_id"], carry=["city", "source_ip"],
+    )
+    cols = ["user_email", "event_time", "previous_event_time", "country", "previous_country", "gap_seconds"]
+    assert as_rows(sequence.hits(spark).select(*cols)) == as_rows(want.select(*cols)) != []
+
+
+def test_distinct_counts_on_a_stream_are_exact(spark, root):
+    at = lambda s: NOW + timedelta(seconds=s)
+    rows = [(at(i % 59), "h", "p", 1, "u", f"10.0.{i % 20}.1", i % 3, "normal", "sysmon", "network_connection", NOW) for i in range(500)]
+    rows += [(at(i), "h2", "p", 1, "u", f"10.0.{i % 19}.1", 1, "normal", "sysmon", "network_connection", NOW) for i in range(50)]
+    rows.append((NOW + timedelta(days=1), "z", "p", 1, "u", "1.1.1.1", 443, "normal", "sysmon", "network_connection", NOW))
+    schema = schemas.SILVER["sysmon_network"]
+    batch = spark.createDataFrame(rows, schema)
+    batch.repartition(5).write.parquet(f"{root}/in")
+    hits = rules.network_scanning(spark.readStream.schema(schema).parquet(f"{root}/in"), mode="sliding", watermark="1 minute")
+    manage.write_stream(hits, "scan", f"{root}/out", f"{root}/cp", "parquet", available_now=True).awaitTermination()
+    cols = ["host", "unique_destinations", "total_connections", "ports_accessed", "first_connection", "last_connection"]
+    want = rules.network_scanning(batch, mode="sliding").select(*cols)
+    assert as_rows(spark.read.parquet(f"{root}/out").select(*cols)) == as_rows(want) != []
+
+
+def test_counts_of_more_batches_than_a_query_keeps(spark, root):
+    from sparkwatch.operators.quality import expect
+
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", 2)
+    try:
+        stream = stream_of(spark, root, [[(NOW, "a", str(i), None if i % 2 else "X", "SUCCESS")] for i in range(6)])
+        checked, name = expect(stream, {"has_country": "country IS NOT NULL"}, name="checked")
+        with manage.ObservedTotals(spark) as totals:
+            q = manage.write_stream(checked, "counted", f"{root}/out", f"{root}/cp", "parquet", available_now=True)
+            q.awaitTermination()
+            assert totals.of(q, name) == {"total_rows": 6, "failed_has_country": 3}
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+
+
+@pytest.mark.parametrize("folder", [False, True])
+def test_table_streams_read_files_and_folders(spark, root, folder):
+    df = spark.range(1000)
+    if folder:
+        df.repartition(3).write.parquet(f"{root}/t.parquet")
+        path = f"{root}/t.parquet"
+    else:
+        df.coalesce(1).write.parquet(f"{root}/one")
+        inner = spark.read.parquet(f"{root}/one").select("_metadata.file_path").first()[0]
+        path = inner.replace("file:///", "/")
+    stream = source_tables.table_stream(spark, path, df.schema)
+    manage.write_stream(stream, "t", f"{root}/out", f"{root}/cp", "parquet", available_now=True).awaitTermination()
+    assert spark.read.parquet(f"{root}/out").count() == 1000
+
+
 def test_threshold_rules_on_streams_equal_batch(spark, root):
     rows = [(NOW + timedelta(seconds=20 * i), "a@x", "1", "X", "FAILURE") for i in range(40)]
     rows += [(NOW + timedelta(seconds=20 * i), "b@x", "1", "X", "FAILURE") for i in range(3)]
