@@ -38,7 +38,12 @@ EXPORT_COLUMNS = (
 
 @dataclass(frozen=True)
 class AlertMap:
-    """Which hit columns fill the canonical alert row."""
+    """Which hit columns fill the canonical alert row.
+
+    A rule over a moving span sees the first event of an incident change from run to run.
+    ``period_seconds`` puts the start of the aligned period that holds the event in the id
+    instead of the event's own time, so an entity has one alert in each period.
+    """
 
     rule: str
     title: str
@@ -50,6 +55,7 @@ class AlertMap:
     source_ip: str | None = None
     context: tuple[str, ...] = ()
     identity: tuple[str, ...] = field(default=())
+    period_seconds: int | None = None
 
 
 def lookup(column: str, values: dict, default) -> Column:
@@ -73,7 +79,10 @@ def alert_fields(m: AlertMap, severity: Column, description: Column, as_of: AsOf
     name = lambda c: F.col(c).cast("string") if c else F.lit(None).cast("string")
     at = F.col(m.event_time).cast("timestamp")
     parts = [name(m.user), name(m.host), name(m.source_ip)]
-    parts.append(F.date_format(at, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    start = at
+    if m.period_seconds:
+        start = F.timestamp_seconds(F.floor(F.unix_timestamp(at) / m.period_seconds) * m.period_seconds)
+    parts.append(F.date_format(start, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
     parts += [F.col(c).cast("string") for c in m.identity]
     key = F.concat_ws("|", F.lit(m.rule), *[F.coalesce(p, F.lit("-")) for p in parts])
     found = _detected_at(as_of)

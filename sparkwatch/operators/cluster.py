@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from sparkwatch.functions.times import AsOf, hour_within, trailing
@@ -50,20 +51,61 @@ def user_features(
     )
 
 
+def _fitted(features: DataFrame, cols: Sequence[str], k: int, seed: int, scale: bool):
+    """The features, written once for the passes of the fit, and the model, or None without rows."""
+    stored = written_table(features, "features")
+    if not stored.take(1):
+        return stored, None
+    stages = [VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="skip")]
+    if scale:
+        stages.append(StandardScaler(inputCol="features", outputCol="scaled_features"))
+    stages.append(KMeans(featuresCol="scaled_features" if scale else "features", k=k, seed=seed))
+    return stored, Pipeline(stages=stages).fit(stored)
+
+
 def cluster(
     features: DataFrame, cols: Sequence[str] = USER_FEATURES, k: int = 4, seed: int = 42, scale: bool = True
 ) -> DataFrame:
     """Add ``prediction``, the k-means cluster of the features, standardised or as they are.
 
     Fitting passes over the features several times, so they are written to the
-    shared folder once instead of being aggregated again for each pass.
+    shared folder once instead of being aggregated again for each pass. Without rows there
+    is nothing to fit and no row comes out.
     """
-    stored = written_table(features, "features")
-    stages = [VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="skip")]
-    if scale:
-        stages.append(StandardScaler(inputCol="features", outputCol="scaled_features"))
-    stages.append(KMeans(featuresCol="scaled_features" if scale else "features", k=k, seed=seed))
-    return Pipeline(stages=stages).fit(stored).transform(stored).drop("features", "scaled_features")
+    stored, model = _fitted(features, cols, k, seed, scale)
+    if model is None:
+        return stored.withColumn("prediction", F.lit(None).cast("int"))
+    return model.transform(stored).drop("features", "scaled_features")
+
+
+def cluster_checks(
+    features: DataFrame, cols: Sequence[str] = USER_FEATURES, k: int = 4, seed: int = 42, scale: bool = True
+) -> DataFrame:
+    """The features with ``nearest``, whether the assigned centre is the nearest one, and
+    ``as_ruled``, whether a row is an outlier just if its cluster is at most twice the smallest."""
+    stored, model = _fitted(features, cols, k, seed, scale)
+    if model is None:
+        return stored.withColumns({"nearest": F.lit(True), "as_ruled": F.lit(True)})
+    rows = model.transform(stored)
+    place = vector_to_array(F.col("scaled_features" if scale else "features"))
+    distances = F.array(*[
+        F.aggregate(
+            F.zip_with(place, F.array(*[F.lit(float(x)) for x in centre]), lambda a, b: (a - b) * (a - b)),
+            F.lit(0.0), lambda total, x: total + x,
+        )
+        for centre in model.stages[-1].clusterCenters()
+    ])
+    rows = rows.withColumn("_d", distances).withColumn(
+        "nearest", F.element_at("_d", F.col("prediction") + 1) <= F.array_min("_d") + 1e-9
+    )
+    sizes = rows.groupBy("prediction").agg(F.count("*").alias("_n"))  # a row per cluster
+    least = sizes.agg(F.min("_n").alias("_least"))
+    found = cluster_outliers(rows.select("prediction")).select("prediction").distinct().withColumn("_found", F.lit(True))
+    sizes = sizes.join(F.broadcast(least)).join(F.broadcast(found), "prediction", "left")
+    ruled = F.coalesce("_found", F.lit(False)) == (F.col("_n") <= 2 * F.col("_least"))
+    return rows.join(F.broadcast(sizes), "prediction").withColumn("as_ruled", ruled).select(
+        *features.columns, "nearest", "as_ruled"
+    )
 
 
 def cluster_outliers(clustered: DataFrame, size_factor: float = 2.0) -> DataFrame:

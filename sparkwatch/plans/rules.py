@@ -461,11 +461,12 @@ class Rule:
 
 
 def _rule(table, name, title, technique, tactic, severity, *, find=None, match=None, at="event_time",
-          user=None, host=None, ip=None, context=(), identity=(), **meta) -> Rule:
-    alert = AlertMap(name, title, technique, tactic, at, user, host, ip, tuple(context), tuple(identity))
+          user=None, host=None, ip=None, context=(), identity=(), period=None, **meta) -> Rule:
+    alert = AlertMap(name, title, technique, tactic, at, user, host, ip, tuple(context), tuple(identity), period)
     return Rule(table, alert, severity, find=find, match=match, **meta)
 
 
+HOUR, DAY = 3600, 86_400
 _PROCESS = dict(user="user", host="host")
 
 RULES: tuple[Rule, ...] = (
@@ -494,7 +495,7 @@ RULES: tuple[Rule, ...] = (
     ),
     _rule(
         "okta_auth", "detect_okta_bruteforce", "Okta Brute Force Attack Detected", "T1110",
-        "Credential Access", "HIGH", find=okta_bruteforce, at="first_failure", user="user_email",
+        "Credential Access", "HIGH", find=okta_bruteforce, period=HOUR, at="first_failure", user="user_email",
         ip="source_ip",
         context=("failure_count", "first_failure", "last_failure", "duration_minutes"),
         rule_id="okta_bruteforce_001", rule_name="Okta Brute Force", expected_fpr=0.10,
@@ -503,7 +504,7 @@ RULES: tuple[Rule, ...] = (
     ),
     _rule(
         "windows_auth", "detect_windows_bruteforce", "Windows Brute Force Attack", "T1110.001",
-        "Credential Access", "HIGH", find=windows_bruteforce, at="first_failure", user="user_name",
+        "Credential Access", "HIGH", find=windows_bruteforce, period=HOUR, at="first_failure", user="user_name",
         host="host", ip="source_ip", context=("failure_count", "first_failure", "last_failure"),
         rule_id="windows_bruteforce_001", rule_name="Windows Brute Force", version="v1.1",
         expected_fpr=0.08, text="Detects Windows logon brute force attempts",
@@ -511,14 +512,14 @@ RULES: tuple[Rule, ...] = (
     ),
     _rule(
         "cloudtrail", "detect_aws_api_failures", "Excessive AWS API Failures", "T1078.004",
-        "Credential Access", "MEDIUM", find=aws_api_failures, at="first_failure", user="user_name",
+        "Credential Access", "MEDIUM", find=aws_api_failures, period=HOUR, at="first_failure", user="user_name",
         ip="source_ip",
         context=("service", "error_code", "failure_count", "unique_api_count", "failed_apis"),
         identity=("service", "error_code"), text="Detects bursts of failed cloud API calls",
     ),
     _rule(
         "sysmon_network", "detect_network_scanning", "Network Scanning Activity Detected", "T1046",
-        "Discovery", "MEDIUM", find=network_scanning, at="first_connection", **_PROCESS,
+        "Discovery", "MEDIUM", find=network_scanning, period=HOUR, at="first_connection", **_PROCESS,
         context=("process_name", "unique_destinations", "total_connections", "unique_ports", "ports_accessed"),
         identity=("process_name",), text="Detects connections to many destinations in a short time",
     ),
@@ -540,7 +541,7 @@ RULES: tuple[Rule, ...] = (
     ),
     _rule(
         "okta_auth", "detect_user_behavior_anomaly", "Anomalous User Behavior Detected", "T1078",
-        "Initial Access", "MEDIUM", find=user_behavior_anomaly, user="user_email",
+        "Initial Access", "MEDIUM", find=user_behavior_anomaly, period=DAY, user="user_email",
         context=(
             "today_login_count", "baseline_avg_logins", "today_unique_ips", "baseline_avg_ips",
             "login_count_zscore", "unique_ip_zscore",
@@ -563,7 +564,7 @@ RULES: tuple[Rule, ...] = (
     ),
     _rule(
         "sysmon_network", "detect_network_anomaly", "Anomalous Network Activity Detected", "T1071",
-        "Command and Control", "MEDIUM", find=network_anomaly, host="host",
+        "Command and Control", "MEDIUM", find=network_anomaly, period=DAY, host="host",
         context=(
             "today_connections", "baseline_avg_connections", "today_unique_ips", "baseline_avg_ips",
             "connection_zscore", "unique_ip_zscore",
@@ -574,7 +575,7 @@ RULES: tuple[Rule, ...] = (
     ),
     _rule(
         "okta_auth", "detect_user_clustering", "Unusual User Behavior Cluster", "T1078",
-        "Initial Access", "MEDIUM", find=user_clustering, user="user_email",
+        "Initial Access", "MEDIUM", find=user_clustering, period=DAY, user="user_email",
         context=("prediction", "total_logins", "unique_ips", "unique_countries", "failure_rate"),
         rule_id="user_clustering_001", rule_name="User Behavior Clustering (ML)", expected_fpr=0.18,
         text="ML-based clustering using K-Means to detect anomalous user behavior",
@@ -605,7 +606,7 @@ RULES: tuple[Rule, ...] = (
     ),
     _rule(
         "sysmon_network", "detect_web_beaconing", "Suspicious Outbound Web Traffic", "T1071.001",
-        "Command and Control", "MEDIUM", find=web_beaconing, at="first_connection", host="host",
+        "Command and Control", "MEDIUM", find=web_beaconing, period=HOUR, at="first_connection", host="host",
         context=("process_name", "destination_ip", "connection_count"),
         identity=("process_name", "destination_ip"),
         text="Detects many web connections of an unusual process to one address",

@@ -8,11 +8,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkwatch import schemas
-from sparkwatch.operators.quality import null_rates
+from sparkwatch.functions.times import percent
 
 # Tactics that need at least one alert.
 EXPECTED_TACTICS = ("Credential Access", "Execution", "Lateral Movement")
 
+NULL_LIMIT_PCT = 5.0
 CRITICAL_COLUMNS = {
     "security_alerts": ("alert_id", "detection_time", "severity"),
     "sysmon_process": ("event_time",),
@@ -67,16 +68,9 @@ def tactic_gaps(
 def validate(
     spark: SparkSession, silver: Mapping[str, DataFrame], alerts: DataFrame, rules: DataFrame
 ) -> DataFrame:
-    """All checks as (check, subject, value, passed)."""
-    everything = {**silver, "security_alerts": alerts}
+    """All checks as (check, subject, value, passed); each table is scanned once."""
     lost = missing_columns(alerts)
     parts = [
-        table_counts(everything).select(
-            F.lit("table has rows").alias("check"),
-            F.col("table_name").alias("subject"),
-            F.col("rows").cast("double").alias("value"),
-            "passed",
-        ),
         spark.range(1).select(
             F.lit("alert columns present").alias("check"),
             F.lit(",".join(lost) or "all").alias("subject"),
@@ -89,28 +83,36 @@ def validate(
             F.col("enabled_rules").cast("double").alias("value"),
             (F.col("rules") > 0).alias("passed"),
         ),
-        tactic_gaps(spark, alerts)
-        .agg(F.count("*").alias("n"))
-        .select(
-            F.lit("expected tactics covered").alias("check"),
-            F.lit("security_alerts").alias("subject"),
-            F.col("n").cast("double").alias("value"),
-            (F.col("n") == 0).alias("passed"),
-        ),
     ]
-    for table, columns in CRITICAL_COLUMNS.items():
-        if table in everything:
-            parts.append(
-                null_rates(everything[table], columns, table).select(
-                    F.lit("nulls below limit").alias("check"),
-                    F.concat_ws(".", "table_name", "column_name").alias("subject"),
-                    F.col("null_pct").alias("value"),
-                    "passed",
-                )
-            )
+    parts += [_table_checks(name, df) for name, df in {**silver, "security_alerts": alerts}.items()]
     return reduce(DataFrame.unionByName, parts)
 
 
+def _table_checks(table: str, df: DataFrame) -> DataFrame:
+    """Rows, missing values and covered tactics of one table from one aggregate."""
+    columns = CRITICAL_COLUMNS.get(table, ())
+    tactics = EXPECTED_TACTICS if table == "security_alerts" else ()
+    found = df.agg(
+        F.count("*").alias("rows"),
+        *[F.count_if(F.col(c).isNull()).alias(f"null_{i}") for i, c in enumerate(columns)],
+        *[F.max(F.col("mitre_tactic") == t).alias(f"tactic_{i}") for i, t in enumerate(tactics)],
+    )
+    row = lambda check, subject, value, passed: F.struct(
+        F.lit(check).alias("check"), F.lit(subject).alias("subject"), value.cast("double").alias("value"),
+        passed.alias("passed"),
+    )
+    checks = [row("table has rows", table, F.col("rows"), F.col("rows") > 0)]
+    for i, c in enumerate(columns):
+        nulls = F.col(f"null_{i}")
+        share = F.coalesce(percent(nulls, F.col("rows")), F.lit(0.0))
+        low = (nulls == 0) | (nulls * 100 < F.col("rows") * NULL_LIMIT_PCT)
+        checks.append(row("nulls below limit", f"{table}.{c}", share, low))
+    if tactics:
+        gaps = sum((F.when(F.coalesce(f"tactic_{i}", F.lit(False)), 0).otherwise(1) for i in range(len(tactics))), F.lit(0))
+        checks.append(row("expected tactics covered", table, gaps, gaps == 0))
+    return found.select(F.explode(F.array(*checks)).alias("c")).select("c.*")
+
+
 def score(checks: DataFrame) -> DataFrame:
     """V-06: passed, failed and share passed."""
     ok = F.count_if(F.col("passed"))

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkwatch import schemas
-from sparkwatch.operators.alerts import unseen
+from sparkwatch.session import written_table
 
 
 def save_table(df: DataFrame, name: str, mode: str = "overwrite", partition_by: tuple[str, ...] = ()) -> None:
@@ -15,11 +15,12 @@ def save_table(df: DataFrame, name: str, mode: str = "overwrite", partition_by:
 
 
 def _stored_schema():
-    return schemas.StructType([*schemas.ALERTS.fields, *schemas.flat("detection_date date").fields])
+    days = schemas.flat("detection_date date, event_date date")
+    return schemas.StructType([*schemas.ALERTS.fields, *days.fields])
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame | None:
-    """The stored alerts with their partition column, or None before the first write."""
+    """The stored alerts with their partition columns, or None before the first write."""
     try:
         return spark.read.schema(_stored_schema()).parquet(path)
     except AnalysisException as error:
@@ -28,21 +29,34 @@ def read_alerts(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def stored_between(stored: DataFrame, first, last) -> DataFrame:
+    """Stored alerts whose events lie on the given days or have no time; prunes partitions."""
+    day = F.col("event_date")
+    return stored.where(day.isNull() | day.between(F.lit(first), F.lit(last)))
+
+
 def append_alerts(alerts: DataFrame, path: str) -> None:
-    """SNK-07: add alerts that are not stored yet, in one job.
+    """SNK-07: add alerts that are not stored yet.
 
-    The store is partitioned by detection date, the column reports filter on;
-    severity has four values and would give partitions that only grow. Rows
-    are clustered by date before the write, so a partition gets few files, and
+    The store is partitioned by detection date, the column reports filter on, and event date.
+    The new alerts are written to the shared folder once; the days of their events are
+    literals in the look-up of stored ids, so only partitions of those days are read and not
+    the whole store. An id belongs to one day, since periods in ids do not cross midnight.
+    Rows are clustered by date before the write, so a partition gets few files, and
     a date with most of the rows is split by AQE.
     """
+    fresh = alerts.withColumn("event_date", F.to_date("event_time"))
+    fresh = written_table(fresh.dropDuplicates(["alert_id"]), "alerts")
     stored = read_alerts(alerts.sparkSession, path)
+    if stored is not None:
+        days = fresh.agg(F.min("event_date").alias("first"), F.max("event_date").alias("last")).first()
+        stored = stored_between(stored, days["first"], days["last"])
+        fresh = fresh.join(stored.select("alert_id"), "alert_id", "left_anti")
     (
-        unseen(alerts, stored)
-        .withColumn("detection_date", F.to_date("detection_time"))
-        .hint("rebalance", "detection_date")
+        fresh.withColumn("detection_date", F.to_date("detection_time"))
+        .hint("rebalance", "detection_date", "event_date")
         .write.mode("append")
-        .partitionBy("detection_date")
+        .partitionBy("detection_date", "event_date")
         .parquet(path)
     )
 

@@ -255,6 +255,43 @@ STORED_TWICE = over_alerts("""SELECT CAST(CAST(detection_time AS DATE) AS VARCHA
 GROUP BY ALL""")
 
 
+RUNS = ("2024-01-28 23:30:00", "2024-01-29 23:30:00", E)
+_MOVING = (("detect_okta_bruteforce", "7 days"), ("detect_windows_bruteforce", "30 days"))
+
+
+def repeated_runs(spark, sf):
+    """Rules over a moving span, run three times: an incident is stored once."""
+    tables = {"okta_auth": T.okta(spark, sf), "windows_auth": T.windows(spark, sf)}
+    path = scratch_path(spark, "alerts")
+    for at in RUNS:
+        chosen = [with_params(BY_NAME[n], within=span, min_count=2) for n, span in _MOVING]
+        append_alerts(run_detections(tables, at, chosen).alerts, path)
+    return (
+        read_alerts(spark, path)
+        .groupBy("detection_rule")
+        .agg(F.count("*").alias("alert_count"), F.count_distinct("alert_id").alias("ids"))
+    )
+
+
+def _incidents(rule, source, keys, days):
+    return " UNION ".join(
+        f"""SELECT '{rule}' AS detection_rule, concat_ws('|', {keys}, date_trunc('hour', min(event_time))) AS incident
+  FROM {source} AND event_time >= TIMESTAMP '{at}' - INTERVAL {days} DAY AND event_time <= TIMESTAMP '{at}'
+  GROUP BY {keys} HAVING count(*) >= 2"""
+        for at in RUNS
+    )
+
+
+REPEATED_RUNS = sql(
+    f"""SELECT detection_rule, count(*) AS alert_count, count(DISTINCT incident) AS ids FROM (
+  {_incidents('detect_okta_bruteforce', "okta WHERE outcome = 'FAILURE'", 'user_email, source_ip', 7)} UNION
+  {_incidents('detect_windows_bruteforce', "windows WHERE NOT logon_success", 'user_name, host, source_ip', 30)})
+GROUP BY detection_rule""",
+    "okta",
+    "windows",
+)
+
+
 def unseen(spark, sf):
     rows = found(spark, sf)
     out = A.unseen(rows, rows.where(F.minute("event_time") < 30))
@@ -279,4 +316,5 @@ QUERIES = {
     "alerts_export_csv": (export("csv"), EXPORT),
     "alerts_stored_twice": (stored_twice, STORED_TWICE),
     "alerts_unseen": (unseen, UNSEEN),
+    "alerts_repeated_runs": (repeated_runs, REPEATED_RUNS),
 }

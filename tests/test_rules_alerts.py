@@ -239,6 +239,22 @@ def test_stream_sequence_keeps_state_between_batches(spark, root):
     assert got == {("a", "X", "Y", 3600), ("a", "Y", "Z", 100)}
 
 
+def test_append_reads_only_the_days_of_its_events(spark, root):
+    alerts = run_detections(all_tables(spark), AS_OF, QUICK).alerts
+    tables.append_alerts(alerts, f"{root}/alerts")
+    n = tables.read_alerts(spark, f"{root}/alerts").count()
+    tables.append_alerts(alerts, f"{root}/alerts")
+    assert tables.read_alerts(spark, f"{root}/alerts").count() == n > 0
+    day = NOW.date()
+    plan = tables.stored_between(tables.read_alerts(spark, f"{root}/alerts"), day, day)
+    shown = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in shown and "event_date" in shown.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_clustering_without_rows_gives_no_hits(spark):
+    assert rules.user_clustering(okta(spark, []), AS_OF).collect() == []
+
+
 def travel_stream(root, late_seconds=86_400):
     return stream_rules.SequenceStream(
         "user_email", "event_time", changed="country", max_gap_seconds=3600, tiebreak=("event_id",),
