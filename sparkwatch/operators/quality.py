@@ -18,6 +18,10 @@ SILVER_RULES = {
         "valid_timestamp": "event_time IS NOT NULL",
         "valid_destination": "destination_ip IS NOT NULL OR destination_port IS NOT NULL",
     },
+    "sysmon_registry": {
+        "valid_timestamp": "event_time IS NOT NULL",
+        "valid_path": "registry_path IS NOT NULL",
+    },
     "okta_auth": {
         "valid_timestamp": "event_time IS NOT NULL",
         "valid_user": "user_email IS NOT NULL",

@@ -187,14 +187,17 @@ def cloudtrail(raw: DataFrame) -> DataFrame:
 def sysmon_registry(raw: DataFrame) -> DataFrame:
     """Registry changes (EventID 12 to 14), needed by the run-key rule.
 
-    Reads canonical host events, whose registry path is in the event data.
+    Reads canonical host events, whose registry path is in the event data, and flat raw
+    ones, which have a column for it.
     """
-    path = F.get_json_object("RawEventData", "$.TargetObject")
+    flat = "TargetObject" in raw.columns
+    path = F.col("TargetObject") if flat else F.get_json_object("RawEventData", "$.TargetObject")
+    image = F.col("ProcessName") if flat else F.regexp_extract("Image", r"([^\\/]*)$", 1)
     return raw.where(F.col("EventID").between(12, 14)).select(
         _time(raw, "EventTime").alias("event_time"),
         F.col("Computer").alias("host"),
         F.col("User").alias("user"),
-        F.regexp_extract("Image", r"([^\\/]*)$", 1).alias("process_name"),
+        image.alias("process_name"),
         path.alias("registry_path"),
         *_labels("sysmon", "registry_change"),
     )

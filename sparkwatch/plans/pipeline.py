@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -34,7 +34,11 @@ KEEP = {"sysmon_network": "destination_ip IS NOT NULL"}
 SOURCES: Mapping[str, Source] = {
     "sysmon": Source(
         schemas.RAW_SYSMON,
-        (("sysmon_process", silver.sysmon_process), ("sysmon_network", _network)),
+        (
+            ("sysmon_process", silver.sysmon_process),
+            ("sysmon_network", _network),
+            ("sysmon_registry", silver.sysmon_registry),
+        ),
     ),
     "okta": Source(schemas.RAW_OKTA, (("okta_auth", silver.okta_auth),)),
     "windows": Source(schemas.RAW_WINDOWS, (("windows_auth", silver.windows_auth),)),
@@ -59,17 +63,16 @@ def silver_batch(spark: SparkSession, raw: Mapping[str, str]) -> dict[str, DataF
 
 
 def run_pipeline(
-    spark: SparkSession, raw: Mapping[str, str], root: str, available_now: bool = True, every: str = "30 seconds",
-    by_date: bool = True,
+    spark: SparkSession, raw: Mapping[str, str], root: str, available_now: bool = True, every: str = "30 seconds"
 ) -> dict:
     """Start bronze and silver streams for the given raw folders below ``root``.
 
     With ``available_now`` each layer is finished before the next one starts
     and the call returns when all rows have passed; otherwise all streams run
     on. Silver streams carry their expectations as observed metrics and write
-    one partition per event date, which the rules prune on. A backfill over
-    years would give each task a file for every day; turn ``by_date`` off for
-    it and lay the table out afterwards with ``write_sorted``. Returns the
+    one partition per event date, which the rules prune on. Each micro-batch
+    is dealt by date before the write, so that a day gets one file of it and
+    a backfill over years does not write a file per day and task. Returns the
     queries by table name.
     """
     queries = {}
@@ -87,20 +90,28 @@ def run_pipeline(
             bronze = table_stream(spark, f"{root}/bronze_{name}", bronze_schema(source))
             df, _ = expect(make(bronze), SILVER_RULES[table], name=table)
             df = df.where(KEEP.get(table, "true")).withColumn("event_date", F.to_date("event_time"))
+            df = df.repartition("event_date")
             queries[table] = write_stream(
                 df, table, f"{root}/{table}", f"{root}/_checkpoints/{table}", "parquet", every, available_now,
-                ("event_date",) if by_date else (),
+                ("event_date",),
             )
     if available_now:
         finish(queries)
     return queries
 
 
-def read_silver(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The silver tables written by ``run_pipeline``, with their partition column."""
+def read_silver(spark: SparkSession, root: str, sources: Sequence[str] = tuple(SOURCES)) -> dict[str, DataFrame]:
+    """The tables written by ``run_pipeline`` for the given sources, for the rules.
+
+    Silver tables have their partition column. ``windows_raw`` is the bronze table of Windows
+    events, since a cleared log is no logon and so in no silver table.
+    """
     day = schemas.flat("event_date date").fields
-    return {
+    out = {
         table: spark.read.schema(StructType([*schemas.SILVER[table].fields, *day])).parquet(f"{root}/{table}")
-        for source in SOURCES.values()
-        for table, _ in source.silver
+        for name in sources
+        for table, _ in SOURCES[name].silver
     }
+    if "windows" in sources:
+        out["windows_raw"] = spark.read.schema(bronze_schema(SOURCES["windows"])).parquet(f"{root}/bronze_windows")
+    return out

@@ -46,7 +46,7 @@ def nested(text: str = "", **fields: DataType) -> StructType:
 RAW_SYSMON = flat(
     "EventID int, EventTime string, Computer string, ProcessName string, ProcessId double,"
     "CommandLine string, User string, ParentProcessName string, ParentProcessId double,"
-    "SHA256 string, DestinationIP string, DestinationPort double"
+    "SHA256 string, DestinationIP string, DestinationPort double, TargetObject string"
 )
 
 _PLACE = "city state country postalCode"
@@ -160,6 +160,10 @@ SILVER = {
         "destination_ip string, destination_port int, port_classification string,"
         "log_source string, event_category string, processed_timestamp timestamp"
     ),
+    "sysmon_registry": flat(
+        "event_time timestamp, host string, user string, process_name string, registry_path string,"
+        "log_source string, event_category string, processed_timestamp timestamp"
+    ),
     "okta_auth": flat(
         "event_time timestamp, event_id string, event_type string, user_email string,"
         "user_name string, source_ip string, user_agent string, city string, country string,"

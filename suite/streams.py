@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sparkwatch import schemas
 from sparkwatch.operators import normalize as N
 from sparkwatch.operators import silver
+from sparkwatch.operators.alerts import consolidate
 from sparkwatch.operators.quality import expect
 from sparkwatch.operators.threshold import threshold
 from sparkwatch.plans import pipeline, rules
@@ -103,7 +104,7 @@ def stream_pipeline(spark, sf):
     raw = T.raw_okta(spark, sf)
     raw.withColumn("published", F.date_format("published", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).write.json(f"{root}/okta")
     T.raw_network(spark, sf).write.json(f"{root}/sysmon")
-    pipeline.run_pipeline(spark, {"okta": f"{root}/okta", "sysmon": f"{root}/sysmon"}, f"{root}/tables", by_date=False)
+    pipeline.run_pipeline(spark, {"okta": f"{root}/okta", "sysmon": f"{root}/sysmon"}, f"{root}/tables")
     out = []
     for name in ("okta_auth", "sysmon_network"):
         rows = spark.read.schema(schemas.SILVER[name]).parquet(f"{root}/tables/{name}")
@@ -126,6 +127,82 @@ STREAM_PIPELINE = sql(
 )
 
 
+def written_pipeline(spark, sf):
+    """All four raw sources as JSON files, through bronze and silver streams."""
+    root = scratch_path(spark, "stream-all")
+    time = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    raw = {
+        "okta": (T.raw_okta(spark, sf), "published"),
+        "windows": (T.raw_windows(spark, sf), "TimeCreated"),
+        "cloudtrail": (T.raw_cloudtrail(spark, sf), "eventTime"),
+        "sysmon": (T.raw_process(spark, sf).unionByName(T.raw_registry(spark, sf), allowMissingColumns=True), "EventTime"),
+    }
+    for name, (rows, ts) in raw.items():
+        rows.withColumn(ts, time(ts)).write.json(f"{root}/{name}")
+    pipeline.run_pipeline(spark, {n: f"{root}/{n}" for n in raw}, f"{root}/tables")
+    return pipeline.read_silver(spark, f"{root}/tables")
+
+
+PIPED = {
+    "okta_auth": "okta", "windows_auth": "windows", "cloudtrail": "cloud", "sysmon_process": "process",
+    "sysmon_registry": "registry",
+}
+
+
+def stream_pipeline_all(spark, sf):
+    """Rows and a checksum over all columns of each silver table, and the days it is partitioned by."""
+    tables_, out = written_pipeline(spark, sf), []
+    for name in PIPED:
+        rows = tables_[name].drop("processed_timestamp")
+        values = [F.coalesce(c.cast("string"), F.lit("-")) for c in map(F.col, plain(rows.drop("event_date")).columns)]
+        line = plain(rows).select(F.md5(F.concat_ws("|", *values)).alias("h"), "event_date")
+        number = F.conv(F.substring("h", 1, 8), 16, 10).cast("long")
+        out.append(
+            line.agg(
+                F.count("*").alias("n"), F.sum(number).alias("checksum"), F.count_distinct("event_date").alias("days")
+            ).select(F.lit(name).alias("table_name"), "n", "checksum", "days")
+        )
+    return consolidate(out)
+
+
+def _checksum(name, view):
+    parts = []
+    for f in schemas.SILVER[name].fields:
+        if f.name != "processed_timestamp":
+            column = f'"{f.name}"' if f.name == "user" else f.name
+            column = shown(column) if f.dataType.typeName() == "timestamp" else f"CAST({column} AS VARCHAR)"
+            parts.append(f"coalesce({column}, '-')")
+    line = f"md5(concat_ws('|', {', '.join(parts)}))"
+    return f"""SELECT '{name}' AS table_name, count(*) AS n,
+  CAST(sum(CAST('0x' || substr({line}, 1, 8) AS BIGINT)) AS BIGINT) AS checksum,
+  count(DISTINCT CAST(event_time AS DATE)) AS days FROM {view}"""
+
+
+STREAM_PIPELINE_ALL = sql(
+    " UNION ALL ".join(_checksum(name, view) for name, view in PIPED.items()),
+    "okta", "windows", "cloud", "process", "registry",
+)
+
+
+def detections_over_pipeline(spark, sf):
+    """All enabled rules over the tables of the pipeline; none may fail to be planned."""
+    tables_ = written_pipeline(spark, sf)
+    tables_["sysmon_network"] = T.network(spark, sf)
+    run = run_detections(tables_, T.EVENTS_AS_OF)
+    named = ("detect_registry_run_key", "detect_event_log_cleared", "detect_mimikatz", "detect_psexec")
+    return run.summary().where(F.col("detection_rule").isin(*named)).withColumn("failed_rules", F.lit(len(run.failed)))
+
+
+DETECTIONS_OVER_PIPELINE = sql(
+    """SELECT 'detect_registry_run_key' AS detection_rule, count(*) AS alert_count, 0 AS failed_rules FROM registry
+WHERE registry_path LIKE '%CurrentVersion\\Run%' HAVING count(*) > 0
+UNION ALL SELECT 'detect_event_log_cleared', count(*), 0 FROM events WHERE event_type = 'purchase' HAVING count(*) > 0
+UNION ALL SELECT 'detect_psexec', count(*), 0 FROM events WHERE event_type = 'purchase' HAVING count(*) > 0
+UNION ALL SELECT 'detect_mimikatz', count(*), 0 FROM ev WHERE event_type = 'signup' AND k <= 10 HAVING count(*) > 0""",
+    "registry",
+)
+
+
 def stream_expectations(spark, sf):
     """Counts observed on a stream, added up over all of its batches."""
     root = scratch_path(spark, "stream-expect")
@@ -180,6 +257,8 @@ QUERIES = {
     "stream_threshold_distinct": (stream_threshold_distinct, STREAM_DISTINCT),
     "stream_impossible_travel": (stream_travel, TRAVEL),
     "stream_bronze_silver": (stream_pipeline, STREAM_PIPELINE),
+    "stream_bronze_silver_all": (stream_pipeline_all, STREAM_PIPELINE_ALL),
+    "detections_all_rules": (detections_over_pipeline, DETECTIONS_OVER_PIPELINE),
     "stream_expectations": (stream_expectations, STREAM_EXPECTATIONS),
     "stream_alert_writer": (stream_alerts, STREAM_ALERTS),
     "stream_static_enrichment": (

@@ -92,6 +92,19 @@ def process_raw_from(events: DataFrame) -> DataFrame:
     )
 
 
+def raw_registry(spark: SparkSession, sf: str) -> DataFrame:
+    """Errors and views as changes of autorun and other registry keys."""
+    key = F.when(F.col("event_type") == "error", F.lit("RunOnce")).otherwise("Fonts")
+    return events(spark, sf).where(F.col("event_type").isin("error", "view")).select(
+        F.lit(13).alias("EventID"),
+        F.col("ts").alias("EventTime"),
+        text("WS-", F.col("user_id") % 40).alias("Computer"),
+        F.lit("reg.exe").alias("ProcessName"),
+        text("user", F.col("user_id")).alias("User"),
+        text("HKLM\\Software\\CurrentVersion\\", key, "\\v", F.col("k")).alias("TargetObject"),
+    )
+
+
 def okta_raw_from(events: DataFrame) -> DataFrame:
     k, kind, uid = F.col("k"), F.col("event_type"), F.col("user_id")
     event = (
@@ -339,6 +352,12 @@ cloud AS (
          WHEN error_code IS NOT NULL THEN 'failed_api_call' ELSE 'normal' END AS risk_classification,
     error_code IS NULL AS api_success, 'cloudtrail' AS log_source, 'cloud_api' AS event_category, {_LATER}
   FROM cloud_raw)""",
+    "registry": """
+registry AS (
+  SELECT ts AS event_time, 'WS-' || (user_id % 40) AS host, 'user' || user_id AS "user", 'reg.exe' AS process_name,
+    'HKLM\\Software\\CurrentVersion\\' || CASE event_type WHEN 'error' THEN 'RunOnce' ELSE 'Fonts' END || '\\v' || k
+      AS registry_path, 'sysmon' AS log_source, 'registry_change' AS event_category
+  FROM ev WHERE event_type IN ('error', 'view'))""",
     "network": f"""
 network AS (
   SELECT l_shipdate AS event_time, 'WS-' || l_suppkey AS host,
@@ -352,7 +371,7 @@ network AS (
     {_LATER.replace('event_time', 'l_shipdate')}
   FROM lineitem WHERE l_tax > 0 OR l_discount > 0)""",
 }
-_NEEDS = {"process": ["ev"], "okta": ["ev"], "windows": ["ev"]}
+_NEEDS = {"process": ["ev"], "okta": ["ev"], "windows": ["ev"], "registry": ["ev"]}
 
 
 def sql(select: str, *views: str, extra: str = "") -> str:
