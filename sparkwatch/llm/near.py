@@ -13,11 +13,11 @@ links are confirmed on the full sets:
 
 1. Documents with equal sets form one class, represented by the smallest id.
 2. Every representative in a bucket is compared with the smallest one of the bucket.
-3. Representatives of one bucket that are still in different components are compared with
-   one another, except for those inside the largest component of the bucket.
+3. In a bucket whose members are still in different components, those outside its largest
+   component are compared with all others, block by block, and only links become rows.
 
-A bucket with thousands of copies therefore costs one comparison for each copy and not one
-for each pair. No comparison that could join two components is left out, so the components
+A bucket with thousands of copies therefore costs one comparison for each copy that is near
+the first one and not one for each pair. No comparison that could join two components is left out, so the components
 are those of all links that the bands find. With the default bands a pair at the
 threshold is missed with a probability of 1.2e-6.
 """
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +36,8 @@ from sparkwatch.session import written_table
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _STEP = 0x9E3779B97F4A7C15
+#: Documents of a block when members of one bucket are compared.
+_BLOCK = 256
 SKETCH_SCHEMA = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
 
 
@@ -129,7 +132,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
             sets = {}
             for name in ("text_a", "text_b"):
                 column = batch.column(batch.schema.get_field_index(name))
-                codes = pa.compute.dictionary_encode(column.cast(pa.large_string()))
+                codes = pc.dictionary_encode(column.cast(pa.large_string()))
                 _, values, bounds = shingle_sets(codes.dictionary, shingle)
                 sets[name] = codes.indices.to_numpy(zero_copy_only=False), values, bounds
             keep = np.zeros(batch.num_rows, bool)
@@ -148,6 +151,91 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     return found.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct()
 
 
+def _whole_groups(batches, key: list[str], most_bytes: int):
+    """Tables of whole groups; rows arrive sorted by ``key`` and groups are small."""
+    held, size = [], 0
+    for batch in slices(batches, "text", most_bytes):
+        held.append(batch)
+        size += batch.nbytes
+        if size >= most_bytes:
+            table = pa.Table.from_batches(held)
+            last = _group_starts(table, key)[-1]
+            if last:
+                yield table.slice(0, last)
+            held = table.slice(last).to_batches()
+            size = sum(b.nbytes for b in held)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _group_starts(table: pa.Table, key: list[str]) -> np.ndarray:
+    new = np.ones(table.num_rows, bool)
+    new[1:] = False
+    for name in key:
+        values = table[name].to_numpy()
+        new[1:] |= values[1:] != values[:-1]
+    return np.flatnonzero(new)
+
+
+def _between(members: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) of members outside their bucket's largest component with the others.
+
+    Both sides are cut into blocks of about _BLOCK documents and a task compares one block
+    with another, so a bucket of any size is spread over tasks and only links are rows.
+    """
+    key = ["bucket", "i", "j"]
+    minor = F.col("component") != F.col("main")
+    sizes = members.groupBy("bucket").agg(
+        F.ceil(F.count("*") / _BLOCK).alias("blocks"), F.ceil(F.count_if(minor) / _BLOCK).alias("minors")
+    )
+    sized = members.join(sizes, "bucket")
+    place = lambda n, salt: F.pmod(F.xxhash64("doc", F.lit(salt)), F.col(n))
+    turns = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    sides = sized.select(
+        "bucket", place("blocks", 0).alias("i"), turns("minors").alias("j"), F.lit(False).alias("minor"),
+        "doc", "component",
+    ).unionByName(
+        sized.where(minor).select(
+            "bucket", turns("blocks").alias("i"), place("minors", 1).alias("j"), F.lit(True).alias("minor"),
+            "doc", "component",
+        )
+    )
+
+    def run(batches):
+        for table in _whole_groups(batches, key, 1 << 22):
+            codes = pc.dictionary_encode(table["text"].combine_chunks().cast(pa.large_string()))
+            owner, values, bounds = shingle_sets(codes.dictionary, shingle)
+            code = codes.indices.to_numpy()
+            n = np.diff(bounds)
+            doc, component = table["doc"].to_numpy(), table["component"].to_numpy()
+            is_minor = table["minor"].to_numpy()
+            found = set()
+            starts = _group_starts(table, key)
+            for x, y in zip(starts, np.r_[starts[1:], len(doc)], strict=True):
+                rows = np.arange(x, y)
+                ours, others = rows[is_minor[x:y]], rows[~is_minor[x:y]]
+                if not len(ours) or not len(others):
+                    continue
+                size = n[code[others]]
+                at = np.repeat(bounds[code[others]] - np.cumsum(size) + size, size) + np.arange(size.sum())
+                whose = np.repeat(np.arange(len(others)), size)
+                theirs = values[at]
+                for row in ours:
+                    own = values[bounds[code[row]] : bounds[code[row] + 1]]
+                    hit = own[np.minimum(np.searchsorted(own, theirs), len(own) - 1)] == theirs
+                    both = np.bincount(whose[hit], minlength=len(others))
+                    near = 100 * both >= percent * (len(own) + size - both)
+                    near &= component[others] != component[row]
+                    for other in others[near]:
+                        found.add((min(doc[row], doc[other]), max(doc[row], doc[other])))
+            pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    wide = sides.join(texts.select(F.col("doc_id").alias("doc"), "text"), "doc")
+    dealt = wide.select(*key, "minor", "doc", "component", "text").repartition(*key)
+    return dealt.sortWithinPartitions(*key).mapInArrow(run, "a long, b long").distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     shingle: int = 5,
@@ -209,18 +297,7 @@ def near_duplicates(
     )
     mixed = largest.where("parts > 1").select("bucket", F.col("top.component").alias("main"))
     members = written_table(members.join(mixed, "bucket"), "mixed")
-    minor = members.where("component <> main").select(
-        "bucket", F.col("doc").alias("x"), F.col("n_shingles").alias("n_a"),
-        F.col("component").alias("own"),
-    )
-    rest = (
-        minor.join(members.withColumnRenamed("n_shingles", "n_b"), "bucket")
-        .where((F.col("own") != F.col("component")) & longer)
-        .select(F.least("x", "doc").alias("a"), F.greatest("x", "doc").alias("b"))
-        .distinct()
-        .join(stars, ["a", "b"], "left_anti")
-    )
-    more = confirmed(rest, texts, shingle, percent)
+    more = _between(members, texts, shingle, percent)
     joined = grouped.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(more)
     final = components(joined)
 
