@@ -74,8 +74,8 @@ class Words:
     def __len__(self) -> int:
         return len(self.start)
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word's bytes."""
+    def hashes(self, most_bytes: int | None = None) -> np.ndarray:
+        """A 64-bit hash of each word's bytes, or of the first ``most_bytes`` of them."""
         values = mix(np.arange(1, 257, dtype=np.uint64))
         up, down = _powers(_BASE, _BLOCK), _powers(_INVERSE, _BLOCK)
         out = np.zeros(len(self.start), np.uint64)
@@ -91,8 +91,13 @@ class Words:
             sums = np.zeros(size + 1, np.uint64)
             np.cumsum(values[self.data[low:high]] * up[:size], out=sums[1:])
             start, end = self.start[a:b] - low, self.end[a:b] - low
+            if most_bytes is not None:
+                end = np.minimum(end, start + most_bytes)
             out[a:b] = (sums[end] - sums[start]) * down[start]
-        return mix(out ^ (self.end - self.start).astype(np.uint64))
+        length = self.end - self.start
+        if most_bytes is not None:
+            length = np.minimum(length, most_bytes)
+        return mix(out ^ length.astype(np.uint64))
 
     def word(self, i: int) -> bytes:
         return self.data[self.start[i] : self.end[i]].tobytes()

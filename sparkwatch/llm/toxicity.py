@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkwatch.llm.quality import labelled_sample
-from sparkwatch.llm.text import Words, carried, lower_table, slices, with_row, word_bytes
+from sparkwatch.llm.text import Words, carried, lower_table, mix, slices, with_row, word_bytes
 
 SLOTS = 1 << 18
 #: Labelled rows of each class that the fit takes at most; they are those with the smallest hash.
@@ -30,10 +30,20 @@ STANDARD_ERRORS = 3.5
 LONGEST = 64
 
 
+#: Besides whole words, their beginnings of so many bytes are features, for the forms of a word.
+#: They are less certain than words and must lead by more standard errors.
+BEGINNINGS = (6, 8)
+BEGINNING_ERRORS = 5.0
+
+
 def sentences(column) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
-    """Words of all texts, the sentence of each word, its slot, and the text of each sentence."""
+    """Words of all texts, the sentence of each word, its slots (one row for the word and one for
+    each beginning), and the text of each sentence."""
     words = Words(column, word_bytes(), lower_table())
-    slot = (words.hashes() % np.uint64(SLOTS)).astype(np.int64)
+    keys = np.stack([words.hashes(), *[mix(words.hashes(n) + np.uint64(n)) for n in BEGINNINGS]])
+    keys[0] %= np.uint64(SLOTS // 2)  # words have the lower half of the slots, beginnings the upper
+    keys[1:] = keys[1:] % np.uint64(SLOTS // 2) + np.uint64(SLOTS // 2)
+    slot = keys.astype(np.int64)
     ends = np.zeros(len(words.data) + 1, np.int64)
     np.cumsum(np.isin(words.data, np.frombuffer(b".!?\n", np.uint8)), out=ends[1:])
     new = np.ones(len(words), bool)
@@ -61,7 +71,7 @@ class Blame:
 
     def sentence_scores(self, sentence: np.ndarray, slot: np.ndarray, n: int) -> np.ndarray:
         heavy = self.weights[slot] != 0
-        s, f = _distinct(sentence[heavy], slot[heavy])
+        s, f = _distinct(np.broadcast_to(sentence, slot.shape)[heavy], slot[heavy])
         z = self.bias + np.bincount(s, self.weights[f], n)
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
@@ -86,7 +96,8 @@ def fit_blame(
     both = (held[0] + held[1]) / len(bags)
     error = np.sqrt(both * (1 - both) * (1 / n[0] + 1 / n[1])) + 1e-9
     lead = (held[1] / n[1] - held[0] / n[0]) / error
-    known = (held[0] + held[1] >= LEAST_DOCUMENTS) & (lead >= STANDARD_ERRORS)
+    needed = np.where(np.arange(SLOTS) < SLOTS // 2, STANDARD_ERRORS, BEGINNING_ERRORS)
+    known = (held[0] + held[1] >= LEAST_DOCUMENTS) & (lead >= needed)
     code = np.cumsum(known) - 1
     sentence, feature, text, at = [], [], [], 0
     for i, bag in enumerate(bags):
@@ -133,7 +144,7 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", mos
             bags = []
             for r in range(batch.num_rows):
                 a, b = words.first[r], words.first[r + 1]
-                bags.append(np.unique((sentence[a:b] - first[r]) * SLOTS + slot[a:b]).tobytes())
+                bags.append(np.unique((sentence[a:b] - first[r]) * SLOTS + slot[:, a:b]).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bags, pa.binary())], names=["label", "bag"])
 
     sample, clean_share = labelled_sample(labels, label, most)
