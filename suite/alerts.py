@@ -6,11 +6,18 @@ from pyspark.sql import functions as F
 
 from sparkwatch import schemas
 from sparkwatch.operators import alerts as A
-from sparkwatch.plans.detection import run_detections
+from sparkwatch.plans.detection import register_views, run_detections, validate_rules
 from sparkwatch.plans.rules import BY_NAME, with_params
-from sparkwatch.session import scratch_path
+from sparkwatch.session import scratch_path, written_table
 from sparkwatch.sinks.files import write_csv, write_json
-from sparkwatch.sinks.tables import append_alerts, read_alerts
+from sparkwatch.sinks.tables import (
+    append_alerts,
+    append_status,
+    read_alerts,
+    read_status,
+    save_table,
+    write_sorted,
+)
 from suite import detection as D
 from suite import telemetry as T
 from suite.telemetry import EVENTS_AS_OF as E
@@ -185,13 +192,89 @@ LATEST_STATUS = f"""SELECT CAST(conv_id AS VARCHAR) AS alert_id,
 FROM conversations GROUP BY conv_id"""
 
 
-def with_status(spark, sf):
-    base = found(spark, sf)
+def _triage(base):
+    """Two entries of the triage log: a first look, and later a close of some of those."""
     second = F.second("event_time")
     first_entry = A.status_change(base.where(second >= 20), "INVESTIGATING", "analyst1", "first look", "2024-02-01 08:00:00")
     closed = A.status_change(base.where(second >= 40), "FALSE_POSITIVE", None, "it's expected", "2024-02-01 09:00:00")
-    out = A.with_status(base, first_entry.unionByName(closed))
-    return plain(out.select("alert_id", "status", "assigned_to", "notes", "updated_at"))
+    return first_entry, closed
+
+
+_STATUS_COLS = ("alert_id", "status", "assigned_to", "notes", "updated_at")
+
+
+def with_status(spark, sf):
+    base = found(spark, sf)
+    first_entry, closed = _triage(base)
+    return plain(A.with_status(base, first_entry.unionByName(closed)).select(*_STATUS_COLS))
+
+
+def with_stored_status(spark, sf):
+    """The same triage history, appended to a stored log in two steps and read back."""
+    base = written_table(found(spark, sf), "alerts")
+    path = scratch_path(spark, "status")
+    for entries in _triage(base):
+        append_status(entries, path)
+    return plain(A.with_status(base, read_status(spark, path)).select(*_STATUS_COLS))
+
+
+def validated_rules(spark, sf):
+    """Rules on the telemetry with injected rows of an attack; the rows of one kind are missing."""
+    process = T.process(spark, sf)
+    one = process.limit(1)
+    tool = one.withColumns({"process_name": F.lit("mimikatz.exe"), "command_line": F.lit("mimikatz.exe sekurlsa::logonpasswords")})
+    quiet = process.where("process_name LIKE 'tool%'")
+    samples = {
+        "detect_mimikatz": (A.consolidate([quiet, tool]), 1),
+        "detect_psexec": (quiet, 1),
+        "detect_suspicious_powershell": (process, 1),
+    }
+    return validate_rules(samples, E).select("rule", "expected", "found", "passed")
+
+
+VALIDATED_RULES = sql(
+    """SELECT 'detect_mimikatz' AS rule, 1 AS expected, 1 AS found, true AS passed
+UNION ALL SELECT 'detect_psexec', 1, 0, false
+UNION ALL SELECT 'detect_suspicious_powershell', 1, count(*), count(*) >= 1 FROM found
+  WHERE detection_rule = 'detect_suspicious_powershell'""",
+    "process", "windows", extra=FOUND,
+)
+
+
+def rule_views(spark, sf):
+    """A temporary view of the hits of each rule, read through SQL."""
+    register_views({"sysmon_process": T.process(spark, sf)}, E, [BY_NAME[n] for n in SIGNATURES[:3]])
+    return spark.sql(
+        " UNION ALL ".join(f"SELECT '{n}' AS detection_rule, count(*) AS hits FROM {n}" for n in SIGNATURES[:3])
+    )
+
+
+RULE_VIEWS = over_found(" UNION ALL ".join(
+    f"SELECT '{n}' AS detection_rule, count(*) AS hits FROM found WHERE detection_rule = '{n}'" for n in SIGNATURES[:3]
+))
+
+
+def stored_tables(spark, sf):
+    """The same events as partitioned JSON appended twice, as a managed table and sorted by time."""
+    rows = load(spark, sf, "events").select("event_id", "event_type", F.col("ts").alias("event_time"))
+    path = scratch_path(spark, "stored")
+    for _ in range(2):
+        write_json(rows, f"{path}/json", "append", ("event_type",))
+    save_table(rows, "watch_events", partition_by=("event_type",))
+    write_sorted(rows, f"{path}/sorted")
+    back = {
+        "json": spark.read.schema("event_id long, event_type string").json(f"{path}/json"),
+        "managed": spark.table("watch_events"),
+        "sorted": spark.read.parquet(f"{path}/sorted"),
+    }
+    return A.consolidate([
+        df.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids")).withColumn("place", F.lit(name))
+        for name, df in back.items()
+    ])
+
+
+STORED_TABLES = """SELECT event_type, count(*) * f AS n, CAST(sum(event_id) * f AS BIGINT) AS ids, place
+FROM events, (VALUES ('json', 2), ('managed', 1), ('sorted', 1)) AS p(place, f) GROUP BY event_type, place, f"""
 
 
 WITH_STATUS = over_found(f"""SELECT alert_id,
@@ -317,4 +400,8 @@ QUERIES = {
     "alerts_stored_twice": (stored_twice, STORED_TWICE),
     "alerts_unseen": (unseen, UNSEEN),
     "alerts_repeated_runs": (repeated_runs, REPEATED_RUNS),
+    "alerts_stored_status": (with_stored_status, WITH_STATUS),
+    "rules_validated_on_samples": (validated_rules, VALIDATED_RULES),
+    "rule_views": (rule_views, RULE_VIEWS),
+    "stored_tables": (stored_tables, STORED_TABLES),
 }

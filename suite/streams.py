@@ -20,7 +20,7 @@ from sparkwatch.streaming import rules as stream_rules
 from suite import telemetry as T
 from suite.alerts import over_found
 from suite.detection import TRAVEL
-from suite.ingest import _SYSMON_COLS, _SYSMON_SQL, sysmon_xml
+from suite.ingest import _CLOUD_COLS, _SYSMON_COLS, _SYSMON_SQL, NRM_CLOUDTRAIL, cloud_files, sysmon_xml
 from suite.telemetry import load, plain, shown, sql
 
 
@@ -44,6 +44,20 @@ def stream_normalize(spark, sf):
     return plain(spark.read.schema(schemas.SYSMON).json(f"{root}/out").select(*_SYSMON_COLS))
 
 
+def stream_cloudtrail(spark, sf):
+    """Gzip delivery files with nested records in folders by region, as a stream."""
+    root = scratch_path(spark, "stream-cloud")
+    lines = cloud_files(spark, sf).select(F.to_json(F.struct("Records")).alias("value"), F.lit("eu").alias("region"))
+    lines.write.option("compression", "gzip").partitionBy("region").text(f"{root}/in")
+    read = lambda s: files.read_json(s, f"{root}/in", schemas.RAW_CLOUDTRAIL_FILE, stream=True, recursive=True)
+    spec = manage.StreamSpec("cloudtrail", read, N.normalize_cloudtrail_raw, f"{root}/out", f"{root}/checkpoint")
+    started, failed = manage.start_streams(spark, [spec], available_now=True)
+    if failed:
+        raise RuntimeError(str(failed))
+    manage.finish(started)
+    return plain(spark.read.schema(schemas.CLOUDTRAIL).json(f"{root}/out").select(*_CLOUD_COLS))
+
+
 def stream_threshold(spark, sf):
     """Tumbling windows closed by the watermark."""
     root = scratch_path(spark, "stream-threshold")
@@ -253,6 +267,7 @@ def stream_enriched(spark, sf):
 
 QUERIES = {
     "stream_normalize_xml": (stream_normalize, sql(f"SELECT {_SYSMON_SQL} FROM ev", "ev")),
+    "stream_cloudtrail_gzip": (stream_cloudtrail, NRM_CLOUDTRAIL),
     "stream_threshold": (stream_threshold, STREAM_THRESHOLD),
     "stream_threshold_distinct": (stream_threshold_distinct, STREAM_DISTINCT),
     "stream_impossible_travel": (stream_travel, TRAVEL),
