@@ -25,10 +25,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from sparkwatch.llm.text import (
     Words,
+    bounded_batches,
     carried,
     lower_table,
     rolling,
@@ -145,10 +146,10 @@ def _block(rows, counts: dict[int, int], shingle: int) -> dict:
     }
 
 
-def _joined(block: dict, last: bool):
+def _joined(block: dict, last: bool, share: int):
     """Adds to each document the words that the block's windows hit and the items found.
 
-    The text goes on to the next block and not beyond the last.
+    Text and findings go on to the next block; the last block gives the result.
     """
 
     def run(batches):
@@ -172,45 +173,40 @@ def _joined(block: dict, last: bool):
                             if not spans or spans[-1] != (start, start + length):
                                 spans.append((start, start + length))
                             found.add(block["items"][item])
+            n_words = np.diff(words.first)
+            if last:
+                yield _summary(batch.column(2), n_words, rows, share)
+                continue
             state = [pickle.dumps((sorted(set(s)), f)) if s else None for s, f in rows]
-            counts = np.diff(words.first)
-            own = [batch.column(0)] if not last else [pa.nulls(batch.num_rows, pa.string())]
             yield pa.RecordBatch.from_arrays(
-                [*own, pa.array(state, pa.binary()), batch.column(2), pa.array(counts)],
-                names=["text", "state", "row", "n_words"],
+                [batch.column(0), pa.array(state, pa.binary()), batch.column(2)],
+                names=["text", "state", "row"],
             )
 
     return run
 
 
-def _summary(share: int):
-    def run(batches):
-        for batch in batches:
-            n_hit, n_items, digest, spans_out = [], [], [], []
-            for state in batch.column(batch.schema.get_field_index("state")).to_pylist():
-                spans, found = pickle.loads(state) if state else ([], set())
-                hit, end = 0, 0
-                for x, y in spans:
-                    hit += max(0, y - max(x, end))
-                    end = max(end, y)
-                n_hit.append(hit)
-                n_items.append(len(found))
-                digest.append(hashlib.sha256(",".join(sorted(found)).encode()).hexdigest())
-                spans_out.append([{"start": x, "end": y} for x, y in spans])
-            n_words = batch.column(batch.schema.get_field_index("n_words"))
-            bad = [h > 0 and share * h >= n for h, n in zip(n_hit, n_words.to_pylist(), strict=True)]
-            columns = [
-                batch.column(0), n_words, pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()),
-                pa.array(digest, pa.string()), pa.array(bad, pa.bool_()),
-            ]
-            names = ["row", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
-            columns.append(
-                pa.array(spans_out, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
-            )
-            names.append("spans")
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    return run
+def _summary(row: pa.Array, n_words: np.ndarray, rows: list, share: int) -> pa.RecordBatch:
+    """The result of documents from the spans and items found in each."""
+    n_hit, digest, spans_out = [], [], []
+    for spans, found in rows:
+        hit, end = 0, 0
+        spans = sorted(set(spans))
+        for x, y in spans:
+            hit += max(0, y - max(x, end))
+            end = max(end, y)
+        n_hit.append(hit)
+        digest.append(hashlib.sha256(",".join(sorted(found)).encode()).hexdigest())
+        spans_out.append([{"start": x, "end": y} for x, y in spans])
+    bad = [h > 0 and share * h >= n for h, n in zip(n_hit, n_words.tolist(), strict=True)]
+    return pa.RecordBatch.from_arrays(
+        [
+            row, pa.array(n_words), pa.array(n_hit, pa.int64()), pa.array([len(f) for _, f in rows], pa.int64()),
+            pa.array(digest, pa.string()), pa.array(bad, pa.bool_()),
+            pa.array(spans_out, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+        ],
+        names=["row", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"],
+    )
 
 
 def contamination(
@@ -235,6 +231,7 @@ def contamination(
     item_ids count once. Rows of ``docs`` each give a row, whether they repeat or have no doc_id.
     Other columns are not read. Both tables are read more than once, so they should be stored.
     """
+    bounded_batches(docs)
     windows = written_table(_windows(items, window, shingle), "windows")
     size = windows.agg(F.sum(F.length("words") + 8 * F.size("shingles") + 64)).first()[0] or 0
     n_blocks = max(1, math.ceil(size / block_bytes))
@@ -250,13 +247,15 @@ def contamination(
         counts = {r.shingle & (2**64 - 1): r.n for r in _counted(docs, wanted).collect()} if rows else {}
         blocks.append(_block(rows, counts, shingle))
     state = carried(docs, carry).withColumn("state", F.lit(None).cast("binary"))
-    for block in blocks:
-        state = state.select("text", "state", "row")
-        step = StructType.fromDDL("text string, state binary")
-        step = StructType([*step.fields, state.schema["row"], StructField("n_words", LongType())])
-        state = state.mapInArrow(_joined(block, block is blocks[-1]), step)
+    row = state.schema["row"]
     shown = (
         "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
         "spans array<struct<start:long,end:long>>"
     )
-    return state.select("row", "state", "n_words").mapInArrow(_summary(share), with_row(state, shown))
+    for block in blocks:
+        last = block is blocks[-1]
+        schema = StructType([*StructType.fromDDL("text string, state binary").fields, row])
+        state = state.select("text", "state", "row").mapInArrow(
+            _joined(block, last, share), with_row(state, shown) if last else schema
+        )
+    return state

@@ -31,7 +31,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkwatch.llm.components import components
-from sparkwatch.llm.text import SPACES, Words, byte_table, lower_table, mix, rolling, slices
+from sparkwatch.llm.text import (
+    SPACES,
+    Words,
+    bounded_batches,
+    byte_table,
+    lower_table,
+    mix,
+    rolling,
+    slices,
+)
 from sparkwatch.session import written_table
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -120,7 +129,7 @@ def document_sketches(docs: DataFrame, shingle: int, bands: int, rows: int) -> D
                 names=["doc_id", "n_shingles", "set_a", "set_b", "bands"],
             )
 
-    wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
+    wanted = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
     return wanted.mapInArrow(run, SKETCH_SCHEMA)
 
 
@@ -202,7 +211,7 @@ def _between(members: DataFrame, texts: DataFrame, shingle: int, percent: int) -
     )
 
     def run(batches):
-        for table in _whole_groups(batches, key, 1 << 22):
+        for table in _whole_groups(batches, key, 1 << 20):
             codes = pc.dictionary_encode(table["text"].combine_chunks().cast(pa.large_string()))
             owner, values, bounds = shingle_sets(codes.dictionary, shingle)
             code = codes.indices.to_numpy()

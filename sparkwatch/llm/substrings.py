@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkwatch.llm.text import SPACES, Words, byte_table, mix, rolling, with_row, within
+from sparkwatch.llm.text import SPACES, Words, bounded_batches, byte_table, mix, rolling, with_row, within
 
 _MAIL = "batch long, bucket long, hashes binary, more binary, lows binary"
 _REPLY = "batch long, bucket long, level int, bits binary"
@@ -285,7 +285,7 @@ def remove_repeats(
     lengths = levels(length)
     names = [c for c in docs.columns if c != "text"] if carry is None else carry
     spark = docs.sparkSession
-    n_rows = docs.count()
+    n_rows = bounded_batches(docs).count()
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n_rows / 4096))
     texts = docs.select(
         F.floor(F.monotonically_increasing_id() / batch_rows).alias("batch"),

@@ -13,7 +13,7 @@ _MIX_B = 0x94D049BB133111EB
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 #: Powers of the base are kept for blocks of this many bytes.
-_BLOCK = 1 << 20
+_BLOCK = 1 << 18
 #: UTF-8 bytes that separate words: space and tab to carriage return.
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
 
@@ -141,7 +141,7 @@ def within(words: Words, length: int) -> np.ndarray:
     return np.flatnonzero(words.text[:n] == words.text[length - 1 :][:n]) if n else np.zeros(0, np.int64)
 
 
-def slices(batches, column: str, most_bytes: int = 1 << 22):
+def slices(batches, column: str, most_bytes: int = 1 << 20):
     """Record batches cut so that each holds at most ``most_bytes`` of text, or one row.
 
     Bounds the working memory of a task whatever the batch size and text lengths are.
@@ -161,13 +161,27 @@ def slices(batches, column: str, most_bytes: int = 1 << 22):
             begin = stop
 
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(df):
+    """Let Spark hand texts to tasks in batches of 4 MB, and give back ``df``.
+
+    Its default of 64 MB costs each task several times that outside of the heap. A session that has
+    set another size than the default keeps it.
+    """
+    if df.sparkSession.conf.get(_BATCH_BYTES).rstrip("b") == str(64 << 20):
+        df.sparkSession.conf.set(_BATCH_BYTES, "4m")
+    return df
+
+
 def carried(df, columns: list[str] | None = None):
     """``row`` (a struct of the given columns, or all) beside the text as a string.
 
     Operators hand ``row`` on untouched, so extra columns may have any name and type.
     """
     names = df.columns if columns is None else columns
-    return df.select(
+    return bounded_batches(df).select(
         F.struct(*[df[f"`{c}`"] for c in names]).alias("row"), df["text"].cast("string").alias("text")
     )
 

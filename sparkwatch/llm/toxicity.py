@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkwatch.llm.quality import labelled_sample
-from sparkwatch.llm.text import Words, carried, lower_table, mix, slices, with_row, word_bytes
+from sparkwatch.llm.text import Words, bounded_batches, carried, lower_table, mix, slices, with_row, word_bytes
 
 SLOTS = 1 << 18
 #: Labelled rows of each class that the fit takes at most; they are those with the smallest hash.
@@ -149,7 +149,7 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", mos
 
     sample, clean_share = labelled_sample(labels, label, most)
     chosen = (
-        docs.select("doc_id", F.col("text").cast("string").alias("text"))
+        bounded_batches(docs).select("doc_id", F.col("text").cast("string").alias("text"))
         .join(F.broadcast(sample), "doc_id")  # at most twice ``most`` rows
         .select("label", "text")
     )

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from sparkwatch.llm.text import bounded_batches
 from sparkwatch.session import scratch_path
 
 MAGIC = b"\x1f\x8b\x08"
@@ -279,7 +280,7 @@ def write_warc(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
     row, aggregated before the shuffle. So a payload that a third of the pages share is no
     hot group there, and on the join's other side Spark splits it.
     """
-    wanted = pages.select(
+    wanted = bounded_batches(pages).select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         F.col("html").cast("string").cast("binary").alias("html"),
     )
