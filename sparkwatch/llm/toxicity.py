@@ -139,21 +139,24 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", mos
 
     def run(batches):
         for batch in slices(batches, "text"):
-            words, sentence, slot, text = sentences(batch.column(1))
+            words, sentence, slot, text = sentences(batch.column(2))
             first = np.searchsorted(text, np.arange(batch.num_rows))
             bags = []
             for r in range(batch.num_rows):
                 a, b = words.first[r], words.first[r + 1]
                 bags.append(np.unique((sentence[a:b] - first[r]) * SLOTS + slot[:, a:b]).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bags, pa.binary())], names=["label", "bag"])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array(bags, pa.binary())], names=["doc_id", "label", "bag"]
+            )
 
     sample, clean_share = labelled_sample(labels, label, most)
     chosen = (
         bounded_batches(docs).select("doc_id", F.col("text").cast("string").alias("text"))
         .join(F.broadcast(sample), "doc_id")  # at most twice ``most`` rows
-        .select("label", "text")
+        .select(F.col("doc_id").cast("long"), "label", "text")
     )
-    rows = chosen.mapInArrow(run, "label int, bag binary").limit(4 * most).toArrow()
+    rows = chosen.mapInArrow(run, "doc_id long, label int, bag binary").limit(4 * most).toArrow()
+    rows = rows.sort_by([("doc_id", "ascending"), ("label", "ascending")])  # they arrive in any order
     bags = [np.frombuffer(b, np.int64) for b in rows["bag"].to_pylist()]
     return fit_blame(bags, rows["label"].to_numpy(), clean_share)
 
