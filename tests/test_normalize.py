@@ -93,7 +93,7 @@ def test_silver_process_labels(spark):
         (1, "procdump.exe", "x"), (1, "a.exe", "run -NOP"), (1, "PowerShell.exe", "IEX y"), (1, "a.exe", None), (3, "mimikatz", ""),
     ]
     raw = spark.createDataFrame(
-        [(i, "2025-11-03T10:00:00", "h", p, 1.0, c, "u", "p", 2.0, "s", None, None) for i, p, c in rows], schemas.RAW_SYSMON
+        [(i, "2025-11-03T10:00:00", "h", p, 1.0, c, "u", "p", 2.0, "s", None, None, None) for i, p, c in rows], schemas.RAW_SYSMON
     )
     out = silver.sysmon_process(raw)
     assert [f.name for f in out.schema] == [f.name for f in schemas.SILVER["sysmon_process"]]
@@ -101,7 +101,7 @@ def test_silver_process_labels(spark):
 
 
 def test_bad_values_become_null(spark):
-    raw = spark.createDataFrame([(3, "not a time", "h", "p", None, None, "u", None, None, None, "1.1.1.1", 443.0)], schemas.RAW_SYSMON)
+    raw = spark.createDataFrame([(3, "not a time", "h", "p", None, None, "u", None, None, None, "1.1.1.1", 443.0, None)], schemas.RAW_SYSMON)
     row = silver.sysmon_network(raw).first()
     assert row["event_time"] is None and row["destination_port"] == 443 and row["port_classification"] == "normal"
 
