@@ -8,6 +8,7 @@ from sparkwatch import schemas
 from sparkwatch.operators import normalize as N
 from sparkwatch.operators import silver
 from sparkwatch.operators.alerts import consolidate
+from sparkwatch.operators.cluster import cluster_checks, user_features
 from sparkwatch.operators.quality import expect
 from sparkwatch.operators.threshold import threshold
 from sparkwatch.plans import pipeline, rules
@@ -17,6 +18,7 @@ from sparkwatch.sinks.tables import read_alerts
 from sparkwatch.sources import files, tables
 from sparkwatch.streaming import manage
 from sparkwatch.streaming import rules as stream_rules
+from suite import detection as D
 from suite import telemetry as T
 from suite.alerts import over_found
 from suite.detection import TRAVEL
@@ -199,7 +201,10 @@ STREAM_PIPELINE_ALL = sql(
 
 
 def detections_over_pipeline(spark, sf):
-    """All enabled rules over the tables of the pipeline; none may fail to be planned."""
+    """Four signature rules over the tables of the pipeline, and how many of all enabled rules fail to be planned.
+
+    ``detections_every_rule`` has the alerts of all rules.
+    """
     tables_ = written_pipeline(spark, sf)
     tables_["sysmon_network"] = T.network(spark, sf)
     run = run_detections(tables_, T.EVENTS_AS_OF)
@@ -217,6 +222,84 @@ UNION ALL SELECT 'detect_mimikatz', count(*), 0 FROM ev WHERE event_type = 'sign
 )
 
 
+#: Time of the run by table where it is not that of the events, and parameters of the rules' own queries.
+RUN_AT = {"cloudtrail": T.ORDERS_AS_OF, "sysmon_network": T.LINES_AS_OF}
+RUN_WITH = {
+    "detect_okta_bruteforce": dict(within="7 days", min_count=2),
+    "detect_windows_bruteforce": dict(within="30 days", min_count=2),
+    "detect_aws_api_failures": dict(within="1000 days", min_count=3),
+    "detect_network_scanning": dict(within="60 days", min_count=6),
+    "detect_rare_process_execution": dict(steps=(55, 60, 100), top=None),
+    "detect_network_anomaly": dict(history="300 days", gap="6 days", recent_from="2001-06-10 00:00:00"),
+    "detect_timeseries_anomaly": dict(z=1.0, high=2.0, recent="72 hours"),
+    "detect_web_beaconing": dict(within="2000 days", min_count=2),
+}
+CLUSTERING = "detect_user_clustering"
+
+
+def detections_every_rule(spark, sf):
+    """All enabled rules over the tables of the pipeline: a row per rule, also where it finds nothing.
+
+    Clusters have no SQL. For that rule the clustered users that pass the checks of
+    ``cluster_checks`` are counted in place of alerts, and none if the rule gives no alert or one for another user.
+    """
+    tables_ = written_pipeline(spark, sf)
+    tables_["sysmon_network"] = T.network(spark, sf)
+    chosen = [
+        rules.with_params(r, **RUN_WITH[r.name]) if r.name in RUN_WITH else r for r in rules.RULES if r.enabled
+    ]
+    runs = [
+        run_detections(tables_, at, [r for r in chosen if RUN_AT.get(r.table, T.EVENTS_AS_OF) == at])
+        for at in (T.EVENTS_AS_OF, *RUN_AT.values())
+    ]
+    found = consolidate([run.summary() for run in runs])
+    names = spark.createDataFrame([(r.name,) for r in chosen], "detection_rule string")
+    counts = names.join(found, "detection_rule", "left").select(
+        "detection_rule",
+        F.when(F.col("detection_rule") != CLUSTERING, F.coalesce("alert_count", F.lit(0))).alias("alert_count"),
+    )
+    users = cluster_checks(user_features(tables_["okta_auth"], "user_email", "event_time", T.EVENTS_AS_OF))
+    alerted = runs[0].alerts.where(F.col("detection_rule") == CLUSTERING).groupBy(F.col("user").alias("user_email")).agg(
+        F.count("*").alias("n")
+    )
+    checks = users.join(alerted, "user_email", "full").agg(
+        F.count_if(F.col("nearest") & F.col("as_ruled")).alias("right"),
+        F.count_if(F.col("nearest").isNull() | (F.col("n") > 1)).alias("wrong"),
+        F.count("n").alias("alerted"),
+    )
+    checks = checks.select(
+        F.lit(CLUSTERING).alias("detection_rule"),
+        F.when((F.col("wrong") == 0) & (F.col("alerted") > 0), F.col("right")).otherwise(F.lit(0)).alias("checked_users"),
+    )
+    failed = sum(len(run.failed) for run in runs)
+    return counts.join(checks, "detection_rule", "left").withColumn("failed_rules", F.lit(failed))
+
+
+def _rule_count(name, query=None, where="true"):
+    return f"""SELECT '{name}' AS detection_rule, count(*) AS alert_count, CAST(NULL AS BIGINT) AS checked_users,
+  0 AS failed_rules FROM ({query or D.QUERIES[name][1]}) WHERE {where}"""
+
+
+DETECTIONS_EVERY_RULE = " UNION ALL ".join(
+    [
+        *[
+            _rule_count(r.name)
+            for r in rules.RULES
+            if r.name not in (CLUSTERING, "detect_impossible_travel", "detect_registry_run_key")
+        ],
+        _rule_count(
+            "detect_impossible_travel", D.TRAVEL, f"current_login_time <= '{T.EVENTS_AS_OF}.000000'"
+        ),
+        _rule_count(
+            "detect_registry_run_key",
+            sql("SELECT * FROM registry WHERE registry_path LIKE '%CurrentVersion\\Run%'", "registry"),
+        ),
+        f"""SELECT '{CLUSTERING}', CAST(NULL AS BIGINT), count(*), 0 FROM ({D.CLUSTERING_CHECKED})
+WHERE nearest AND as_ruled""",
+    ]
+)
+
+
 def stream_expectations(spark, sf):
     """Counts observed on a stream, added up over all of its batches."""
     root = scratch_path(spark, "stream-expect")
@@ -274,6 +357,7 @@ QUERIES = {
     "stream_bronze_silver": (stream_pipeline, STREAM_PIPELINE),
     "stream_bronze_silver_all": (stream_pipeline_all, STREAM_PIPELINE_ALL),
     "detections_all_rules": (detections_over_pipeline, DETECTIONS_OVER_PIPELINE),
+    "detections_every_rule": (detections_every_rule, DETECTIONS_EVERY_RULE),
     "stream_expectations": (stream_expectations, STREAM_EXPECTATIONS),
     "stream_alert_writer": (stream_alerts, STREAM_ALERTS),
     "stream_static_enrichment": (
