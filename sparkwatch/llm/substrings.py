@@ -30,8 +30,12 @@ from sparkwatch.llm.text import SPACES, Words, bounded_batches, byte_table, mix,
 _MAIL = "batch long, bucket long, hashes binary, more binary, lows binary"
 _REPLY = "batch long, bucket long, level int, bits binary"
 _SALT = np.uint64(0xD6E8FEB86659FD93)
-#: Documents of one batch.
+#: Documents of one batch, and bytes of text in it unless it is a single row.
 BATCH_ROWS = 512
+BATCH_BYTES = 4 << 20
+#: Documents, and bytes of text, to a bucket of hash values.
+BUCKET_ROWS = 4096
+BUCKET_BYTES = 32 << 20
 
 
 def levels(length: int, shortest: int = 5) -> list[int]:
@@ -262,12 +266,34 @@ def _results(work: _Batch, table: pa.Table, gone: np.ndarray) -> list[dict]:
     return out
 
 
+def batched(docs: DataFrame, names: list[str], batch_rows: int, batch_bytes: int) -> DataFrame:
+    """batch, doc_id, row (the columns in ``names``) and text of each row of ``docs``.
+
+    A batch has at most ``batch_rows`` neighbouring rows, of one size class: rows of up to
+    ``batch_bytes / 2^fits`` bytes, of which it takes no more than 2^fits. So it holds at most
+    ``batch_bytes`` of text, or one row, wherever the long texts lie.
+    """
+    most = (batch_rows - 1).bit_length()
+    size = F.greatest(F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)), F.lit(1))
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("place"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.struct(*[docs[f"`{c}`"] for c in names]).alias("row"),
+        F.col("text").cast("string").alias("text"),
+        size.cast("long").alias("size"),
+    )
+    fits = f"least(length(bin(greatest({batch_bytes}L div size, 1L))) - 1, {most})"
+    held = f"least({batch_rows}L, shiftleft(1L, {fits}))"
+    return rows.select(F.expr(f"(place div {held}) * {most + 1}L + {fits}").alias("batch"), "doc_id", "row", "text")
+
+
 def remove_repeats(
     docs: DataFrame,
     length: int = 13,
     carry: list[str] | None = None,
     with_text: bool = True,
     batch_rows: int = BATCH_ROWS,
+    batch_bytes: int = BATCH_BYTES,
 ) -> DataFrame:
     """Remove words covered by a window of ``length`` words that a smaller doc_id holds too.
 
@@ -280,21 +306,17 @@ def remove_repeats(
     repeat a doc_id count as the same document, so they do not remove each other.
 
     ``docs`` must be a stored table: it is read twice, and rows are batched by their place in
-    it. The windows of the last level are compared by 96 bits of hash.
+    it (see ``batched``). The windows of the last level are compared by 96 bits of hash.
     """
     lengths = levels(length)
     names = [c for c in docs.columns if c != "text"] if carry is None else carry
     spark = docs.sparkSession
-    n_rows = bounded_batches(docs).count()
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n_rows / 4096))
-    texts = docs.select(
-        F.floor(F.monotonically_increasing_id() / batch_rows).alias("batch"),
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.struct(*[docs[f"`{c}`"] for c in names]).alias("row"),
-        F.col("text").cast("string").alias("text"),
-    )
+    n_rows, n_bytes = bounded_batches(docs).agg(
+        F.count("*"), F.coalesce(F.sum(F.octet_length(F.col("text").cast("string"))), F.lit(0))
+    ).first()
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = texts.repartition(parts, "batch")
+    buckets = max(parts, math.ceil(n_rows / BUCKET_ROWS), math.ceil(n_bytes / BUCKET_BYTES))
+    texts = batched(docs, names, batch_rows, batch_bytes).repartition(parts, "batch")
     replies = None
     for level in range(len(lengths)):
         if replies is None:
