@@ -514,13 +514,16 @@ RULES: tuple[Rule, ...] = (
         "cloudtrail", "detect_aws_api_failures", "Excessive AWS API Failures", "T1078.004",
         "Credential Access", "MEDIUM", find=aws_api_failures, period=HOUR, at="first_failure", user="user_name",
         ip="source_ip",
-        context=("service", "error_code", "failure_count", "unique_api_count", "failed_apis"),
+        context=("service", "error_code", "failure_count", "unique_api_count", "failed_apis", "last_failure"),
         identity=("service", "error_code"), text="Detects bursts of failed cloud API calls",
     ),
     _rule(
         "sysmon_network", "detect_network_scanning", "Network Scanning Activity Detected", "T1046",
         "Discovery", "MEDIUM", find=network_scanning, period=HOUR, at="first_connection", **_PROCESS,
-        context=("process_name", "unique_destinations", "total_connections", "unique_ports", "ports_accessed"),
+        context=(
+            "process_name", "unique_destinations", "total_connections", "unique_ports", "ports_accessed",
+            "last_connection",
+        ),
         identity=("process_name",), text="Detects connections to many destinations in a short time",
     ),
     _rule(
@@ -607,7 +610,7 @@ RULES: tuple[Rule, ...] = (
     _rule(
         "sysmon_network", "detect_web_beaconing", "Suspicious Outbound Web Traffic", "T1071.001",
         "Command and Control", "MEDIUM", find=web_beaconing, period=HOUR, at="first_connection", host="host",
-        context=("process_name", "destination_ip", "connection_count"),
+        context=("process_name", "destination_ip", "connection_count", "last_connection"),
         identity=("process_name", "destination_ip"),
         text="Detects many web connections of an unusual process to one address",
     ),
