@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkwatch.llm.alignment import ByteLevel, Pieces, aligned
 from sparkwatch.llm.contamination import contamination
+from sparkwatch.llm.language import score_language
 from sparkwatch.llm.near import near_duplicates
 from sparkwatch.llm.packing import packed
 from sparkwatch.llm.quality import fold, learn_quality, score_quality
@@ -15,6 +19,11 @@ from sparkwatch.llm.tokens import token_counts
 from sparkwatch.llm.topk import exact_top_k
 from sparkwatch.llm.toxicity import learn_toxicity, score_toxicity
 from sparkwatch.llm.warc import archived
+from sparkwatch.llm.whitening import whitened
+
+#: Vocabulary files of public tokenizers; every worker has them at the same place.
+BYTE_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
+PIECE_VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -100,6 +109,35 @@ def op9_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(_table(spark, sf, "documents"), shingle=2)
 
 
+def op11_alignment(
+    spark: SparkSession, sf: str, first: str = BYTE_VOCABULARY, second: str = PIECE_VOCABULARY
+) -> DataFrame:
+    """How the tokens of a byte-level and of a piece vocabulary meet in every document."""
+    found = aligned(_table(spark, sf, "documents"), partial(ByteLevel, first), partial(Pieces, second), carry=["doc_id"])
+    return found.select(
+        "row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
+def op12_language_model(spark: SparkSession, sf: str) -> DataFrame:
+    """Log probability of every document under bigrams of those that are not held out."""
+    docs, held_out = _table(spark, sf, "documents"), fold("doc_id", 5) == 1
+    return score_language(docs, ~held_out, carry=["doc_id"]).select(
+        "row.doc_id", (~F.col("learns")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score", "strength",
+    )
+
+
+def op13_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    """All embeddings on their eight largest principal components, each with variance 1."""
+    found = whitened(_table(spark, sf, "embeddings"))
+    # A deviation beyond a long has no place in this column; deviation_exact holds it.
+    return found.select(
+        "vec_id", "component", "n", F.expr("try_cast(deviation AS bigint)").alias("deviation"),
+        "whitened", "explained", "identity_error", F.col("deviation").alias("deviation_exact"), "variance",
+    )
+
+
 OP4_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
@@ -300,4 +338,7 @@ QUERIES = {
     "op8_packing": (op8_packing, None),
     "op9_near_duplicates": (op9_near_duplicates, OP9_SQL),
     "op10_toxicity": (op10_toxicity, None),
+    "op11_alignment": (op11_alignment, None),
+    "op12_language_model": (op12_language_model, None),
+    "op13_whitening": (op13_whitening, None),
 }
