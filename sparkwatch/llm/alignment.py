@@ -13,7 +13,10 @@ sends each of its pairs once with its number of documents, and each pair's count
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +31,13 @@ from sparkwatch.llm.text import carried, slices, text_bytes
 from sparkwatch.session import written_table
 
 #: Text of one batch; its distinct pairs are what a batch asks for.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 #: Text that is handed to a tokenizer at once.
 _CALL_BYTES = 1 << 18
 #: A tokens of one place in the state vector.
 LANE = 512
+#: Words that a tokenizer remembers in a task; beyond them it starts anew.
+_WORDS = 1 << 18
 _SPACE = "▁"
 
 
@@ -43,17 +48,53 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+#: A single space between two characters that are not white space themselves.
+_CUT = re.compile(r"(?<=[!-~\w]) (?=[!-~\w])")
+
+
 class Encoder:
-    """A tokenizer: ``token(i)`` gives the bytes of an id, ``encode(texts)`` lists of ids."""
+    """A tokenizer: ``token(i)`` gives the bytes of an id, ``encode(texts)`` all ids and how many each text has.
+
+    Where ``parts`` is true, no token of the vocabulary reaches over a single space into what is before it, so
+    a text has the tokens of its words, and each word is encoded once as long as it is remembered.
+    """
+
+    parts = False
+
+    def __init__(self):
+        self._forget()
+
+    def _forget(self) -> None:
+        self._known: dict[str, int] = {}
+        self._first, self._ids = np.zeros(1, np.int64), np.zeros(0, np.int32)
 
     def table(self) -> pa.Array:
         return pa.array([self.token(i) for i in range(self.size)], pa.large_binary())
 
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        split = [_CUT.split(t) for t in texts] if self.parts else [[t] for t in texts]
+        words = list(chain.from_iterable(split))
+        if len(self._known) > _WORDS:
+            self._forget()
+        new = [w for w in dict.fromkeys(words) if w not in self._known]
+        fresh = self.whole(new)
+        self._known.update(zip(new, range(len(self._known), len(self._known) + len(new)), strict=True))
+        ends = self._first[-1] + np.cumsum(np.fromiter(map(len, fresh), np.int64, len(fresh)))
+        self._first = np.concatenate([self._first, ends])
+        self._ids = np.concatenate([self._ids, np.fromiter(chain.from_iterable(fresh), np.int32)])
+        at = np.fromiter(map(self._known.__getitem__, words), np.int64, len(words))
+        size = self._first[at + 1] - self._first[at]
+        before = np.concatenate([[0], np.cumsum(size)])
+        ids = self._ids[np.repeat(self._first[at] - before[:-1], size) + np.arange(before[-1])]
+        text_ends = before[np.cumsum([len(w) for w in split])] if split else before[:0]
+        return ids.astype(np.int64), np.diff(text_ends, prepend=0)
+
 
 class ByteLevel(Encoder):
     """A byte-level vocabulary in one JSON file. Special tokens in a text are plain text."""
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
@@ -61,11 +102,15 @@ class ByteLevel(Encoder):
         self._model.encode_special_tokens = True
         self._letters = byte_letters()
         self.size = self._model.get_vocab_size()
+        # The byte-level pattern never has a token go on over a space after something else.
+        rules = json.loads(self._model.to_str())
+        before = rules["pre_tokenizer"] or {}
+        self.parts = rules["normalizer"] is None and before.get("type") == "ByteLevel" and bool(before.get("use_regex"))
 
     def token(self, i: int) -> bytes:
         return bytes(self._letters[c] for c in self._model.id_to_token(i) or "")
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self._model.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
 
 
@@ -73,10 +118,12 @@ class Pieces(Encoder):
     """A model of pieces with byte fallback, which puts a space before a text itself."""
 
     def __init__(self, path: str):
+        super().__init__()
         from sentencepiece import SentencePieceProcessor
 
         self._model = SentencePieceProcessor(model_file=path)
         self.size = self._model.get_piece_size()
+        self.parts = not any(_SPACE in self._model.id_to_piece(i).lstrip(_SPACE) for i in range(self.size))
 
     def token(self, i: int) -> bytes:
         piece = self._model.id_to_piece(i)
@@ -84,17 +131,16 @@ class Pieces(Encoder):
             return bytes([int(piece[3:-1], 16)])
         return piece.replace(_SPACE, " ").encode()
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def whole(self, texts: list[str]) -> list[list[int]]:
         return self._model.encode(texts, num_threads=1)
 
 
 class _Tokens:
     """Flat token ids of a batch with their end offsets in bytes; a text of other bytes has none."""
 
-    def __init__(self, ids: list[list[int]], table: pa.Array, sizes: np.ndarray):
-        count = np.fromiter(map(len, ids), np.int64, len(ids))
+    def __init__(self, encoded: list[tuple[np.ndarray, np.ndarray]], table: pa.Array, sizes: np.ndarray):
+        self.ids, count = (np.concatenate(x) for x in zip(*encoded, strict=True))
         self.first = np.concatenate([[0], np.cumsum(count)])
-        self.ids = np.concatenate([np.asarray(i, np.int64) for i in ids]) if ids else np.zeros(0, np.int64)
         self.end = np.cumsum(sizes[self.ids])
         before = np.concatenate([[0], self.end])
         self.bounds = before[self.first]  # offsets of the texts in the joined bytes of all
@@ -145,26 +191,28 @@ def lanes(a_first, a_end, b_first, b_end, size: int = LANE) -> tuple[np.ndarray,
     return tuple(np.array(x, np.int64) for x in (begin_a, begin_b, stop_a, stop_b))
 
 
-def merge(a_end, b_end, begin_a, begin_b, stop_a) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All links (positions in A and in B) and the A positions of cuts, in lockstep.
+def merge(a_end, b_end, begin_a, begin_b, stop_a) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All links (positions in A and in B) and the positions of the tokens before cuts, in lockstep.
 
     ``a_end`` and ``b_end`` are byte offsets within a text, whose last ones are equal.
     """
     a, b, stop = begin_a.copy(), begin_b.copy(), stop_a
-    links_a, links_b, cuts = [], [], []
+    links_a, links_b, cuts_a, cuts_b = [], [], [], []
     while len(a):
         links_a.append(a)
         links_b.append(b)
         ends, other = a_end[a], b_end[b]
-        cuts.append(a[ends == other])
+        cut = ends == other
+        cuts_a.append(a[cut])
+        cuts_b.append(b[cut])
         a = a + (ends <= other)
         b = b + (other <= ends)
         going = a < stop
         if not going.all():
             a, b, stop = a[going], b[going], stop[going]
     if not links_a:
-        return (np.zeros(0, np.int64),) * 3
-    return tuple(np.concatenate(x) for x in (links_a, links_b, cuts))
+        return (np.zeros(0, np.int64),) * 4
+    return tuple(np.concatenate(x) for x in (links_a, links_b, cuts_a, cuts_b))
 
 
 _MARKS = ("", ",", "|", ";")
@@ -175,23 +223,17 @@ def _texts(size: int) -> list[pa.Array]:
     return [pa.array([f"{i}{mark}" for i in range(size)], pa.large_binary()) for mark in _MARKS]
 
 
-def _group_digests(a: _Tokens, b: _Tokens, cuts: np.ndarray, texts: pa.Array, sizes: tuple[int, int]) -> list[str]:
+def _group_digests(a: _Tokens, b: _Tokens, cuts_a: np.ndarray, cuts_b: np.ndarray, texts: pa.Array, sizes: tuple[int, int]) -> list[str]:
     """The digest of ``a1,a2|b1;a3|b2,b3`` per text: one look-up of each token with its mark."""
-    ends_a = np.zeros(len(a.ids), bool)
-    ends_a[cuts] = True
-    rows = len(a.first) - 1
-    text_a = np.repeat(np.arange(rows), np.diff(a.first))
-    text_b = np.repeat(np.arange(rows), np.diff(b.first))
-    # A group ends at the same byte in both; within a text offsets are distinct.
-    width = int(a.end.max(initial=0)) + 1
-    ends_b = np.isin(text_b * width + b.end, text_a[cuts] * width + a.end[cuts])
+    ends_a, ends_b = np.zeros(len(a.ids), bool), np.zeros(len(b.ids), bool)
+    ends_a[cuts_a] = ends_b[cuts_b] = True
     group_a = np.cumsum(ends_a) - ends_a
     group_b = np.cumsum(ends_b) - ends_b
     mark_a, mark_b = np.where(ends_a, 2, 1), np.where(ends_b, 3, 1)
     mark_b[b.first[1:][np.diff(b.first) > 0] - 1] = 0
     per_mark = sizes[0] + sizes[1]
     code = np.concatenate([mark_a * per_mark + a.ids, mark_b * per_mark + sizes[0] + b.ids])
-    order = np.lexsort((np.concatenate([np.zeros(len(a.ids), np.int8), np.ones(len(b.ids), np.int8)]), np.concatenate([group_a, group_b])))
+    order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
     joined, offsets = text_bytes(texts.take(pa.array(code[order])))
     bounds = offsets[a.first + b.first]
     data = joined.data
@@ -237,8 +279,8 @@ def _aligned_batch(texts: pa.Array, first: Encoder, second: Encoder, tables, mar
     for i, t in enumerate(plain):
         size += len(t)
         if size >= _CALL_BYTES or i == rows - 1:
-            ids_a += first.encode(plain[begin : i + 1])
-            ids_b += second.encode(plain[begin : i + 1])
+            ids_a.append(first.encode(plain[begin : i + 1]))
+            ids_b.append(second.encode(plain[begin : i + 1]))
             size, begin = 0, i + 1
     a, b = _Tokens(ids_a, *tables[0]), _Tokens(ids_b, *tables[1])
     good = np.zeros(rows, bool)
@@ -249,7 +291,7 @@ def _aligned_batch(texts: pa.Array, first: Encoder, second: Encoder, tables, mar
     a.keep(good)
     b.keep(good)
     begin_a, begin_b, stop_a, _ = lanes(a.first, a.end, b.first, b.end)
-    link_a, link_b, cuts = merge(a.end, b.end, begin_a, begin_b, stop_a)
+    link_a, link_b, cuts, cuts_b = merge(a.end, b.end, begin_a, begin_b, stop_a)
     text = np.searchsorted(a.first, link_a, "right") - 1
     pairs, place = np.unique(a.ids[link_a] << 32 | b.ids[link_b], return_inverse=True)
     held, times = np.unique(text * max(len(pairs), 1) + place, return_counts=True)
@@ -259,7 +301,7 @@ def _aligned_batch(texts: pa.Array, first: Encoder, second: Encoder, tables, mar
         "n_b": np.diff(b.first),
         "n_groups": np.bincount(np.searchsorted(a.first, cuts, "right") - 1, minlength=rows),
         "n_links": np.bincount(text, minlength=rows),
-        "groups_sha256": _group_digests(a, b, cuts, marks, (first.size, second.size)),
+        "groups_sha256": _group_digests(a, b, cuts, cuts_b, marks, (first.size, second.size)),
         "pair": _lists(np.searchsorted(owner, np.arange(rows + 1)), pa.array(pair, pa.int32())),
         "times": _lists(np.searchsorted(owner, np.arange(rows + 1)), pa.array(times, pa.int32())),
         "pairs": pairs,

@@ -4,7 +4,10 @@ from functools import partial
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from sparkwatch.llm import alignment
@@ -17,7 +20,7 @@ SCHEMA = "doc_id long, text string, n_a string, batch int"
 
 def spans(model, text):
     out, at = [], 0
-    for i in model.encode([text])[0]:
+    for i in model.encode([text])[0].tolist():
         out.append((i, at, at + len(model.token(i))))
         at = out[-1][2]
     return out, b"".join(model.token(i) for i, *_ in out)
@@ -112,12 +115,37 @@ def test_lockstep_over_random_cuts():
     for size in (1, 7, 64, 10_000):
         begin_a, begin_b, stop_a, stop_b = lanes(*arrays, size)
         assert (begin_a[1:] == stop_a[:-1]).all() and (begin_b[1:] == stop_b[:-1]).all()
-        left, right, cuts = merge(arrays[1], arrays[3], begin_a, begin_b, stop_a)
+        left, right, *cuts = merge(arrays[1], arrays[3], begin_a, begin_b, stop_a)
         found = list(zip(left.tolist(), right.tolist(), strict=True))
         assert len(found) == len(want) and set(found) == want
+        assert (arrays[1][cuts[0]] == arrays[3][cuts[1]]).all()
         assert (len(begin_a) > 5) == (size < 10_000)
 
 
+def lists(model, texts):
+    ids, count = model.encode(texts)
+    return [part.tolist() for part in np.split(ids, np.cumsum(count)[:-1])] if texts else []
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet="aB'sé漢9.,\u0300 \u00a0\u3000\u200b\x1c\n\t_▁😀", max_size=25), max_size=4))
+def test_words_have_the_tokens_of_the_text(encoders, texts):
+    for model in encoders:
+        assert model.parts and lists(model, texts) == model.whole(texts)
+
+
+@pytest.fixture(scope="module")
+def encoders():
+    return A(), B()
+
+
+def test_long_prose_by_words(encoders):
+    path = "/root/testdata/sf0.001/documents.parquet"
+    texts = [t or "" for t in pq.read_table(path, columns=["text"]).column(0).to_pylist()]
+    for model in encoders:
+        assert lists(model, texts) == model.whole(texts)
+
+
 def test_tokens_are_bytes():
     letters = byte_letters()
     assert len(letters) == 256 and set(letters.values()) == set(range(256)) and letters["Ġ"] == 0x20
