@@ -1,5 +1,6 @@
 import math
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -54,3 +55,24 @@ def test_odd_rows(spark):
 def test_large_products_do_not_overflow():
     q, c = np.array([[1 << 25, 3]]), np.array([[1 << 25, -2], [0, 5]])
     assert scores(q, c).tolist() == [[(1 << 50) - 6, 15]]
+
+
+def test_large_components_take_part(spark):
+    sizes = [2.0**20, 2.0**40, 2.0**62, 1e38, -1e38, -(2.0**40)]
+    rows = [(i, [sizes[i % 6] * (1 + i // 6), (-1.0) ** i], 1) for i in range(30)] + [(40 + i, [i / 8, 0.5], 1) for i in range(9)]
+    wide = "vec_id long, embedding array<double>, score int"
+    df = spark.createDataFrame(rows, wide)
+    exact = {i: [math.floor(64 * Fraction(x)) for x in v] for i, v, _ in rows}
+    want = []
+    for q in exact:
+        if q % 5 == 0:
+            found = sorted((-sum(a * b for a, b in zip(exact[q], v, strict=True)), i) for i, v in exact.items() if i != q)
+            want += [(q, r, i, min(max(-s, -(1 << 63)), (1 << 63) - 1)) for r, (s, i) in enumerate(found[:12], 1)]
+    assert got(df.repartition(3), k=12, every=5) == sorted(want)
+
+
+def test_products_beyond_64_bits():
+    q, c = np.array([[1 << 40, 1]]), np.array([[1 << 40, 7], [-(1 << 40), 7]])
+    assert scores(q, c).tolist() == [[(1 << 80) + 7, 7 - (1 << 80)]]
+    marks = [topk._beyond(s) for s in (-(1 << 90), -(1 << 70), -(1 << 63))]
+    assert marks == sorted(marks) and topk._beyond(5) == "" and topk._beyond(1 << 70) < topk._beyond(1 << 90)
