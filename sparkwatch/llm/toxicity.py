@@ -15,8 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkwatch.llm.quality import labelled_sample
-from sparkwatch.llm.text import Words, bounded_batches, carried, lower_table, mix, slices, with_row, word_bytes
+from sparkwatch.llm.quality import labelled_sample, labelled_texts
+from sparkwatch.llm.text import Words, carried, lower_table, mix, slices, with_row, word_bytes
 
 SLOTS = 1 << 18
 #: Labelled rows of each class that the fit takes at most; they are those with the smallest hash.
@@ -135,7 +135,10 @@ def fit_blame(
 
 
 def learn_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = MOST_LABELLED) -> Blame:
-    """A model fitted on at most ``most`` labelled documents of each class."""
+    """A model fitted on at most ``most`` labelled documents of each class.
+
+    Of rows that repeat a doc_id one is taken, and a doc_id with both labels is left out.
+    """
 
     def run(batches):
         for batch in slices(batches, "text"):
@@ -150,12 +153,8 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", mos
             )
 
     sample, clean_share = labelled_sample(labels, label, most)
-    chosen = (
-        bounded_batches(docs).select("doc_id", F.col("text").cast("string").alias("text"))
-        .join(F.broadcast(sample), "doc_id")  # at most twice ``most`` rows
-        .select(F.col("doc_id").cast("long"), "label", "text")
-    )
-    rows = chosen.mapInArrow(run, "doc_id long, label int, bag binary").limit(4 * most).toArrow()
+    # At most twice ``most`` rows.
+    rows = labelled_texts(docs, sample).mapInArrow(run, "doc_id long, label int, bag binary").toArrow()
     rows = rows.sort_by([("doc_id", "ascending"), ("label", "ascending")])  # they arrive in any order
     bags = [np.frombuffer(b, np.int64) for b in rows["bag"].to_pylist()]
     return fit_blame(bags, rows["label"].to_numpy(), clean_share)

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sparkwatch.llm.quality import features, fit_ranking, fold, learn_quality, score_quality
+from sparkwatch.llm.quality import features, fit_ranking, fold, labelled_sample, labelled_texts, learn_quality, score_quality
 from sparkwatch.llm.queries import QUERIES
 from sparkwatch.llm.toxicity import learn_toxicity, score_toxicity, sentences
 
@@ -98,4 +98,18 @@ def test_fold_is_the_checksum_of_the_id(spark):
 
     got = spark.range(50).select("id", fold("id", 3).alias("f")).collect()
     assert all(r.f == zlib.crc32(str(r.id).encode()) % 3 for r in got)
-    assert spark.range(1).select(fold("n", 3) if False else F.lit(0)).first()[0] == 0
+
+
+def test_one_id_on_most_rows_counts_once(spark):
+    good, bad = "Plain words make a sentence here. ", "@@## 12 !!! zz "
+    rows = [(1, bad + "x" * i) for i in range(300)] + [(i, good * i) for i in range(2, 7)] + [(i, bad * i) for i in range(7, 10)]
+    labels = [(1, 0)] * 300 + [(i, 1) for i in range(2, 7)] + [(i, 0) for i in range(7, 10)] + [(2, 0), (3, 1), (None, 1), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    named = spark.createDataFrame(labels, "doc_id long, quality int").withColumn("toxic", F.lit(1) - F.col("quality"))
+    sample, share = labelled_sample(named, "quality", 10)
+    assert sorted(map(tuple, sample.collect())) == [(1, 0), (3, 1), (4, 1), (5, 1), (6, 1), (7, 0), (8, 0), (9, 0)] and share == 0.5
+    texts = labelled_texts(docs, sample).collect()
+    assert len(texts) == 8 and {r.doc_id for r in texts} == {1, *range(3, 10)}
+    got = {r.row.text: r.predicted for r in score_quality(docs, learn_quality(docs, named, most=10)).collect()}
+    assert got[good * 5] == 1 and got[bad * 8] == 0 and got[rows[7][1]] == 0
+    assert {r.predicted for r in score_toxicity(docs, learn_toxicity(docs, named, most=10)).collect()} <= {0, 1}
