@@ -29,13 +29,19 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles, 0.8 or more) stays.
 
-    It is the one with the smallest doc_id; a row that repeats a doc_id goes, and rows without
-    doc_id stay, since nothing says what they are.
+    It is the one with the smallest doc_id. Each distinct pair of doc_id and text is a document of its
+    own (told apart by a 64-bit hash), so where a doc_id has several texts each stays or goes by its own group;
+    a row that repeats doc_id and text goes. Rows without doc_id stay, since nothing says what they are.
     """
-    found = near_duplicates(docs)
-    kept = found.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
+    rows = docs.where("doc_id IS NOT NULL").select(
+        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), F.xxhash64("doc_id", "text").alias("key")
+    )
+    found = near_duplicates(rows.select(F.col("key").alias("doc_id"), F.col("row.text").alias("text")))
+    groups = found.select(F.col("doc_id").alias("key"), "component_id").distinct()
+    named = rows.select(F.col("row.doc_id").alias("doc_id"), "key").distinct().join(groups, "key")
+    first = named.groupBy("component_id").agg(F.min(F.struct("doc_id", "key")).alias("first")).select("first.key")
+    kept = rows.join(first, "key", "left_semi").dropDuplicates(["key"]).select("row.*")
+    return kept.unionByName(docs.where("doc_id IS NULL"))
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
