@@ -63,6 +63,28 @@ def test_one_document_of_each_group_stays(spark):
     assert got == sorted([(1, base + " end"), (2, "other words here"), (None, base), (None, None), (5, None), (6, ""), (7, "")], key=str)
 
 
+def test_each_text_of_an_id_is_judged_by_itself(spark):
+    """Against all pairs: every text whose group has a smaller id goes, and no other."""
+    words = lambda tag, n=60: [f"{tag}{i}" for i in range(n)]
+    near = [*words("x")[:-1], "other"]
+    rows = [(2, " ".join(words("x"))), (5, " ".join(words("x"))), (5, " ".join(near)), (5, " ".join(words("y")))]
+    rows += [(5, " ".join(words("z"))), (5, " ".join(words("z"))), (7, " ".join(words("y"))), (8, " ".join(words("q"))), (1, None), (1, "")]
+    sets = [frozenset(tuple((t or "").split()[i : i + 5]) for i in range(len((t or "").split()) - 4)) for _, t in rows]
+    link = lambda a, b: bool(a | b) and len(a & b) >= 0.8 * len(a | b)
+    group = list(range(len(rows)))
+    for _ in rows:
+        for i in range(len(rows)):
+            for j in range(len(rows)):
+                if link(sets[i], sets[j]):
+                    group[i] = group[j] = min(group[i], group[j])
+    want = set()
+    for g in set(group):
+        least = min(rows[i][0] for i in range(len(rows)) if group[i] == g)
+        want.add(frozenset(r for i, r in enumerate(rows) if group[i] == g and r[0] == least))
+    got = texts(near_duplicate_stage(spark, docs_of(spark, rows), SF))
+    assert len(got) == len(set(got)) == len(want) == 6 and all(len(set(got) & one) == 1 for one in want)
+
+
 def test_long_passages_are_cut_once_and_short_ones_stay(spark):
     long = " ".join(f"p{i}" for i in range(51))
     short = " ".join(f"q{i}" for i in range(49))
