@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sparkwatch.operators.alerts import notification_payload
 from sparkwatch.operators.sequence import sequence_gap
+from sparkwatch.sinks.incidents import IncidentStore
 from sparkwatch.sinks.tables import append_alerts
 
 
@@ -57,6 +58,29 @@ def start_alert_writer(
     )
 
 
+def start_incident_writer(
+    stream: DataFrame, to_alerts: Callable[[DataFrame], DataFrame], store: IncidentStore, checkpoint: str,
+    name: str = "incidents", every: str = "1 minute", available_now: bool = False,
+) -> StreamingQuery:
+    """STR-12: chain the hits of each micro-batch with the stored incidents.
+
+    The batch number orders versions, so a batch that is repeated after a failure overwrites
+    its own version and nothing is counted twice.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        store.record(to_alerts(batch), batch_id + 1)
+
+    trigger = {"availableNow": True} if available_now else {"processingTime": every}
+    return (
+        stream.writeStream.queryName(name)
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(write)
+        .trigger(**trigger)
+        .start()
+    )
+
+
 def start_notifier(
     alerts: DataFrame, send: Callable[[DataFrame, int], None], checkpoint: str, name: str = "notify",
     every: str = "1 minute", available_now: bool = False,
