@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from sparkwatch import schemas
 from sparkwatch.operators import alerts as A
 from sparkwatch.plans.detection import register_views, run_detections, validate_rules
-from sparkwatch.plans.rules import BY_NAME, with_params
+from sparkwatch.plans.rules import BY_NAME, RULES, with_params
 from sparkwatch.session import scratch_path, written_table
 from sparkwatch.sinks.files import write_csv, write_json
+from sparkwatch.sinks.incidents import IncidentStore, chains_of
 from sparkwatch.sinks.tables import (
     append_alerts,
     append_status,
@@ -342,36 +343,81 @@ RUNS = ("2024-01-28 23:30:00", "2024-01-29 23:30:00", E)
 _MOVING = (("detect_okta_bruteforce", "7 days"), ("detect_windows_bruteforce", "30 days"))
 
 
-def repeated_runs(spark, sf):
-    """Rules over a moving span, run three times: an incident is stored once."""
+def _recorded(spark, sf, runs=RUNS):
+    """Two threshold rules and a baseline rule, run several times into a store of incidents."""
     tables = {"okta_auth": T.okta(spark, sf), "windows_auth": T.windows(spark, sf)}
-    path = scratch_path(spark, "alerts")
-    for at in RUNS:
-        chosen = [with_params(BY_NAME[n], within=span, min_count=2) for n, span in _MOVING]
-        append_alerts(run_detections(tables, at, chosen).alerts, path)
+    store = IncidentStore(scratch_path(spark, "incidents"), chains_of(RULES))
+    chosen = [with_params(BY_NAME[n], within=span, min_count=2) for n, span in _MOVING]
+    chosen.append(BY_NAME["detect_user_behavior_anomaly"])
+    for at in runs:
+        store.record(run_detections(tables, at, chosen).alerts)
+    return store
+
+
+def repeated_runs(spark, sf):
+    """Rules over a moving span, run three times: an incident is one alert, however often it is found."""
     return (
-        read_alerts(spark, path)
+        _recorded(spark, sf)
+        .incidents(spark)
         .groupBy("detection_rule")
         .agg(F.count("*").alias("alert_count"), F.count_distinct("alert_id").alias("ids"))
     )
 
 
-def _incidents(rule, source, keys, days):
-    return " UNION ".join(
-        f"""SELECT '{rule}' AS detection_rule, concat_ws('|', {keys}, date_trunc('hour', min(event_time))) AS incident
+_SPANS = ("detection_rule", "user", "host", "source_ip", "first_event", "last_event", "severity")
+
+
+def incident_spans(spark, sf):
+    """The incidents of three runs with their whole span and their highest severity."""
+    return plain(_recorded(spark, sf).incidents(spark).select(*_SPANS))
+
+
+def _steps(n, critical, high):
+    return f"CASE WHEN {n} >= {critical} THEN 'CRITICAL' WHEN {n} >= {high} THEN 'HIGH' ELSE 'MEDIUM' END"
+
+
+def _span_hits(rule, source, entity, days, steps):
+    """Hits of a threshold rule in all runs; contexts hold last events in milliseconds."""
+    user, host, ip = entity
+    keys = ", ".join(c for c in entity if c != "NULL")
+    return " UNION ALL ".join(
+        f"""SELECT '{rule}' AS detection_rule, {user} AS "user", CAST({host} AS VARCHAR) AS host, {ip} AS source_ip,
+  min(event_time) AS f, greatest(min(event_time), date_trunc('milliseconds', max(event_time))) AS l,
+  {_steps('count(*)', *steps)} AS severity, INTERVAL 1 HOUR AS gap
   FROM {source} AND event_time >= TIMESTAMP '{at}' - INTERVAL {days} DAY AND event_time <= TIMESTAMP '{at}'
   GROUP BY {keys} HAVING count(*) >= 2"""
         for at in RUNS
     )
 
 
+_BASELINE_HITS = " UNION ALL ".join(
+    f"""SELECT 'detect_user_behavior_anomaly', user_email, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
+  CAST(event_time AS TIMESTAMP), CAST(event_time AS TIMESTAMP), severity, INTERVAL 1 DAY
+  FROM ({D.BEHAVIOR.replace(E, at)})"""
+    for at in RUNS
+)
+#: Gaps and islands over the hits of all runs: an incident ends where the next hit of its entity is further away.
+_ISLANDS = f"""hits AS (
+  {_span_hits('detect_okta_bruteforce', "okta WHERE outcome = 'FAILURE'", ('user_email', 'NULL', 'source_ip'), 7, (10, 7))}
+  UNION ALL
+  {_span_hits('detect_windows_bruteforce', "windows WHERE NOT logon_success", ('user_name', 'host', 'source_ip'), 30, (20, 15))}
+  UNION ALL {_BASELINE_HITS}),
+reached AS (SELECT *, max(l + gap) OVER (PARTITION BY detection_rule, "user", host, source_ip ORDER BY f, l
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM hits),
+parts AS (SELECT *, sum(CASE WHEN f > r THEN 1 ELSE 0 END) OVER (PARTITION BY detection_rule, "user", host, source_ip
+  ORDER BY f, l ROWS UNBOUNDED PRECEDING) AS part FROM reached),
+incidents AS (SELECT detection_rule, "user", host, source_ip, part, min(f) AS first_event, max(l) AS last_event,
+  arg_min(severity, CASE severity WHEN 'CRITICAL' THEN 1 WHEN 'HIGH' THEN 2 WHEN 'MEDIUM' THEN 3 ELSE 4 END) AS severity
+  FROM parts GROUP BY ALL)"""
+
 REPEATED_RUNS = sql(
-    f"""SELECT detection_rule, count(*) AS alert_count, count(DISTINCT incident) AS ids FROM (
-  {_incidents('detect_okta_bruteforce', "okta WHERE outcome = 'FAILURE'", 'user_email, source_ip', 7)} UNION
-  {_incidents('detect_windows_bruteforce', "windows WHERE NOT logon_success", 'user_name, host, source_ip', 30)})
-GROUP BY detection_rule""",
-    "okta",
-    "windows",
+    "SELECT detection_rule, count(*) AS alert_count, count(*) AS ids FROM incidents GROUP BY detection_rule",
+    "okta", "windows", extra=_ISLANDS,
+)
+INCIDENT_SPANS = sql(
+    f"""SELECT detection_rule, "user", host, source_ip, {shown('first_event')} AS first_event,
+  {shown('last_event')} AS last_event, severity FROM incidents""",
+    "okta", "windows", extra=_ISLANDS,
 )
 
 
@@ -400,6 +446,7 @@ QUERIES = {
     "alerts_stored_twice": (stored_twice, STORED_TWICE),
     "alerts_unseen": (unseen, UNSEEN),
     "alerts_repeated_runs": (repeated_runs, REPEATED_RUNS),
+    "incident_spans": (incident_spans, INCIDENT_SPANS),
     "alerts_stored_status": (with_stored_status, WITH_STATUS),
     "rules_validated_on_samples": (validated_rules, VALIDATED_RULES),
     "rule_views": (rule_views, RULE_VIEWS),
