@@ -16,6 +16,7 @@ from sparkwatch.plans.detection import run_detections
 from sparkwatch.session import scratch_path
 from sparkwatch.sinks.tables import read_alerts
 from sparkwatch.sources import files, tables
+from sparkwatch.streaming.keyed import KeyedSequence
 from sparkwatch.streaming import manage
 from sparkwatch.streaming import rules as stream_rules
 from suite import detection as D
@@ -105,13 +106,15 @@ def stream_travel(spark, sf):
     logins = T.okta_stream(table_stream(spark, sf, "events")).where(
         (F.col("outcome") == "SUCCESS") & F.col("country").isNotNull()
     )
-    sequence = stream_rules.SequenceStream(
+    sequence = KeyedSequence(
         "user_email", "event_time", changed="country", max_gap_seconds=3600, tiebreak=("event_id",),
-        carry=("city", "source_ip"), out=f"{root}/out", state=f"{root}/state", describe=rules.describe_travel,
+        carry=("city", "source_ip"),
     )
-    sequence.start(logins, f"{root}/checkpoint", available_now=True).awaitTermination()
-    sequence.flush(spark)
-    return plain(sequence.hits(spark))
+    sequence.start(
+        logins, f"{root}/out", f"{root}/checkpoint", available_now=True, describe=rules.describe_travel
+    ).awaitTermination()
+    waiting = rules.describe_travel(sequence.rest(spark, f"{root}/checkpoint"))
+    return plain(spark.read.schema(waiting.schema).parquet(f"{root}/out").unionByName(waiting))
 
 
 def stream_pipeline(spark, sf):
