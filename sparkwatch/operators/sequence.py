@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from sparkwatch.functions.neighbours import SLICE_SECONDS, with_previous
+from sparkwatch.functions.neighbours import previous_by_range
 
 
 def sequence_gap(
@@ -18,7 +18,6 @@ def sequence_gap(
     max_gap_seconds: int,
     tiebreak: Sequence[str],
     carry: Sequence[str] = (),
-    slice_seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
     """Events whose previous event of the same key differs in ``changed`` and
     lies more than 0 and at most ``max_gap_seconds`` seconds back.
@@ -27,7 +26,7 @@ def sequence_gap(
     and the gap in whole seconds.
     """
     fields = list(dict.fromkeys([ts, changed, *carry]))
-    out = with_previous(df, key, ts, tiebreak, fields, slice_seconds)
+    out = previous_by_range(df, key, ts, tiebreak, fields)
     gap = F.unix_timestamp(ts) - F.unix_timestamp(F.col("prev")[ts])
     return (
         out.withColumn("gap_seconds", gap)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sparkwatch.functions.neighbours import with_previous
+from sparkwatch.functions.neighbours import previous_by_range, with_previous
 from sparkwatch.functions.severity import severity_rank, worst_severity
 from sparkwatch.functions.text import base_name, or_else, sentence, to_int
 from sparkwatch.functions.times import hour_within
@@ -115,6 +115,33 @@ def test_hot_key_is_spread_over_tasks(spark):
     assert "_slice" in plan.split("Window")[1]
 
 
+@pytest.mark.parametrize(("seed", "hot"), [(1, 0.5), (2, 1.0)])
+def test_previous_row_by_ranges_equals_lag(spark, seed, hot):
+    df = logins(spark, seed, hot=hot).repartition(5)
+    got = previous_by_range(df, "user", "t", ["id"], ["t", "country", "id"])
+    want = df.withColumn("prev", F.lag(F.struct("t", "country", "id")).over(W.partitionBy("user").orderBy("t", "id")))
+    assert sorted(map(str, got.select("id", "prev").collect())) == sorted(map(str, want.select("id", "prev").collect()))
+    assert previous_by_range(df.limit(0), "user", "t", ["id"], ["t"]).collect() == []
+
+
+def test_one_key_within_one_hour_is_parted_evenly(spark):
+    """No range holds twice the median, though all rows have one key and lie within one hour."""
+    df = spark.range(200_000).select(
+        F.lit("hot").alias("user"), F.timestamp_millis(F.lit(1_700_000_000_000) + F.col("id") * 10 % 3_600_000).alias("t"),
+        "id", (F.col("id") % 3).alias("country"),
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = previous_by_range(df, "user", "t", ["id"], ["country"])
+        assert out.where("prev IS NULL").count() == 1
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        folder = [f for f in out.inputFiles() if "ranges" in f][0].rsplit("/", 1)[0]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = sorted(r["count"] for r in spark.read.parquet(folder).groupBy("_range").count().collect())
+    assert len(sizes) == 4 and sizes[-1] < 2 * sizes[len(sizes) // 2] and "Window [" in plan and "_range" in plan.split("Window [")[1]
+
+
 def test_gap_bounds(spark):
     base = NOW
     rows = []
