@@ -97,6 +97,13 @@ def expectation_counts(df: DataFrame, rules: Mapping[str, str], table: str) -> D
     )
 
 
+def expectation_totals(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
+    """(metric, value): ``total_rows`` and ``failed_<rule>`` from a single scan, as ``expect`` counts them."""
+    found = df.agg(F.count("*").alias("total_rows"), *[F.count_if(~_holds(r)).alias(f"failed_{k}") for k, r in rules.items()])
+    pairs = [F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in found.columns]
+    return found.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
+
+
 def null_rates(df: DataFrame, columns: Sequence[str], table: str, limit_pct: float = 5.0) -> DataFrame:
     """V-05: missing values per column; a column passes below ``limit_pct``."""
     counted = df.agg(

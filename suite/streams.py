@@ -16,6 +16,7 @@ from sparkwatch.plans.detection import run_detections
 from sparkwatch.session import scratch_path
 from sparkwatch.sinks.tables import read_alerts
 from sparkwatch.sources import files, tables
+from sparkwatch.streaming.batches import NumberedTable
 from sparkwatch.streaming.keyed import KeyedSequence
 from sparkwatch.streaming import manage
 from sparkwatch.streaming import rules as stream_rules
@@ -146,20 +147,23 @@ STREAM_PIPELINE = sql(
 )
 
 
-def written_pipeline(spark, sf):
+def written_pipeline(spark, sf, network=False):
     """All four raw sources as JSON files, through bronze and silver streams."""
     root = scratch_path(spark, "stream-all")
     time = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    hosts = T.raw_process(spark, sf).unionByName(T.raw_registry(spark, sf), allowMissingColumns=True)
+    if network:
+        hosts = hosts.unionByName(T.raw_network(spark, sf), allowMissingColumns=True)
     raw = {
         "okta": (T.raw_okta(spark, sf), "published"),
         "windows": (T.raw_windows(spark, sf), "TimeCreated"),
         "cloudtrail": (T.raw_cloudtrail(spark, sf), "eventTime"),
-        "sysmon": (T.raw_process(spark, sf).unionByName(T.raw_registry(spark, sf), allowMissingColumns=True), "EventTime"),
+        "sysmon": (hosts, "EventTime"),
     }
     for name, (rows, ts) in raw.items():
         rows.withColumn(ts, time(ts)).write.json(f"{root}/{name}")
-    pipeline.run_pipeline(spark, {n: f"{root}/{n}" for n in raw}, f"{root}/tables")
-    return pipeline.read_silver(spark, f"{root}/tables")
+    pipeline.run_pipeline(spark, {n: f"{root}/{n}" for n in raw}, f"{root}/tables", numbered=True)
+    return pipeline.read_silver(spark, f"{root}/tables", numbered=True)
 
 
 PIPED = {
@@ -246,8 +250,7 @@ def detections_every_rule(spark, sf):
     Clusters have no SQL. For that rule the clustered users that pass the checks of
     ``cluster_checks`` are counted in place of alerts, and none if the rule gives no alert or one for another user.
     """
-    tables_ = written_pipeline(spark, sf)
-    tables_["sysmon_network"] = T.network(spark, sf)
+    tables_ = written_pipeline(spark, sf, network=True)
     chosen = [
         rules.with_params(r, **RUN_WITH[r.name]) if r.name in RUN_WITH else r for r in rules.RULES if r.enabled
     ]
@@ -304,15 +307,19 @@ WHERE nearest AND as_ruled""",
 
 
 def stream_expectations(spark, sf):
-    """Counts observed on a stream, added up over all of its batches."""
+    """Expectation counts of a stream that ended after half of its input and was started again."""
     root = scratch_path(spark, "stream-expect")
-    rows = silver.sysmon_network(T.network_raw_from(table_stream(spark, sf, "lineitem")), keep_incomplete=True)
-    checked, name = expect(rows, {"has_address": "destination_ip IS NOT NULL"}, name="network_rules")
-    with manage.ObservedTotals(spark) as totals:
-        q = manage.write_stream(checked, "expect", f"{root}/out", f"{root}/checkpoint", "parquet", available_now=True)
-        q.awaitTermination()
-        counts = totals.of(q, name)
-    return spark.createDataFrame([(k, int(v)) for k, v in counts.items()], "metric string, value long")
+    raw = T.raw_network(spark, sf)
+    table = NumberedTable(
+        f"{root}/network", schemas.SILVER["sysmon_network"], rules={"has_address": "destination_ip IS NOT NULL"}
+    )
+    half = F.crc32(F.col("EventTime").cast("string").cast("binary")) % 2
+    for part in (0, 1):
+        raw.where(half == part).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(raw.schema).parquet(f"{root}/in")
+        rows = silver.sysmon_network(stream, keep_incomplete=True)
+        table.start(rows, f"{root}/checkpoint", "expect", available_now=True).awaitTermination()
+    return table.counts(spark)
 
 
 STREAM_EXPECTATIONS = """SELECT 'total_rows' AS metric, count(*) AS value FROM lineitem
