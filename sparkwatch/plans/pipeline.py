@@ -11,7 +11,8 @@ from pyspark.sql.types import StructType
 from sparkwatch import schemas
 from sparkwatch.operators import silver
 from sparkwatch.operators.quality import SILVER_RULES, expect
-from sparkwatch.sources.files import read_json, with_origin
+from sparkwatch.sources.files import read_json, read_lines, with_origin
+from sparkwatch.sources.schema_log import SchemaLog, rescue_typed
 from sparkwatch.sources.tables import table_stream
 from sparkwatch.streaming.batches import NumberedTable
 from sparkwatch.streaming.manage import finish, write_stream
@@ -52,6 +53,22 @@ def bronze_schema(source: Source) -> StructType:
     return StructType([*source.schema.fields, *extra.fields])
 
 
+def schema_log(root: str, source: str) -> SchemaLog:
+    """What ``run_pipeline(rescue=True)`` has learnt about the fields of a source."""
+    return SchemaLog(f"{root}/_schemas/{source}", SOURCES[source].schema)
+
+
+def _rescuing(spark: SparkSession, path: str, source: Source, **options) -> DataFrame:
+    rows = rescue_typed(with_origin(read_lines(spark, path, stream=True, **options)), source.schema)
+    return rows.select(*bronze_schema(source).names, "rescued")
+
+
+def read_bronze(spark: SparkSession, root: str, source: str) -> DataFrame:
+    """A bronze table of ``run_pipeline(rescue=True)`` in all the fields that are known by now."""
+    schema = StructType([*bronze_schema(SOURCES[source]).fields, *schemas.flat("rescued string").fields])
+    return schema_log(root, source).typed(spark.read.schema(schema).parquet(f"{root}/bronze_{source}"))
+
+
 def silver_batch(spark: SparkSession, raw: Mapping[str, str]) -> dict[str, DataFrame]:
     """Silver tables straight from raw folders, unwritten."""
     out = {}
@@ -71,7 +88,7 @@ def silver_table(root: str, table: str) -> NumberedTable:
 
 def run_pipeline(
     spark: SparkSession, raw: Mapping[str, str], root: str, available_now: bool = True, every: str = "30 seconds",
-    numbered: bool = False, max_files: int | None = None,
+    numbered: bool = False, max_files: int | None = None, rescue: bool = False,
 ) -> dict:
     """Start bronze and silver streams for the given raw folders below ``root``.
 
@@ -86,11 +103,18 @@ def run_pipeline(
     With ``numbered`` silver tables are ``NumberedTable``s, which part a hot day over several tasks, keep
     the counts of expectations over restarts and are read with ``read_silver(numbered=True)``.
     ``max_files`` bounds the files of a micro-batch, so that a backfill comes in many batches of bounded size.
+
+    With ``rescue`` bronze tables have the column ``rescued``, with all that the source's schema does not hold,
+    and a stream over that column keeps the source's ``schema_log``. ``read_bronze`` then gives
+    old and new rows in the latest schema. Silver tables are made from the declared fields as before.
     """
     queries = {}
     rate = {"maxFilesPerTrigger": max_files} if max_files else {}
     for name, path in raw.items():
-        df = with_origin(read_json(spark, path, SOURCES[name].schema, stream=True, **rate))
+        if rescue:
+            df = _rescuing(spark, path, SOURCES[name], **rate)
+        else:
+            df = with_origin(read_json(spark, path, SOURCES[name].schema, stream=True, **rate))
         table = f"bronze_{name}"
         queries[table] = write_stream(
             df, table, f"{root}/{table}", f"{root}/_checkpoints/{table}", "parquet", every, available_now
@@ -99,6 +123,11 @@ def run_pipeline(
         finish(queries)
     for name in raw:
         source = SOURCES[name]
+        if rescue:
+            found = table_stream(spark, f"{root}/bronze_{name}", schemas.flat("rescued string"))
+            queries[f"schema_{name}"] = schema_log(root, name).start(
+                found, f"{root}/_checkpoints/schema_{name}", f"schema_{name}", every, available_now
+            )
         for table, make in source.silver:
             bronze = table_stream(spark, f"{root}/bronze_{name}", bronze_schema(source))
             if numbered:

@@ -166,6 +166,47 @@ def written_pipeline(spark, sf, network=False):
     return pipeline.read_silver(spark, f"{root}/tables", numbered=True)
 
 
+def bronze_growing(spark, sf):
+    """Three deliveries of API logs, each by a start of the pipeline of its own: the declared format; one with a
+    number, a structure and a nested field more; one where the number has a fraction, the structure
+    is a text, a declared text is a structure and some lines are broken. All rows in the schema known at the end."""
+    root = scratch_path(spark, "stream-grown")
+    number = F.col("uuid").cast("long")
+    part, n = number % 3, number % 50
+    rows = T.raw_okta(spark, sf).withColumn("published", F.date_format("published", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    second = rows.withColumns({
+        "riskScore": n, "device": F.struct(F.lit("linux").alias("os")),
+        "actor": F.col("actor").withField("rank", n),
+    })
+    third = rows.withColumns({
+        "riskScore": n + 0.5, "device": F.lit("mac"), "severity": F.struct(n.alias("level")),
+    })
+    for i, format_ in enumerate((rows, second, third)):
+        line = F.to_json(F.struct(*format_.columns))
+        if i == 2:
+            line = F.when(n == 7, F.concat(F.lit("{"), "uuid")).otherwise(line)
+        format_.where(part == i).select(line.alias("value")).write.mode("append").text(f"{root}/okta")
+        pipeline.run_pipeline(spark, {"okta": f"{root}/okta"}, f"{root}/tables", rescue=True)
+    return pipeline.read_bronze(spark, f"{root}/tables", "okta").select(
+        "uuid", F.col("actor.alternateId").alias("actor_id"), F.col("actor.rank").alias("actor_rank"),
+        F.col("riskScore").alias("risk_score"), "device", "severity", F.col("outcome.result").alias("outcome"), "rescued",
+    )
+
+
+BRONZE_GROWING = """WITH e AS (
+  SELECT event_id, user_id, event_type, event_id % 3 AS part, event_id % 50 AS n, event_id % 3 = 2 AND event_id % 50 = 7 AS broken
+  FROM events)
+SELECT CASE WHEN NOT broken THEN CAST(event_id AS VARCHAR) END AS uuid,
+  CASE WHEN NOT broken THEN 'user' || user_id || '@example.com' END AS actor_id,
+  CASE WHEN part = 1 THEN n END AS actor_rank,
+  CASE WHEN part = 1 THEN CAST(n AS DOUBLE) WHEN part = 2 AND NOT broken THEN n + CAST(0.5 AS DOUBLE) END AS risk_score,
+  CASE WHEN part = 1 THEN '{"os":"linux"}' WHEN part = 2 AND NOT broken THEN 'mac' END AS device,
+  CASE WHEN part = 2 AND NOT broken THEN '{"level":' || n || '}' END AS severity,
+  CASE WHEN broken THEN NULL WHEN event_type = 'error' THEN 'FAILURE' ELSE 'SUCCESS' END AS outcome,
+  CASE WHEN broken THEN '{"_line":"{' || event_id || '"}' END AS rescued
+FROM e"""
+
+
 PIPED = {
     "okta_auth": "okta", "windows_auth": "windows", "cloudtrail": "cloud", "sysmon_process": "process",
     "sysmon_registry": "registry",
@@ -365,6 +406,7 @@ QUERIES = {
     "stream_threshold_distinct": (stream_threshold_distinct, STREAM_DISTINCT),
     "stream_impossible_travel": (stream_travel, TRAVEL),
     "stream_bronze_silver": (stream_pipeline, STREAM_PIPELINE),
+    "bronze_growing_format": (bronze_growing, BRONZE_GROWING),
     "stream_bronze_silver_all": (stream_pipeline_all, STREAM_PIPELINE_ALL),
     "detections_all_rules": (detections_over_pipeline, DETECTIONS_OVER_PIPELINE),
     "detections_every_rule": (detections_every_rule, DETECTIONS_EVERY_RULE),
