@@ -6,7 +6,9 @@ reaches the Parquet reader; casting the column instead would not.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import TimestampNTZType
@@ -52,6 +54,22 @@ def until(df: DataFrame, ts: str, bound: Column) -> Column:
     return test if day is None else test & (day <= F.date_add(F.to_date(bound), 1))
 
 
+def between_any(df: DataFrame, ts: str, spans: Sequence[tuple[Column, Column | None]]) -> Column:
+    """``ts`` in one of the spans ``[from, to)``, also on the date partition where the table has one.
+
+    The days are a condition of their own, so that they prune partitions.
+    """
+    day = _day(df, ts)
+    tests, days = [], []
+    for low, high in spans:
+        tests.append(F.col(ts) >= low if high is None else (F.col(ts) >= low) & (F.col(ts) < high))
+        if day is not None:
+            from_ = day >= F.date_sub(F.to_date(low), 1)
+            days.append(from_ if high is None else from_ & (day <= F.date_add(F.to_date(high), 1)) & (low < high))
+    any_ = lambda tests: reduce(lambda a, b: a | b, tests)
+    return any_(tests) & any_(days) if days else any_(tests)
+
+
 def trailing(df: DataFrame, ts: str, as_of: AsOf, within: str) -> Column:
     """FLT-11: rows of the last ``within`` up to ``as_of``."""
     return since(df, ts, as_of_bound(df, ts, as_of, within)) & until(df, ts, as_of_bound(df, ts, as_of))

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sparkwatch.functions.times import AsOf, as_of_bound, midnight, since, trailing, until
+from sparkwatch.functions.times import AsOf, as_of_bound, between_any, midnight, since, trailing, until
 
 
 def baseline_zscore(
@@ -20,6 +20,7 @@ def baseline_zscore(
     gap: str = "1 day",
     today: Mapping[str, Column] | None = None,
     recent_from: str | None = None,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """Per key: today's value, historic daily mean and deviation, and z-score.
 
@@ -30,6 +31,10 @@ def baseline_zscore(
     aggregates joined on the key (JN-01, JN-02). ``metrics`` and ``today`` map
     names to aggregate columns; ``today`` ones have no baseline. Keys need rows
     on both sides, and today must not begin before the history ends.
+
+    ``days`` is a rollup (``DailyRollup.days``) with ``metrics`` by ``key`` and ``event_date``. The whole days
+    of the history then come from it, and of the events only today's and those of the two days
+    that the history begins and ends within are read.
     """
     start = as_of_bound(df, ts, as_of, history)
     end = as_of_bound(df, ts, as_of, gap)
@@ -41,17 +46,32 @@ def baseline_zscore(
     )
     t = F.col(ts)
     today = today or {}
-    rows = df.where(
-        F.col(key).isNotNull()
-        & since(df, ts, F.least(start, fresh))
-        & until(df, ts, now)
-        & (((t >= start) & (t < end)) | (t >= fresh))
-    )
+    span = F.col(key).isNotNull() & since(df, ts, F.least(start, fresh)) & until(df, ts, now)
+    if days is None:
+        rows = df.where(span & (((t >= start) & (t < end)) | (t >= fresh)))
+    else:
+        # The history holds the whole days from `first` up to the one before `last`.
+        first = F.date_add(F.to_date(start - F.expr("INTERVAL 1 MICROSECOND")), 1)
+        last = F.to_date(end)
+        kind = df.schema[ts].dataType
+        edges = (
+            (start, F.least(first.cast(kind), end)),
+            (F.greatest(last.cast(kind), first.cast(kind)), end),
+            (fresh, None),
+        )
+        rows = df.where(span & between_any(df, ts, edges))
     daily = rows.groupBy(
         key, F.when(t < fresh, F.to_date(ts)).alias("_day")
     ).agg(
         *[c.alias(name) for name, c in {**metrics, **today}.items()]
     )
+    if days is not None:
+        whole = days.where((F.col("event_date") >= first) & (F.col("event_date") < last) & F.col(key).isNotNull())
+        if "month" in days.columns:
+            whole = whole.where((F.col("month") >= F.trunc(first, "month")) & (F.col("month") <= last))
+        daily = daily.unionByName(
+            whole.select(key, F.col("event_date").alias("_day"), *metrics), allowMissingColumns=True
+        )
     past, now_row = F.col("_day").isNotNull(), F.col("_day").isNull()
     folded = daily.groupBy(key).agg(
         F.count_if(past).alias("_days"),

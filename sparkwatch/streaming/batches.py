@@ -79,8 +79,12 @@ class NumberedTable:
         last = done.agg(F.max("batch_id")).first()[0]
         return spark.read.schema(whole).parquet(folder).where(F.col("batch_id") <= F.lit(last))
 
+    def numbered(self, spark: SparkSession) -> DataFrame:
+        """The rows with the number of their batch."""
+        return self._numbered(spark, self.path, self.schema)
+
     def read(self, spark: SparkSession) -> DataFrame:
-        return self._numbered(spark, self.path, self.schema).drop("batch_id")
+        return self.numbered(spark).drop("batch_id")
 
     def counts(self, spark: SparkSession) -> DataFrame:
         """STR-09: the counts of all batches since the table began, whatever was restarted in between."""

@@ -13,11 +13,12 @@ from sparkwatch.operators.quality import expect
 from sparkwatch.operators.threshold import threshold
 from sparkwatch.plans import pipeline, rules
 from sparkwatch.plans.detection import run_detections
-from sparkwatch.session import scratch_path
+from sparkwatch.session import scratch_path, written_table
 from sparkwatch.sinks.tables import read_alerts
 from sparkwatch.sources import files, tables
 from sparkwatch.streaming.batches import NumberedTable
 from sparkwatch.streaming.keyed import KeyedSequence
+from sparkwatch.streaming.rollup import DailyRollup
 from sparkwatch.streaming import manage
 from sparkwatch.streaming import rules as stream_rules
 from suite import detection as D
@@ -207,6 +208,36 @@ SELECT CASE WHEN NOT broken THEN CAST(event_id AS VARCHAR) END AS uuid,
 FROM e"""
 
 
+def _rolled(rule, table, as_of, rollup, **params):
+    """A baseline rule over days that a stream has rolled up: the table arrives in two halves of random rows, the first
+    in two micro-batches, after which its days are finished; the days of the second half are open."""
+
+    def run(spark, sf):
+        root = scratch_path(spark, "rolled")
+        rows = table(spark, sf).withColumn("event_date", F.to_date("event_time"))
+        half = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(2))
+        halves = written_table(rows.withColumn("half", half), "halves", "half")
+        days = DailyRollup(f"{root}/days", **rollup)
+        for i, files_ in enumerate((2, 1)):
+            part = halves.where(F.col("half") == i).drop("half")
+            part.repartition(files_).write.mode("append").parquet(f"{root}/silver")
+            stream = tables.table_stream(spark, f"{root}/silver", part.schema, maxFilesPerTrigger=1)
+            days.start(stream, f"{root}/checkpoint", "rolled", available_now=True).awaitTermination()
+            if i == 0:
+                days.finish(spark)
+        silver_ = spark.read.schema(part.schema).parquet(f"{root}/silver")
+        hits = rules.BY_NAME[rule].hits(silver_, as_of, days=days.days(spark), **params)
+        return plain(hits.drop("processed_timestamp"))
+
+    return run
+
+
+BEHAVIOR_ROLLUP = {"key": "user_email", "count": "logins", "distinct": {"ips": "source_ip"}}
+NETWORK_ROLLUP = {
+    "key": "host", "count": "connections", "distinct": {"ips": "destination_ip", "ports": "destination_port"},
+}
+
+
 PIPED = {
     "okta_auth": "okta", "windows_auth": "windows", "cloudtrail": "cloud", "sysmon_process": "process",
     "sysmon_registry": "registry",
@@ -406,6 +437,14 @@ QUERIES = {
     "stream_threshold_distinct": (stream_threshold_distinct, STREAM_DISTINCT),
     "stream_impossible_travel": (stream_travel, TRAVEL),
     "stream_bronze_silver": (stream_pipeline, STREAM_PIPELINE),
+    "rollup_user_behavior": (
+        _rolled("detect_user_behavior_anomaly", T.okta, T.EVENTS_AS_OF, BEHAVIOR_ROLLUP), D.BEHAVIOR
+    ),
+    "rollup_network": (
+        _rolled("detect_network_anomaly", T.network, D.L, NETWORK_ROLLUP, history="300 days", gap="6 days",
+                recent_from="2001-06-10 00:00:00"),
+        D.NETWORK,
+    ),
     "bronze_growing_format": (bronze_growing, BRONZE_GROWING),
     "stream_bronze_silver_all": (stream_pipeline_all, STREAM_PIPELINE_ALL),
     "detections_all_rules": (detections_over_pipeline, DETECTIONS_OVER_PIPELINE),
