@@ -88,10 +88,12 @@ def stream_status(spark: SparkSession) -> DataFrame:
     )
 
 
-def stop_streams(spark: SparkSession) -> list[str]:
-    """STR-07: stop all active streams and name them."""
+def stop_streams(spark: SparkSession, names: Sequence[str] | None = None) -> list[str]:
+    """STR-07: stop all active streams, or those of the given names, and name them."""
     stopped = []
     for q in spark.streams.active:
+        if names is not None and q.name not in names:
+            continue
         stopped.append(q.name or str(q.id))
         q.stop()
     return stopped

@@ -193,6 +193,21 @@ def okta_api(spark, sf):
     return lines.select(F.from_json("value", schemas.RAW_OKTA_API).alias("r")).select("r.*")
 
 
+def okta_arrays(spark, sf):
+    """SRC-07: answers of an API, each a file with one pretty-printed array of up to 5000 records."""
+    rows = okta_api(spark, sf).withColumn("answer", F.floor(F.col("uuid").cast("long") / 5000))
+    # Sorted as pairs with the uuid, since maps, of which a record has one, cannot be compared.
+    records = F.transform(
+        F.array_sort(F.collect_list(F.struct("uuid", F.to_json(F.struct(*schemas.RAW_OKTA_API.names)).alias("j")))),
+        lambda x: F.parse_json(x["j"]),
+    )
+    answers = rows.groupBy("answer").agg(F.to_json(records, {"pretty": "true"}).alias("value"))
+    path = scratch_path(spark, "answers")
+    answers.write.partitionBy("answer").text(path)
+    read = files.read_json(spark, path, schemas.RAW_OKTA_API, multi_line=True, recursive=True)
+    return plain(N.normalize_okta_api(read).select(*_OKTA_COLS))
+
+
 _OKTA_COLS = (
     "uuid published eventType actor_id actor_alternateId client_userAgent_rawUserAgent client_userAgent_os "
     "client_ipAddress client_geographicalContext_city client_geographicalContext_country outcome_result target "
@@ -534,6 +549,7 @@ QUERIES = {
     "nrm_sysmon_json": (nrm_sysmon_json, sql(f"SELECT {_SYSMON_SQL} FROM ev", "ev")),
     "nrm_windows_xml": (nrm_windows, NRM_WINDOWS),
     "nrm_okta_api": (nrm_okta, NRM_OKTA),
+    "read_json_answers": (okta_arrays, NRM_OKTA),
     "nrm_cloudtrail_records": (nrm_cloudtrail, NRM_CLOUDTRAIL),
     "raw_to_silver_sysmon": (sysmon_to_silver, SYSMON_TO_SILVER),
     "raw_to_silver_windows": (windows_to_silver, WINDOWS_TO_SILVER),

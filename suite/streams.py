@@ -238,6 +238,47 @@ NETWORK_ROLLUP = {
 }
 
 
+def streams_at_interval(spark, sf):
+    """Two streams at an interval, watched while they run, fed once more and stopped: the rows that each wrote, whether
+    it was seen running with its progress, and whether it was among those that were stopped."""
+    root = scratch_path(spark, "interval")
+    rows = load(spark, sf, "events").select("event_id", "event_type")
+    later = F.col("event_id") % 4 == 3
+    specs = []
+    for kind, wanted in (("errors", "event_type = 'error'"), ("others", "event_type <> 'error'")):
+        rows.where(~later).where(wanted).write.parquet(f"{root}/in/{kind}")
+        specs.append(
+            manage.StreamSpec(
+                f"{root.rsplit('-', 1)[-1]}-{kind}",
+                lambda s, kind=kind: tables.table_stream(s, f"{root}/in/{kind}", rows.schema),
+                lambda df: df, f"{root}/out/{kind}", f"{root}/checkpoint/{kind}", "parquet", "1 second",
+            )
+        )
+    started, failed = manage.start_streams(spark, specs)
+    try:
+        if failed:
+            raise RuntimeError(str(failed))
+        for kind, wanted in (("errors", "event_type = 'error'"), ("others", "event_type <> 'error'")):
+            rows.where(later).where(wanted).write.mode("append").parquet(f"{root}/in/{kind}")
+        for q in started.values():
+            q.processAllAvailable()
+        status = {r["name"]: r["batch_id"] is not None for r in manage.stream_status(spark).collect()}
+    finally:
+        stopped = manage.stop_streams(spark, list(started))
+    out = [
+        spark.read.schema(rows.schema).parquet(s.out).agg(F.count("*").alias("n"), F.sum("event_id").alias("ids")).select(
+            F.lit(s.name.rsplit("-", 1)[-1]).alias("stream"), "n", "ids", F.lit(status.get(s.name, False)).alias("seen"),
+            F.lit(s.name in stopped and not started[s.name].isActive).alias("stopped"),
+        )
+        for s in specs
+    ]
+    return consolidate(out)
+
+
+AT_INTERVAL = """SELECT CASE WHEN event_type = 'error' THEN 'errors' ELSE 'others' END AS stream, count(*) AS n,
+  CAST(sum(event_id) AS BIGINT) AS ids, true AS seen, true AS stopped FROM events GROUP BY 1"""
+
+
 PIPED = {
     "okta_auth": "okta", "windows_auth": "windows", "cloudtrail": "cloud", "sysmon_process": "process",
     "sysmon_registry": "registry",
@@ -445,6 +486,7 @@ QUERIES = {
                 recent_from="2001-06-10 00:00:00"),
         D.NETWORK,
     ),
+    "streams_at_interval": (streams_at_interval, AT_INTERVAL),
     "bronze_growing_format": (bronze_growing, BRONZE_GROWING),
     "stream_bronze_silver_all": (stream_pipeline_all, STREAM_PIPELINE_ALL),
     "detections_all_rules": (detections_over_pipeline, DETECTIONS_OVER_PIPELINE),
