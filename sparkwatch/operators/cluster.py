@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from sparkwatch.functions.times import AsOf, hour_within, trailing
 from sparkwatch.session import written_table
@@ -108,6 +109,97 @@ def cluster_checks(
     )
 
 
+def _usable(features: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """Rows that have a key and finite features."""
+    for c in cols:
+        x = F.col(c).cast("double")
+        features = features.where(x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return features.where(F.col(key).isNotNull())
+
+
+def _places(stored: DataFrame, cols: Sequence[str], scale: bool, grid: int) -> list[Column]:
+    """The features as whole steps of a grid, centred and, with ``scale``, in standard deviations."""
+    x = [F.col(c).cast("double") for c in cols]
+    found = stored.agg(*[F.avg(v) for v in x], *[F.stddev_samp(v) for v in x]).first()
+    out = []
+    for v, mean, spread in zip(x, found[: len(x)], found[len(x):]):
+        if not scale:
+            out.append(F.floor((v - mean) * float(grid) + 0.5))
+        elif spread and math.isfinite(spread):
+            out.append(F.floor((v - mean) / spread * float(grid) + 0.5))
+        else:
+            out.append(F.lit(0).cast("long"))
+    return out
+
+
+def _nearest(place: Sequence[Column], centres: Sequence[Sequence[int]]) -> Column:
+    """Squared distance ``d`` to the nearest centre and its number ``i``; the smaller number at equal distance."""
+    def to(i, centre):
+        squares = [(p - F.lit(c).cast("long")) * (p - F.lit(c).cast("long")) for p, c in zip(place, centre)]
+        return F.struct(sum(squares[1:], squares[0]).alias("d"), F.lit(i).alias("i"))
+
+    options = [to(i, centre) for i, centre in enumerate(centres)]
+    return F.least(*options) if len(options) > 1 else options[0]
+
+
+def cluster_rounds(
+    features: DataFrame,
+    key: str,
+    cols: Sequence[str] = USER_FEATURES,
+    k: int = 4,
+    rounds: int = 20,
+    scale: bool = True,
+    grid: int = 1024,
+) -> DataFrame:
+    """Add ``prediction`` and ``distance``: k-means that gives the same clusters on every run and engine.
+
+    Features, less their mean and with ``scale`` in standard deviations, are rounded to ``grid``
+    steps a unit, so distances, sums and ties are whole numbers that do not depend on the order of rows.
+    The first centre is the row nearest to the mean, each further one the row farthest from those
+    before; ties go to the smaller key. Then up to ``rounds`` times each row takes its nearest
+    centre, ties to the smaller number, and each centre moves to the rounded mean of its rows;
+    rounds end early when no centre moves. A centre without rows stays. ``distance`` is that to the own
+    centre, in the units of the grid's input.
+
+    Each pass is one aggregate over the features, which are written once; ``k`` rows of sums
+    come back to the driver. Fewer distinct places than ``k`` give fewer clusters. Rows without key or
+    with a null or non-finite feature take no part; an empty table gives no rows. A feature that is the same
+    everywhere counts nothing under ``scale``. Squares beyond a long raise an error: take a smaller ``grid``.
+    """
+    stored = written_table(_usable(features, key, cols), "features")
+    first = stored.agg(F.count("*")).first()[0]
+    if not first:
+        return stored.withColumns({"prediction": F.lit(None).cast("int"), "distance": F.lit(None).cast("double")})
+    names = [f"_p{j}" for j in range(len(cols))]
+    place = [F.col(n) for n in names]
+    placed = stored.withColumns(dict(zip(names, _places(stored, cols, scale, grid))))
+    centres: list[list[int]] = []
+    for _ in range(k):
+        d = _nearest(place, centres)["d"] if centres else _nearest(place, [[0] * len(cols)])["d"]
+        far = F.min(F.struct((-d if centres else d).alias("d"), F.col(key).alias("key"), *place)).alias("far")
+        row = placed.agg(far).first()["far"]
+        if centres and row["d"] == 0:
+            break
+        centres.append([row[n] for n in names])
+    for _ in range(rounds):
+        sums = (
+            placed.groupBy(_nearest(place, centres)["i"].alias("i"))
+            .agg(F.count("*").alias("n"), *[F.sum(n).alias(n) for n in names])
+            .collect()  # a row per cluster
+        )
+        moved = list(centres)
+        for row in sums:
+            moved[row["i"]] = [(2 * row[n] + row["n"]) // (2 * row["n"]) for n in names]
+        if moved == centres:
+            break
+        centres = moved
+    return (
+        placed.withColumn("_nearest", _nearest(place, centres))
+        .withColumns({"prediction": F.col("_nearest.i"), "distance": F.sqrt("_nearest.d") / float(grid)})
+        .drop("_nearest", *names)
+    )
+
+
 def cluster_outliers(clustered: DataFrame, size_factor: float = 2.0) -> DataFrame:
     """Members of clusters at most ``size_factor`` times the smallest one.
 

@@ -14,7 +14,7 @@ from sparkwatch.functions.text import contains_any, first_match, sentence, start
 from sparkwatch.functions.times import AsOf, as_of_bound, minutes_between, since, trailing, until
 from sparkwatch.operators.alerts import AlertMap
 from sparkwatch.operators.baseline import baseline_zscore
-from sparkwatch.operators.cluster import cluster, cluster_outliers, user_features
+from sparkwatch.operators.cluster import cluster, cluster_outliers, cluster_rounds, user_features
 from sparkwatch.operators.rarity import rarity
 from sparkwatch.operators.rolling import rolling_zscore
 from sparkwatch.operators.sequence import sequence_gap
@@ -358,11 +358,16 @@ def network_anomaly(
 
 
 def user_clustering(
-    df: DataFrame, as_of: AsOf = None, k: int = 4, seed: int = 42, size_factor: float = 2.0
+    df: DataFrame, as_of: AsOf = None, k: int = 4, seed: int | None = None, size_factor: float = 2.0,
+    rounds: int = 20,
 ) -> DataFrame:
-    """D-13"""
+    """D-13, by ``cluster_rounds``; a ``seed`` asks for the randomly started k-means of ``pyspark.ml``."""
     features = user_features(df, "user_email", "event_time", as_of)
-    found = cluster_outliers(cluster(features, k=k, seed=seed), size_factor)
+    if seed is None:
+        clustered = cluster_rounds(features, "user_email", k=k, rounds=rounds)
+    else:
+        clustered = cluster(features, k=k, seed=seed)
+    found = cluster_outliers(clustered, size_factor)
     at = as_of_bound(df, "event_time", as_of)
     return found.withColumns(
         {

@@ -8,7 +8,6 @@ from sparkwatch import schemas
 from sparkwatch.operators import normalize as N
 from sparkwatch.operators import silver
 from sparkwatch.operators.alerts import consolidate
-from sparkwatch.operators.cluster import cluster_checks, user_features
 from sparkwatch.operators.quality import expect
 from sparkwatch.operators.threshold import threshold
 from sparkwatch.plans import pipeline, rules
@@ -354,15 +353,10 @@ RUN_WITH = {
     "detect_timeseries_anomaly": dict(z=1.0, high=2.0, recent="72 hours"),
     "detect_web_beaconing": dict(within="2000 days", min_count=2),
 }
-CLUSTERING = "detect_user_clustering"
 
 
 def detections_every_rule(spark, sf):
-    """All enabled rules over the tables of the pipeline: a row per rule, also where it finds nothing.
-
-    Clusters have no SQL. For that rule the clustered users that pass the checks of
-    ``cluster_checks`` are counted in place of alerts, and none if the rule gives no alert or one for another user.
-    """
+    """All enabled rules over the tables of the pipeline: a row per rule, also where it finds nothing."""
     tables_ = written_pipeline(spark, sf, network=True)
     chosen = [
         rules.with_params(r, **RUN_WITH[r.name]) if r.name in RUN_WITH else r for r in rules.RULES if r.enabled
@@ -373,29 +367,16 @@ def detections_every_rule(spark, sf):
     ]
     found = consolidate([run.summary() for run in runs])
     names = spark.createDataFrame([(r.name,) for r in chosen], "detection_rule string")
-    counts = names.join(found, "detection_rule", "left").select(
+    failed = sum(len(run.failed) for run in runs)
+    return names.join(found, "detection_rule", "left").select(
         "detection_rule",
-        F.when(F.col("detection_rule") != CLUSTERING, F.coalesce("alert_count", F.lit(0))).alias("alert_count"),
-    )
-    users = cluster_checks(user_features(tables_["okta_auth"], "user_email", "event_time", T.EVENTS_AS_OF))
-    alerted = runs[0].alerts.where(F.col("detection_rule") == CLUSTERING).groupBy(F.col("user").alias("user_email")).agg(
-        F.count("*").alias("n")
+        F.coalesce("alert_count", F.lit(0)).alias("alert_count"),
+        F.lit(failed).alias("failed_rules"),
     )
-    checks = users.join(alerted, "user_email", "full").agg(
-        F.count_if(F.col("nearest") & F.col("as_ruled")).alias("right"),
-        F.count_if(F.col("nearest").isNull() | (F.col("n") > 1)).alias("wrong"),
-        F.count("n").alias("alerted"),
-    )
-    checks = checks.select(
-        F.lit(CLUSTERING).alias("detection_rule"),
-        F.when((F.col("wrong") == 0) & (F.col("alerted") > 0), F.col("right")).otherwise(F.lit(0)).alias("checked_users"),
-    )
-    failed = sum(len(run.failed) for run in runs)
-    return counts.join(checks, "detection_rule", "left").withColumn("failed_rules", F.lit(failed))
 
 
 def _rule_count(name, query=None, where="true"):
-    return f"""SELECT '{name}' AS detection_rule, count(*) AS alert_count, CAST(NULL AS BIGINT) AS checked_users,
+    return f"""SELECT '{name}' AS detection_rule, count(*) AS alert_count,
   0 AS failed_rules FROM ({query or D.QUERIES[name][1]}) WHERE {where}"""
 
 
@@ -404,7 +385,7 @@ DETECTIONS_EVERY_RULE = " UNION ALL ".join(
         *[
             _rule_count(r.name)
             for r in rules.RULES
-            if r.name not in (CLUSTERING, "detect_impossible_travel", "detect_registry_run_key")
+            if r.name not in ("detect_user_clustering", "detect_impossible_travel", "detect_registry_run_key")
         ],
         _rule_count(
             "detect_impossible_travel", D.TRAVEL, f"current_login_time <= '{T.EVENTS_AS_OF}.000000'"
@@ -413,8 +394,7 @@ DETECTIONS_EVERY_RULE = " UNION ALL ".join(
             "detect_registry_run_key",
             sql("SELECT * FROM registry WHERE registry_path LIKE '%CurrentVersion\\Run%'", "registry"),
         ),
-        f"""SELECT '{CLUSTERING}', CAST(NULL AS BIGINT), count(*), 0 FROM ({D.CLUSTERING_CHECKED})
-WHERE nearest AND as_ruled""",
+        _rule_count("detect_user_clustering", D.CLUSTERING),
     ]
 )
 
