@@ -23,6 +23,7 @@ def threshold(
     watermark: str | None = None,
     distinct: str | None = None,
     sets: Mapping[str, str] | None = None,
+    sketches: Mapping[str, str] | None = None,
     count_as: str = "event_count",
     first_as: str = "first_seen",
     last_as: str = "last_seen",
@@ -37,21 +38,11 @@ def threshold(
     are counted exactly in both; a stream groups by the value first and counts
     the groups of closed windows, unless ``approx`` asks for an estimate. ``sets``
     names sorted value sets to keep per group; use it for columns of few
-    distinct values such as ports or API names.
+    distinct values such as ports or API names. Any number of values is either
+    rows of ``threshold_values``, exact, or ``sketches``: binary columns of at most some
+    4 KB that ``merged_estimates`` adds up over groups and spans.
     """
-    if where is not None:
-        df = df.where(where)
-    groups: list = [F.col(k) for k in keys]
-    if mode == "trailing":
-        df = df.where(trailing(df, ts, as_of, within))
-    elif mode == "sliding":
-        if watermark:
-            df = df.withWatermark(ts, watermark)
-        span = F.window(ts, within, slide) if slide else F.window(ts, within)
-        groups.append(span.alias("_span"))
-    else:
-        raise ValueError(f"unknown mode {mode!r}")
-
+    df, groups = _spans(df, keys, ts, within, where, as_of, mode, slide, watermark)
     aggs = [
         F.count("*").alias(count_as),
         F.min(ts).alias(first_as),
@@ -60,7 +51,7 @@ def threshold(
     level = distinct_as if distinct else count_as
     chained = bool(distinct) and df.isStreaming and not approx
     if chained:
-        df, groups = _by_value(df, keys, groups, distinct, aggs, sets), [F.col(g) for g in _names(keys, mode)]
+        df, groups = _by_value(df, groups, distinct, aggs, sets, sketches), [F.col(g) for g in _names(keys, mode)]
         aggs = [
             F.sum(count_as).alias(count_as),
             F.min(first_as).alias(first_as),
@@ -71,24 +62,102 @@ def threshold(
         count = F.approx_count_distinct if approx else F.count_distinct
         aggs.append(count(distinct).alias(distinct_as))
     for name, column in (sets or {}).items():
-        found = F.flatten(F.collect_list(name)) if chained else F.collect_set(column)
+        # On streams equal sets of several values collapse, as they are sorted.
+        found = F.flatten(F.collect_set(name)) if chained else F.collect_set(column)
         aggs.append(F.sort_array(F.array_distinct(found)).alias(name))
+    for name, column in (sketches or {}).items():
+        aggs.append((F.hll_union_agg(name) if chained else F.hll_sketch_agg(column)).alias(name))
+
+    return _with_span(df.groupBy(*groups).agg(*aggs).where(F.col(level) >= min_count))
+
+
+def _spans(df, keys, ts, within, where, as_of, mode, slide, watermark=None) -> tuple[DataFrame, list]:
+    """The rows that count and what groups them: the keys, and the window of sliding spans."""
+    if where is not None:
+        df = df.where(where)
+    groups: list = [F.col(k) for k in keys]
+    if mode == "trailing":
+        return df.where(trailing(df, ts, as_of, within)), groups
+    if mode != "sliding":
+        raise ValueError(f"unknown mode {mode!r}")
+    if watermark:
+        df = df.withWatermark(ts, watermark)
+    span = F.window(ts, within, slide) if slide else F.window(ts, within)
+    return df, [*groups, span.alias("_span")]
+
+
+def _with_span(out: DataFrame) -> DataFrame:
+    if "_span" not in out.columns:
+        return out
+    return out.withColumns({"window_start": F.col("_span.start"), "window_end": F.col("_span.end")}).drop("_span")
+
+
+def threshold_values(
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    value: str,
+    *,
+    min_count: int,
+    within: str,
+    where: Column | None = None,
+    as_of: AsOf = None,
+    mode: str = "trailing",
+    slide: str | None = None,
+    by: str = "events",
+    count_as: str = "event_count",
+    first_as: str = "first_seen",
+    last_as: str = "last_seen",
+) -> DataFrame:
+    """AGG-11: the value set of each hit as rows, one per distinct value, with its count and times.
+
+    Groups and spans are those of ``threshold``; ``by`` says whether ``min_count`` is of events or of
+    distinct ``values``. Rows are aggregated by group and value, and the totals of groups from
+    those rows, which share their shuffle. A group with a million values is a million rows in
+    the partitions of its values, and no row holds a list; AQE splits it in the join with its total.
+    A null value counts as an event and is no row of the set. Null keys form a group.
+    """
+    if by not in ("events", "values"):
+        raise ValueError(f"unknown count {by!r}")
+    df, groups = _spans(df, keys, ts, within, where, as_of, mode, slide)
+    names = _names(keys, mode)
+    rows = df.groupBy(*groups, F.col(value).alias("_value")).agg(
+        F.count("*").alias("_n"), F.min(ts).alias("_first"), F.max(ts).alias("_last")
+    )
+    total = F.sum("_n") if by == "events" else F.count("_value")
+    hits = rows.groupBy(*names).agg(total.alias("_total")).where(F.col("_total") >= min_count)
+    hits = hits.select(*[F.col(n).alias(f"_hit{i}") for i, n in enumerate(names)])
+    same = F.lit(True)
+    for i, n in enumerate(names):
+        same = same & F.col(n).eqNullSafe(F.col(f"_hit{i}"))
+    found = rows.where(F.col("_value").isNotNull()).join(hits, same, "left_semi")
+    return _with_span(
+        found.select(
+            *names,
+            F.col("_value").alias(value),
+            F.col("_n").alias(count_as),
+            F.col("_first").alias(first_as),
+            F.col("_last").alias(last_as),
+        )
+    )
+
 
-    out = df.groupBy(*groups).agg(*aggs).where(F.col(level) >= min_count)
-    if mode == "sliding":
-        out = out.withColumns(
-            {"window_start": F.col("_span.start"), "window_end": F.col("_span.end")}
-        ).drop("_span")
-    return out
+def merged_estimates(hits: DataFrame, keys: Sequence[str], sketches: Sequence[str]) -> DataFrame:
+    """Estimated distinct counts over all spans of each key, from the sketches of ``threshold``.
+
+    Sketches merge in any order, so those of different runs may be stored and added up later.
+    """
+    return hits.groupBy(*keys).agg(*[F.hll_sketch_estimate(F.hll_union_agg(s)).alias(s) for s in sketches])
 
 
 def _names(keys: Sequence[str], mode: str) -> list[str]:
     return [*keys, "_span"] if mode == "sliding" else list(keys)
 
 
-def _by_value(df, keys, groups, distinct, aggs, sets) -> DataFrame:
+def _by_value(df, groups, distinct, aggs, sets, sketches) -> DataFrame:
     """One row per group and distinct value, with what the groups need of it."""
-    kept = [F.collect_set(column).alias(name) for name, column in (sets or {}).items()]
+    kept = [F.sort_array(F.collect_set(column)).alias(name) for name, column in (sets or {}).items()]
+    kept += [F.hll_sketch_agg(column).alias(name) for name, column in (sketches or {}).items()]
     return df.groupBy(*groups, F.col(distinct).alias("_value")).agg(*aggs, *kept)
 
 

@@ -239,3 +239,65 @@ def test_expect_fail_and_flag(spark):
 def test_expectation_counts_and_null_rates(spark):
     assert as_set(quality.expectation_counts(graded(spark), EXPECT, "t")) == {("t", "has_user", 2, 2), ("t", "small", 2, 2)}
     assert as_set(quality.null_rates(graded(spark), ["user", "v"], "t")) == {("t", "user", 4, 2, 50.0, False), ("t", "v", 4, 1, 25.0, False)}
+
+
+def valued(spark, n=300):
+    """Group ``a`` holds almost all values, group null some, ``b`` too few."""
+    rows = [("a", NOW - timedelta(seconds=i % 500), i % (n // 2)) for i in range(n)]
+    rows += [(None, NOW, i % 7) for i in range(20)] + [("b", NOW, 1), ("b", NOW, 2)]
+    rows += [("a", NOW, None), ("a", None, 5), ("a", NOW - timedelta(days=2), 9999), ("c", NOW, None)] * 3
+    return spark.createDataFrame(rows, "g string, t timestamp, v long")
+
+
+@pytest.mark.parametrize("by, least", [("events", 4), ("events", 3), ("values", 3), ("values", 2)])
+def test_value_rows_hold_what_sets_hold(spark, by, least):
+    df = valued(spark)
+    got = threshold.threshold_values(df, ["g"], "t", "v", as_of=AS_OF, within="10 minutes", min_count=least, by=by)
+    lists = threshold.threshold(
+        df, ["g"], "t", as_of=AS_OF, within="10 minutes", min_count=least, sets={"vs": "v"},
+        distinct="v" if by == "values" else None,
+    )
+    want = {(r.g, v) for r in lists.collect() for v in r.vs}
+    rows = got.collect()
+    assert len(rows) == len(want) and {(r.g, r.v) for r in rows} == want
+    assert sum(r.event_count for r in rows if r.g == "a") == 300
+    assert all(r.first_seen <= r.last_seen for r in rows)
+
+
+def test_value_rows_of_sliding_spans(spark):
+    df = valued(spark)
+    how = dict(within="5 minutes", slide="1 minute", mode="sliding", min_count=3)
+    got = threshold.threshold_values(df, ["g"], "t", "v", **how).collect()
+    lists = threshold.threshold(df, ["g"], "t", sets={"vs": "v"}, **how).collect()
+    assert {(r.g, r.window_start, r.window_end, r.v) for r in got} == {
+        (r.g, r.window_start, r.window_end, v) for r in lists for v in r.vs
+    }
+    assert len(got) == sum(len(r.vs) for r in lists)
+
+
+def test_many_values_without_a_list(spark):
+    df = spark.range(200_000).select(
+        F.lit("hot").alias("g"), F.lit(AS_OF).cast("timestamp").alias("t"), (F.col("id") % 150_000).alias("v")
+    )
+    out = threshold.threshold_values(df, ["g"], "t", "v", as_of=AS_OF, within="10 minutes", min_count=5)
+    assert out.count() == 150_000
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "collect_set" not in plan and "collect_list" not in plan and "Window" not in plan
+    empty = threshold.threshold_values(df.limit(0), ["g"], "t", "v", as_of=AS_OF, within="10 minutes", min_count=1)
+    assert empty.count() == 0
+    with pytest.raises(ValueError):
+        threshold.threshold_values(df, ["g"], "t", "v", as_of=AS_OF, within="10 minutes", min_count=1, by="rows")
+
+
+def test_sketches_merge_over_runs(spark):
+    df = valued(spark, 6000).where("t is not null")
+    parts = [
+        threshold.threshold(
+            df.where(F.pmod("v", F.lit(3)) == i), ["g"], "t", as_of=AS_OF, within="10 minutes", min_count=1,
+            sketches={"vs": "v"},
+        )
+        for i in range(3)
+    ]
+    both = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[0])
+    got = {r.g: r.vs for r in threshold.merged_estimates(both, ["g"], ["vs"]).collect()}
+    assert got.keys() == {"a", "b", None} and abs(got["a"] - 3000) < 150 and (got["b"], got[None]) == (2, 7)
