@@ -57,24 +57,50 @@ def parse_event_xml(df: DataFrame, names: list[str], text: str = "value") -> Dat
     return _with_data(_once(df, event=_event(F.col(text))), names)
 
 
-def _with_data(df: DataFrame, names: list[str]) -> DataFrame:
+def _with_data(df: DataFrame, names: Sequence[str], otherwise: Column | None = None) -> DataFrame:
     """The struct is read from the JSON in one go: twenty lookups in a map make
-    a generated method so long that the JVM does not compile it."""
-    pairs_type = "array<struct<_Name:string,_VALUE:string>>"
+    a generated method so long that the JVM does not compile it. Where there is no
+    event it is read from ``otherwise``."""
     named = F.filter(F.col("event.EventData.Data"), lambda d: d["_Name"].isNotNull())
-    backwards = F.reverse(F.transform("_data", lambda d: d["_Name"]))
-    last = F.filter(
-        "_data",
-        lambda d, i: i == F.size("_data") - F.array_position("_back", d["_Name"]).cast("int"),
+    pairs_type = "array<struct<_Name:string,_VALUE:string>>"
+    df = df.withColumn("_data", F.when(_is_event(F.col("event")), F.coalesce(named, F.array().cast(pairs_type))))
+    df = df.withColumn("data_json", F.to_json(F.map_from_entries(_last_of_each(F.col("_data"))))).drop("_data")
+    text = F.col("data_json") if otherwise is None else F.coalesce("data_json", otherwise)
+    return _once(df, data=_json(text, names))
+
+
+def _last_of_each(data: Column) -> Column:
+    """Entries (name, value) of a list of named values, the last of each name, in the order of the list.
+
+    Almost no event repeats a name, which a hash of the names tells. Otherwise entries are sorted by
+    name and place, those followed by their own name go, and the rest is sorted back by place.
+    """
+    entry = lambda d: F.struct(d["_Name"].alias("key"), F.coalesce(d["_VALUE"], F.lit("")).alias("value"))
+    numbered = F.array_sort(
+        F.transform(data, lambda d, i: F.struct(d["_Name"].alias("_Name"), i.alias("i"), d["_VALUE"].alias("_VALUE")))
     )
-    pairs = F.transform(last, lambda d: F.struct(d["_Name"], F.coalesce(d["_VALUE"], F.lit(""))))
-    return (
-        df.withColumn("_data", F.coalesce(named, F.array().cast(pairs_type)))
-        .withColumn("_back", backwards)
-        .withColumn("data_json", F.to_json(F.map_from_entries(pairs)))
-        .drop("_data", "_back")
-        .withColumn("data", F.from_json("data_json", schemas.nested(" ".join(names))))
+    beside = F.zip_with(
+        numbered,
+        F.slice(numbered, F.lit(2), F.size(data)),
+        lambda d, after: F.struct(d["i"].alias("i"), d.alias("d"), after["_Name"].alias("after")),
     )
+    last = F.filter(beside, lambda p: p["after"].isNull() | (p["after"] != p["d"]["_Name"]))
+    repeated = F.size(F.array_distinct(F.transform(data, lambda d: d["_Name"]))) < F.size(data)
+    return F.when(repeated, F.transform(F.array_sort(last), lambda p: entry(p["d"]))).otherwise(F.transform(data, entry))
+
+
+#: JSON as its standard has it; ``_corrupt`` keeps the text of what is none.
+_STRICT = {"columnNameOfCorruptRecord": "_corrupt", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
+
+def _json(text: Column, names: Sequence[str] = ()) -> Column:
+    """The fields ``names`` of a JSON object as text, parsed once; of a repeated field the last."""
+    schema = schemas.nested(" ".join([*names, "_corrupt"]))
+    return F.from_json(F.when(text.startswith("{"), text), schema, _STRICT)
+
+
+def _is_json(parsed: Column) -> Column:
+    return parsed.isNotNull() & parsed["_corrupt"].isNull()
 
 
 def _is_event(event: Column) -> Column:
@@ -87,42 +113,30 @@ def unparsed(df: DataFrame, text: str = "value") -> DataFrame:
     The normalisers leave such rows out, this gives them back as evidence.
     """
     value = F.col(text)
-    good_json = value.startswith("{") & F.try_parse_json(value).isNotNull()
-    return (
-        _once(df.where(~F.coalesce(good_json, F.lit(False))), event=_event(F.when(value.startswith("<Event"), value)))
-        .where(~F.coalesce(_is_event(F.col("event")), F.lit(False)))
-        .drop("event")
+    good = F.coalesce(_is_event(F.col("event")), F.lit(False)) | F.coalesce(_is_json(F.col("json")), F.lit(False))
+    return _once(df, event=_event(F.when(value.startswith("<Event"), value)), json=_json(value)).where(~good).drop(
+        "event", "json"
     )
 
 
-def _sysmon_columns(data: Column, system: dict[str, Column]) -> list[Column]:
-    names = [f.name for f in schemas.SYSMON.fields]
-    return [(F.coalesce(system[n], data[n]) if n in system else data[n]).alias(n) for n in names]
-
-
 def normalize_sysmon_raw(df: DataFrame, text: str = "value") -> DataFrame:
     """NRM-01: host events in XML or JSON text to the canonical table.
 
-    XML and JSON go separate ways, so a JSON line meets no XML parser. Records that
-    are not readable are left out of both; ``unparsed`` returns them.
+    One pass: XML gives the JSON of its named values and a JSON record is its own, so both are
+    read into the same columns. Records that are not readable are left out; ``unparsed`` returns them.
     """
-    value = F.col(text)
+    value = F.col("value")
     names = [f.name for f in schemas.SYSMON.fields]
-    xml = _once(df.where(value.startswith("<Event")), event=_event(value)).where(_is_event(F.col("event")))
-    xml = _with_data(xml, names).select(
-        *_sysmon_columns(
-            F.col("data"),
-            {
-                "EventID": F.col("event.System.EventID"),
-                "EventTime": F.col("event.System.TimeCreated._SystemTime"),
-                "Computer": F.col("event.System.Computer"),
-                "RawEventData": F.col("data_json"),
-            },
-        )
-    )
-    lines = df.where(value.startswith("{") & F.try_parse_json(value).isNotNull())
-    lines = lines.select(F.from_json(value, schemas.nested(" ".join(names))).alias("data"))
-    rows = xml.unionByName(lines.select(*_sysmon_columns(F.col("data"), {})))
+    parsed = _once(df.select(F.col(text).alias("value")), event=_event(F.when(value.startswith("<Event"), value)))
+    rows = _with_data(parsed, names, otherwise=value).where(_is_json(F.col("data")))
+    system = {
+        "EventID": F.col("event.System.EventID"),
+        "EventTime": F.col("event.System.TimeCreated._SystemTime"),
+        "Computer": F.col("event.System.Computer"),
+        "RawEventData": F.col("data_json"),
+    }
+    data = lambda n: F.col("data")[n]
+    rows = rows.select(*[(F.coalesce(system[n], data(n)) if n in system else data(n)).alias(n) for n in names])
     return _conform(rows, schemas.SYSMON, _stamp("sysmon"))
 
 
@@ -275,13 +289,17 @@ def conversion_rate(raw: DataFrame, source: str, text: str = "value", formats: S
     those that the normaliser of the source takes.
     """
     value = F.col(text)
-    good = F.lit(False)
+    rows = raw.select(value.alias("value"))
+    parsed, good = {}, F.lit(False)
     if "json" in formats:
-        good = good | (value.startswith("{") & F.try_parse_json(value).isNotNull())
-    rows = raw.select(value.alias("value"), F.coalesce(good, F.lit(False)).alias("good"))
+        parsed["json"] = _json(F.col("value"))
+        good = good | F.coalesce(_is_json(F.col("json")), F.lit(False))
     if "xml" in formats:
-        rows = _once(rows, event=_event(F.when(F.col("value").startswith("<Event"), F.col("value"))))
-        rows = rows.select((F.col("good") | F.coalesce(_is_event(F.col("event")), F.lit(False))).alias("good"))
+        parsed["event"] = _event(F.when(F.col("value").startswith("<Event"), F.col("value")))
+        good = good | F.coalesce(_is_event(F.col("event")), F.lit(False))
+    if parsed:
+        rows = _once(rows, **parsed)
+    rows = rows.select(good.alias("good"))
     return rows.agg(F.count("*").alias("raw_count"), F.count_if("good").alias("converted_count")).select(
         F.lit(source).alias("source"),
         "raw_count",

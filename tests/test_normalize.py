@@ -1,5 +1,7 @@
 """Raw records to canonical and silver tables."""
 
+import json
+import random
 from datetime import datetime
 
 import pytest
@@ -173,3 +175,62 @@ def test_namespace_and_preview(spark):
     finally:
         spark.sql("DROP TABLE IF EXISTS watch_test.numbers")
         spark.catalog.setCurrentDatabase(before)
+
+
+def named(pairs):
+    def entry(name, value):
+        inside = "" if value is None else value
+        return f'<Data Name="{name}">{inside}</Data>' if name is not None else f"<Data>{inside}</Data>"
+
+    return (
+        "<Event><System><EventID>7</EventID></System><EventData>"
+        + "".join(entry(*p) for p in pairs)
+        + "</EventData></Event>"
+    )
+
+
+def test_last_of_repeated_names_in_order(spark):
+    """Against a dict that forgets a name before it takes it again."""
+    draw = random.Random(5)
+    lists = [
+        [(draw.choice(["User", "Image", "CommandLine", "b", "a", None]), draw.choice([None, "x", "y", "z"])) for _ in range(n)]
+        for n in (0, 1, 2, 3, 5, 8, 13, 40) for _ in range(6)
+    ]
+    want = []
+    for pairs in lists:
+        found = {}
+        for name, value in pairs:
+            if name is not None:
+                found.pop(name, None)
+                found[name] = value or ""
+        want.append(found)
+    df = spark.createDataFrame([(i, named(p)) for i, p in enumerate(lists)], "i int, value string")
+    rows = N.parse_event_xml(df, ["User", "Image"]).select("i", "data_json", "data").collect()
+    got = {r.i: list(json.loads(r.data_json).items()) for r in rows}
+    assert got == {i: list(w.items()) for i, w in enumerate(want)}
+    assert {r.i: (r.data.User, r.data.Image) for r in rows} == {i: (w.get("User"), w.get("Image")) for i, w in enumerate(want)}
+
+
+def test_event_with_very_many_repeats(spark):
+    pairs = [(f"n{i % 5000}", str(i)) for i in range(20_000)]
+    df = spark.createDataFrame([(named(pairs),)], "value string")
+    found = json.loads(N.parse_event_xml(df, ["n1"]).first().data_json)
+    assert found == {f"n{i}": str(15_000 + i) for i in range(5000)}
+
+
+def test_both_formats_in_one_pass(spark):
+    rows = [
+        named([("User", "x"), ("User", "y")]),
+        '{"EventID": 8, "User": "j", "User": "k", "RawEventData": {"a": [1]}}',
+        "{'EventID': 9}", '{"EventID": 9', '{"EventID": NaN}', "{EventID: 9}", "[9]", "", None, "text",
+        "<Event><System>", "<Event><EventData/></Event>",
+    ]
+    df = spark.createDataFrame([(r,) for r in rows], "value string")
+    out = N.normalize_sysmon_raw(df)
+    got = {(r.EventID, r.User, r.RawEventData) for r in out.collect()}
+    assert got == {(7, "y", '{"User":"y"}'), (8, "k", '{"a":[1]}')}
+    assert sorted(map(repr, [r.value for r in N.unparsed(df).collect()])) == sorted(map(repr, rows[2:]))
+    assert N.conversion_rate(df, "s").first()[1:3] == (12, 2)
+    plan = N.normalize_sysmon_raw(spark.read.text(__file__))._jdf.queryExecution().executedPlan().toString()
+    assert [plan.count(x) for x in ("FileScan", "from_xml", "from_json", "Union")] == [1, 1, 1, 0]
+    assert out.limit(0).count() == 0
