@@ -316,25 +316,74 @@ FROM (SELECT *, 'HKLM\\Software\\CurrentVersion\\RunOnce\\v' || k AS p FROM ev)
 )
 
 
-def _count(df, *keys):
-    return df.groupBy(*keys).agg(F.count("*").alias("n"))
+def _converted(df):
+    """Whole rows, all columns but the time of conversion."""
+    return plain(df.drop("conversion_timestamp"))
+
+
+def _nulls(names, kind="VARCHAR"):
+    return ", ".join(f'CAST(NULL AS {kind}) AS "{n}"' for n in names.split())
 
 
 def convert_sysmon(spark, sf):
-    out = N.convert_sysmon_xml(sysmon_xml(spark, sf).select(F.regexp_extract("value", r"(?s)(<Event.*)", 1).alias("value")))
-    return _count(out, "EventID", "IntegrityLevel", "source_system", "source_format")
+    return _converted(
+        N.convert_sysmon_xml(sysmon_xml(spark, sf).select(F.regexp_extract("value", r"(?s)(<Event.*)", 1).alias("value")))
+    )
+
+
+CONVERT_SYSMON = sql(
+    f"""SELECT 1 AS "EventID", {shown('ts')} AS "EventTime", 'WS-' || (user_id % 40) AS "Computer", 'last wins' AS "User",
+  CAST(event_id % 5000 AS INTEGER) AS "ProcessId", 'C:\\Windows\\tool' || k || '.exe' AS "Image",
+  'run --props=' || props AS "CommandLine", 'C:\\Windows\\explorer.exe' AS "ParentImage", k + 16 AS "ParentProcessId",
+  'MD5=00,SHA256=' || upper(sha256(props)) AS "Hashes", 'High' AS "IntegrityLevel",
+  {_nulls("ProcessGuid CurrentDirectory ParentCommandLine ParentProcessGuid LogonId")},
+  'sysmon' AS source_system, 'xml' AS source_format FROM ev""",
+    "ev",
+)
 
 
 def convert_windows(spark, sf):
-    return _count(N.convert_windows_xml(windows_xml(spark, sf)), "EventID", "LogonType", "Status", "source_format")
+    return _converted(N.convert_windows_xml(windows_xml(spark, sf)))
+
+
+CONVERT_WINDOWS = sql(
+    f"""SELECT CASE WHEN event_type = 'error' THEN 4625 ELSE 4624 END AS "EventID", event_id AS "EventRecordID",
+  {shown('ts')} AS "TimeCreated", 'WS-' || (user_id % 40) AS "Computer", 'Security' AS "Channel",
+  'user' || user_id AS "TargetUserName", 'LAB' AS "TargetDomainName", ([2, 3, 10, 7])[k % 4 + 1] AS "LogonType",
+  '10.0.0.' || k AS "IpAddress", {_nulls("IpPort", "INTEGER")}, '0x0' AS "Status", 'WS-' || k AS "WorkstationName",
+  {_nulls("ProcessName")}, 'windows' AS source_system, 'xml' AS source_format FROM ev""",
+    "ev",
+)
 
 
 def convert_okta(spark, sf):
-    return _count(N.convert_okta_api(okta_api(spark, sf)), "outcome_result", "source_system", "source_format")
+    return _converted(N.convert_okta_api(okta_api(spark, sf)))
+
+
+CONVERT_OKTA = sql(
+    f"""SELECT CAST(event_id AS VARCHAR) AS uuid, {shown('ts')} AS published, 'user.session.start' AS "eventType",
+  'u' || user_id AS actor_id, 'user' || user_id || '@example.com' AS "actor_alternateId",
+  '10.0.0.' || k AS "client_ipAddress", 'Linux' AS "client_userAgent_os",
+  'City' || k AS "client_geographicalContext_city", 'Country' || (k // 10) AS "client_geographicalContext_country",
+  CASE WHEN event_type = 'error' THEN 'FAILURE' ELSE 'SUCCESS' END AS outcome_result,
+  {_nulls("severity displayMessage actor_type actor_displayName client_userAgent_browser "
+          "client_geographicalContext_state outcome_reason")},
+  'okta' AS source_system, 'api' AS source_format FROM ev""",
+    "ev",
+)
 
 
 def convert_cloud(spark, sf):
-    return _count(N.convert_cloudtrail(cloud_files(spark, sf)), "eventName", "errorCode", "source_format")
+    return _converted(N.convert_cloudtrail(cloud_files(spark, sf)))
+
+
+CONVERT_CLOUD = f"""SELECT '1.08' AS "eventVersion", {shown('o_orderdate')} AS "eventTime",
+  o_orderkey || '-' || call AS "eventID", call AS "eventName", 's3.amazonaws.com' AS "eventSource",
+  CASE WHEN o_orderstatus = 'F' THEN 'AccessDenied' END AS "errorCode", 'IAMUser' AS "userIdentity_type",
+  'cust' || o_custkey AS "userIdentity_userName",
+  {_nulls("eventType awsRegion sourceIPAddress userAgent errorMessage requestID userIdentity_principalId "
+          "userIdentity_arn userIdentity_accountId")},
+  'cloudtrail' AS source_system, 'json_gz' AS source_format FROM {_CALLS}"""
 
 
 def damaged(spark, sf):
@@ -555,30 +604,10 @@ QUERIES = {
     "raw_to_silver_windows": (windows_to_silver, WINDOWS_TO_SILVER),
     "raw_to_silver_okta": (okta_to_silver, OKTA_TO_SILVER),
     "raw_to_silver_cloudtrail": (cloudtrail_to_silver, CLOUDTRAIL_TO_SILVER),
-    "convert_sysmon_xml": (
-        convert_sysmon,
-        """SELECT 1 AS "EventID", 'High' AS "IntegrityLevel", 'sysmon' AS source_system, 'xml' AS source_format,
-  count(*) AS n FROM events""",
-    ),
-    "convert_windows_xml": (
-        convert_windows,
-        sql(
-            """SELECT CASE WHEN event_type = 'error' THEN 4625 ELSE 4624 END AS "EventID",
-  ([2, 3, 10, 7])[k % 4 + 1] AS "LogonType", '0x0' AS "Status", 'xml' AS source_format, count(*) AS n
-FROM ev GROUP BY ALL""",
-            "ev",
-        ),
-    ),
-    "convert_okta_api": (
-        convert_okta,
-        """SELECT CASE WHEN event_type = 'error' THEN 'FAILURE' ELSE 'SUCCESS' END AS outcome_result,
-  'okta' AS source_system, 'api' AS source_format, count(*) AS n FROM events GROUP BY 1""",
-    ),
-    "convert_cloudtrail": (
-        convert_cloud,
-        f"""SELECT call AS "eventName", CASE WHEN o_orderstatus = 'F' THEN 'AccessDenied' END AS "errorCode",
-  'json_gz' AS source_format, count(*) AS n FROM {_CALLS} GROUP BY ALL""",
-    ),
+    "convert_sysmon_xml": (convert_sysmon, CONVERT_SYSMON),
+    "convert_windows_xml": (convert_windows, CONVERT_WINDOWS),
+    "convert_okta_api": (convert_okta, CONVERT_OKTA),
+    "convert_cloudtrail": (convert_cloud, CONVERT_CLOUD),
     "conversion_rate": (conversion, CONVERSION),
     "unparsed_records": (unparsed, sql("SELECT count(*) AS n, 300 AS longest FROM ev WHERE k < 7", "ev")),
     "broken_json_records": (broken_json, BROKEN_JSON),
