@@ -30,6 +30,19 @@ def as_of_bound(df: DataFrame, ts: str, as_of: AsOf, back: str | None = None) ->
     return at - F.expr(f"INTERVAL {back}") if back else at
 
 
+def micros(df: DataFrame, ts: str) -> Column:
+    """Microseconds since 1970, of a time without zone as its clock shows it.
+
+    Casting that to an instant would change its order where clocks are set.
+    """
+    t = F.col(ts)
+    if _type(df, ts) == "timestamp":
+        return F.unix_micros(t)
+    second = (F.date_part(F.lit("SECOND"), t) * 1_000_000).cast("long")
+    hours = F.unix_date(t.cast("date")).cast("long") * 24 + F.hour(t)
+    return (hours * 60 + F.minute(t)) * 60_000_000 + second
+
+
 def _day(df: DataFrame, ts: str) -> Column | None:
     """The date partition that goes with a time: ``event_date`` for ``event_time``."""
     name = ts.removesuffix("_time") + "_date"

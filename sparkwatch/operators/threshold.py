@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sparkwatch.functions.times import AsOf, trailing
+from sparkwatch.functions.times import AsOf, micros, trailing
 
 
 def threshold(
@@ -170,14 +170,21 @@ def threshold_evidence(
     last_as: str = "last_seen",
     as_of: AsOf = None,
     within: str | None = None,
+    bins: str | None = None,
 ) -> DataFrame:
     """AGG-10: the events behind each hit, one row per event.
 
     A list of all event times per group would grow without bound in one row;
-    this long form holds the same times. Hits carry their span, so the join is
-    on the keys and limited to it; AQE splits a key with many events. Sliding
-    hits keep their window columns, since an event may lie in several windows.
-    With the ``within`` and ``as_of`` of trailing hits only that span is read.
+    this long form holds the same times. Sliding hits keep their window columns, since an
+    event may lie in several windows. With the ``within`` and ``as_of`` of trailing hits only
+    that span is read.
+
+    Events and spans meet by key and time bin: an event is in one bin, a span in all that it
+    touches. So a key with most events and hits is as many join keys as it has bins, and an event is
+    compared with the spans of its bin only. ``bins`` is their length, a sixteenth of ``within`` where that is
+    given; a span of length s is at most s / ``bins`` + 2 rows, so give ``bins`` near the
+    length of sliding windows. Without both the join is by key alone and left to AQE.
+    Null keys are a key; null times and hits without span give no rows.
     """
     if within is not None:
         df = df.where(trailing(df, ts, as_of, within))
@@ -191,4 +198,16 @@ def threshold_evidence(
     same = F.col(ts).between(F.col("_from"), F.col("_to"))
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    return df.join(spans, same).drop("_from", "_to", *[f"_{k}" for k in keys])
+    if bins is not None or within is not None:
+        length = _micros_of(bins) if bins is not None else F.greatest(F.floor(_micros_of(within) / 16), F.lit(1))
+        number = lambda rows, c: F.floor(micros(rows, c) / length)
+        spans = spans.withColumn("_span_bin", F.explode(F.sequence(number(spans, "_from"), number(spans, "_to"))))
+        df = df.withColumn("_event_bin", number(df, ts))
+        same = same & (F.col("_event_bin") == F.col("_span_bin"))
+    return df.join(spans, same).drop("_from", "_to", "_span_bin", "_event_bin", *[f"_{k}" for k in keys])
+
+
+def _micros_of(length: str) -> Column:
+    """An interval in microseconds, which the optimizer folds to a literal."""
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp")
+    return F.unix_micros(start + F.expr(f"INTERVAL {length}")) - F.unix_micros(start)

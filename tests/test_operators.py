@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sparkwatch.functions.neighbours import previous_by_range, with_previous
 from sparkwatch.functions.severity import severity_rank, worst_severity
 from sparkwatch.functions.text import base_name, or_else, sentence, to_int
-from sparkwatch.functions.times import hour_within
+from sparkwatch.functions.times import hour_within, micros
 from sparkwatch.operators import baseline, cluster, quality, rarity, rolling, threshold
 from sparkwatch.operators.sequence import sequence_gap
 
@@ -301,3 +301,42 @@ def test_sketches_merge_over_runs(spark):
     both = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[0])
     got = {r.g: r.vs for r in threshold.merged_estimates(both, ["g"], ["vs"]).collect()}
     assert got.keys() == {"a", "b", None} and abs(got["a"] - 3000) < 150 and (got["b"], got[None]) == (2, 7)
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+@pytest.mark.parametrize("bins", [None, "1 second", "7 minutes", "1 hour", "30 days"])
+def test_evidence_by_bins_equals_all_pairs(spark, kind, bins):
+    df = logins(spark, 4, n=300, hot=0.9).withColumn("t", F.when(F.col("id") > 3, F.col("t")).cast(kind))
+    hits = threshold.threshold(df, ["user"], "t", within="20 minutes", slide="5 minutes", mode="sliding", min_count=3)
+    got = threshold.threshold_evidence(df, hits, ["user"], "t", bins=bins).select("user", "id", "window_start").collect()
+    events, spans = df.collect(), hits.collect()
+    want = [
+        (e.user, e.id, h.window_start) for h in spans for e in events
+        if e.t is not None and e.user == h.user and h.first_seen <= e.t <= h.last_seen
+    ]
+    assert want and sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
+def test_evidence_of_a_hot_key_meets_in_bins(spark):
+    """All events and one hit of one key: the trailing span is cut, and events of other times stay out."""
+    df = spark.range(8000).select(
+        F.lit("hot").alias("user"), (F.lit(AS_OF).cast("timestamp") - F.make_dt_interval(secs=F.col("id").cast("decimal(18,6)"))).alias("t")
+    )
+    hits = threshold.threshold(df, ["user"], "t", as_of=AS_OF, within="2 hours", min_count=5)
+    out = threshold.threshold_evidence(df, hits, ["user"], "t", as_of=AS_OF, within="2 hours")
+    assert out.columns == ["user", "t"] and out.count() == 7201
+    assert threshold.threshold_evidence(df, hits.limit(0), ["user"], "t", as_of=AS_OF, within="2 hours").count() == 0
+    bins = df.select(F.floor(micros(df, "t") / (7200 * 1_000_000 / 16)).alias("b")).groupBy("b").count()
+    assert bins.agg(F.max("count")).first()[0] <= 450 and "_event_bin" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_micros_keep_the_clock_of_times_without_zone(spark):
+    df = spark.sql("SELECT TIMESTAMP_NTZ'1969-12-31 23:59:59.999999' AS t UNION ALL SELECT TIMESTAMP_NTZ'2024-03-10 02:30:00.000001'")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = sorted(r[0] for r in df.select(micros(df, "t")).collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    day = datetime(2024, 3, 10, 2, 30, 0, 1) - datetime(1970, 1, 1)
+    assert got == [-1, day // timedelta(microseconds=1)]
