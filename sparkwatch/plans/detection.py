@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, functions as F
 
 from sparkwatch.functions.times import AsOf, as_of_bound, since
@@ -62,7 +63,7 @@ def run_detections(
             try:
                 more = {"new_from": new_from} if r.incremental and new_from is not None else {}
                 parts.append(to_alert(r.hits(tables[r.table], as_of, **more), r.alert, as_of))
-            except Exception as error:  # noqa: BLE001  isolate the rule
+            except PySparkException as error:  # isolate the rule; errors of Python code are faults of the library
                 failed[r.name] = str(error).splitlines()[0]
     for table, group in by_table.items():
         df = tables[table]
@@ -71,11 +72,11 @@ def run_detections(
             df = df.where(since(df, ts, as_of_bound(df, ts, new_from)))
         try:
             parts.append(_signatures(df, group, as_of))
-        except Exception:  # noqa: BLE001  find out which rule it was
+        except PySparkException:  # find out which rule it was
             for r in group:
                 try:
                     parts.append(_signatures(df, [r], as_of))
-                except Exception as error:  # noqa: BLE001
+                except PySparkException as error:
                     failed[r.name] = str(error).splitlines()[0]
     if not parts:
         raise ValueError(f"no rule could run: {failed}")

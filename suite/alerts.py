@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from sparkwatch import schemas
@@ -261,11 +263,12 @@ def stored_tables(spark, sf):
     path = scratch_path(spark, "stored")
     for _ in range(2):
         write_json(rows, f"{path}/json", "append", ("event_type",))
-    save_table(rows, "watch_events", partition_by=("event_type",))
+    managed = f"watch_events_{uuid.uuid4().hex}"  # a name that no table of the user has
+    save_table(rows, managed, partition_by=("event_type",))
     write_sorted(rows, f"{path}/sorted")
     back = {
         "json": spark.read.schema("event_id long, event_type string").json(f"{path}/json"),
-        "managed": spark.table("watch_events"),
+        "managed": spark.table(managed),
         "sorted": spark.read.parquet(f"{path}/sorted"),
     }
     return A.consolidate([

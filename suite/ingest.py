@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from sparkwatch import schemas
@@ -593,6 +595,38 @@ def named_parameter(spark, sf):
     ).withColumn("total", F.round("total", 4))
 
 
+def namespace_tables(spark, sf):
+    """SRC-14, SRC-15: silver tables in a namespace of their own, listed, counted and looked at."""
+    before, name = spark.catalog.currentDatabase(), f"watch_{uuid.uuid4().hex}"
+    kept = {"okta_auth": T.okta(spark, sf), "sysmon_process": T.process(spark, sf), "windows_auth": T.windows(spark, sf)}
+    try:
+        tables.use_namespace(spark, name)
+        for table, df in kept.items():
+            df.write.saveAsTable(table)
+        found = tables.use_namespace(spark, name).select("tableName")
+        # The tables belong to no namespace that is current, so that the result can be read later.
+        stored = {table: spark.table(f"{name}.{table}") for table in kept}
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+    counts = None
+    for table, df in stored.items():
+        seen = tables.preview(df.select("event_time"), 3).distinct().withColumn("_seen", F.lit(True))
+        rows = df.select("event_time").join(F.broadcast(seen), "event_time", "left").agg(
+            F.count("*").alias("rows"), F.count_distinct(F.when(F.col("_seen"), F.col("event_time"))).alias("previewed")
+        )
+        rows = rows.select(F.lit(table).alias("tableName"), "rows", F.col("previewed").between(1, 3).alias("previewed"))
+        counts = rows if counts is None else counts.unionByName(rows)
+    return found.join(counts, "tableName", "full")
+
+
+NAMESPACE_TABLES = sql(
+    """SELECT 'okta_auth' AS "tableName", count(*) AS rows, true AS previewed FROM okta
+UNION ALL SELECT 'sysmon_process', count(*), true FROM process
+UNION ALL SELECT 'windows_auth', count(*), true FROM windows""",
+    "okta", "process", "windows",
+)
+
+
 QUERIES = {
     "nrm_sysmon_xml": (nrm_sysmon_xml, sql(f"SELECT {_SYSMON_SQL} FROM ev", "ev")),
     "nrm_sysmon_json": (nrm_sysmon_json, sql(f"SELECT {_SYSMON_SQL} FROM ev", "ev")),
@@ -646,6 +680,7 @@ QUERIES = {
         "SELECT 'events' AS source, count(*) AS events, true AS available FROM events UNION ALL SELECT 'missing', -1, false",
     ),
     "read_since_mark": (since, SINCE),
+    "namespace_tables": (namespace_tables, NAMESPACE_TABLES),
     "query_named_parameter": (
         named_parameter,
         "SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events WHERE user_id = 17 GROUP BY event_type",
