@@ -112,9 +112,10 @@ def threshold_values(
     """AGG-11: the value set of each hit as rows, one per distinct value, with its count and times.
 
     Groups and spans are those of ``threshold``; ``by`` says whether ``min_count`` is of events or of
-    distinct ``values``. Rows are aggregated by group and value, and the totals of groups from
-    those rows, which share their shuffle. A group with a million values is a million rows in
+    distinct ``values``. Rows are aggregated by group and value, and the totals of groups from such rows too,
+    in a second, narrower pass. A group with a million values is a million rows in
     the partitions of its values, and no row holds a list; AQE splits it in the join with its total.
+    That join is an inner one, as Catalyst would move a semi-join below the aggregate to the single events.
     A null value counts as an event and is no row of the set. Null keys form a group.
     """
     if by not in ("events", "values"):
@@ -130,7 +131,7 @@ def threshold_values(
     same = F.lit(True)
     for i, n in enumerate(names):
         same = same & F.col(n).eqNullSafe(F.col(f"_hit{i}"))
-    found = rows.where(F.col("_value").isNotNull()).join(hits, same, "left_semi")
+    found = rows.where(F.col("_value").isNotNull()).join(hits, same)
     return _with_span(
         found.select(
             *names,
