@@ -11,7 +11,7 @@ from sparkwatch.operators.alerts import consolidate
 from sparkwatch.operators.quality import expect
 from sparkwatch.operators.threshold import threshold
 from sparkwatch.plans import pipeline, rules
-from sparkwatch.plans.detection import run_detections
+from sparkwatch.plans.detection import run_detections, validate_rules
 from sparkwatch.session import scratch_path, written_table
 from sparkwatch.sinks.tables import read_alerts
 from sparkwatch.sources import files, tables
@@ -399,6 +399,37 @@ DETECTIONS_EVERY_RULE = " UNION ALL ".join(
 )
 
 
+#: Rules of every kind but signatures, with the hits that a validation asks for; the second asks for too many.
+VALIDATED = {
+    "detect_okta_bruteforce": 1,
+    "detect_windows_bruteforce": 1_000_000_000,
+    "detect_impossible_travel": 1,
+    "detect_user_behavior_anomaly": 0,
+    "detect_rare_process_execution": 1,
+    "detect_timeseries_anomaly": 0,
+    "detect_user_clustering": 1,
+}
+
+
+def rules_validated_every_kind(spark, sf):
+    """G-08: threshold, sequence, baseline, rarity, time series and clustering rules against their whole tables."""
+    tables_ = {"okta_auth": T.okta(spark, sf), "windows_auth": T.windows(spark, sf), "sysmon_process": T.process(spark, sf)}
+    chosen = [rules.with_params(rules.BY_NAME[n], **RUN_WITH.get(n, {})) for n in VALIDATED]
+    return validate_rules({r.name: (tables_[r.table], VALIDATED[r.name]) for r in chosen}, T.EVENTS_AS_OF, chosen)
+
+
+def _validated(name, expected):
+    query, where = {
+        "detect_impossible_travel": (D.TRAVEL, f"current_login_time <= '{T.EVENTS_AS_OF}.000000'"),
+        "detect_user_clustering": (D.CLUSTERING, "true"),
+    }.get(name) or (D.QUERIES[name][1], "true")
+    return f"""SELECT '{name}' AS rule, CAST({expected} AS BIGINT) AS expected, count(*) AS found, count(*) >= {expected} AS passed
+FROM ({query}) WHERE {where}"""
+
+
+RULES_VALIDATED_EVERY_KIND = " UNION ALL ".join(_validated(*x) for x in VALIDATED.items())
+
+
 def stream_expectations(spark, sf):
     """Expectation counts of a stream that ended after half of its input and was started again."""
     root = scratch_path(spark, "stream-expect")
@@ -470,6 +501,7 @@ QUERIES = {
     "bronze_growing_format": (bronze_growing, BRONZE_GROWING),
     "stream_bronze_silver_all": (stream_pipeline_all, STREAM_PIPELINE_ALL),
     "detections_all_rules": (detections_over_pipeline, DETECTIONS_OVER_PIPELINE),
+    "rules_validated_every_kind": (rules_validated_every_kind, RULES_VALIDATED_EVERY_KIND),
     "detections_every_rule": (detections_every_rule, DETECTIONS_EVERY_RULE),
     "stream_expectations": (stream_expectations, STREAM_EXPECTATIONS),
     "stream_alert_writer": (stream_alerts, STREAM_ALERTS),
