@@ -173,6 +173,19 @@ def test_baseline_scores(spark):
     assert got["var"]["today_d"] == 8 and got["var"]["today_last"] == datetime(2025, 11, 3, 1, 0, 7)
 
 
+def test_baseline_scores_at_a_threshold_do_not_depend_on_order(spark):
+    rng = random.Random(3)
+    rows = []
+    for user in range(200):  # mean 2, deviation 1
+        days = [1, 3] * 11 + [2]
+        rng.shuffle(days)
+        rows += [(user, datetime(2025, 11, 1) - timedelta(days=d), n) for d, n in enumerate(days)]
+        rows.append((user, datetime(2025, 11, 3, 1), 4))
+    df = spark.createDataFrame(rows, "user int, t timestamp, v int").repartition(7)
+    out = baseline.baseline_zscore(df, "user", "t", as_of=AS_OF, metrics={"n": F.sum("v")})
+    assert {(r["avg_n"], r["std_n"], r["z_n"]) for r in out.collect()} == {(2.0, 1.0, 2.0)}
+
+
 def test_rarity_steps_and_rank(spark):
     counts = {"a": 5, "b": 6, "c": 20, "d": 21, "e": 100, "f": 101, "g": 5}
     rows = [(p, minutes(i % 1000 + 1)) for p, n in counts.items() for i in range(n)]
