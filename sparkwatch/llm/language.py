@@ -12,7 +12,8 @@ under which each training token is likeliest when it is itself left out of the c
 The counts grow with the corpus and are never in one place. Texts are cut into batches. A batch sends
 its distinct n-grams once to buckets of n-grams (64-bit hashes, of which one bit tells single tokens), a
 bucket adds up the counts and answers every batch, and a batch builds the part of the automaton that its
-texts can reach.
+texts can reach. A bucket is a range of hashes, so a batch sends them sorted and as differences; all lists of
+numbers travel compressed.
 """
 
 from __future__ import annotations
@@ -41,15 +42,27 @@ STRENGTHS = tuple(4.0**k for k in range(10))
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Hashes that stand for the beginning and the end of a text.
 _BEGIN, _END = mix(np.array([0x6265, 0x656E], np.uint64))
-_BEGIN_KEY = int(np.array([_BEGIN | np.uint64(1)]).view(np.int64)[0])
+_BEGIN_KEY = _BEGIN | np.uint64(1)
 
-_BATCH = "batch long, n_tokens long, n_learned long, learns array<boolean>, lengths array<int>, tokens array<int>, hashes array<long>"
+_BATCH = "batch long, n_tokens long, n_learned long, learns array<boolean>, lengths binary, tokens binary, hashes binary"
 
 
 def _list_of(values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers as their count and compressed bytes: all lowest bytes first, all highest last."""
+    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+    return len(values).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, kind) -> np.ndarray:
+    n, size = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
+    planes = pa.decompress(data[8:], n * size, codec="zstd", asbytes=True)
+    return np.frombuffer(planes, np.uint8).reshape(size, n).T.copy().reshape(-1).view(kind)
+
+
 def token_batches(docs: DataFrame, learns: Column, carry: list[str] | None = None) -> DataFrame:
     """One row per batch: the rows, whether the model learns from them, and their tokens as places in
     the batch's list of distinct word hashes."""
@@ -65,15 +78,17 @@ def token_batches(docs: DataFrame, learns: Column, carry: list[str] | None = Non
         number = TaskContext.get().partitionId() << 32
         for batch in slices(batches, "text", BATCH_BYTES):
             words = Words(batch.column(1), byte_table(SPACES), lower_table())
-            hashes, place = np.unique(words.hashes(), return_inverse=True)
+            hashes, place, times = np.unique(words.hashes(), return_inverse=True, return_counts=True)
+            frequent = np.argsort(-times, kind="stable")  # the smaller the numbers, the fewer the bytes
+            rank = np.empty(len(hashes), np.int32)
+            rank[frequent] = np.arange(len(hashes))
             lengths = np.diff(words.first)
             learned = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
             yield pa.RecordBatch.from_arrays(
                 [
                     _list_of(batch.column(0)), pa.array([number]), pa.array([int(lengths.sum()) + len(lengths)]),
                     pa.array([int((lengths[learned] + 1).sum())]), _list_of(batch.column(2)),
-                    _list_of(pa.array(lengths, pa.int32())), _list_of(pa.array(place, pa.int32())),
-                    _list_of(pa.array(hashes.view(np.int64))),
+                    *[pa.array([packed(x)], pa.binary()) for x in (lengths.astype(np.int32), rank[place], hashes[frequent])],
                 ],
                 names=schema.names,
             )
@@ -122,25 +137,28 @@ class Grams:
         ]
 
     def dealt(self, n_buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """All keys, the order in which buckets get them, and their buckets in that order."""
+        """All keys, the order in which buckets get them, and their buckets in that order.
+
+        Both orders are that of the keys: a bucket is one of ``n_buckets`` equal ranges.
+        """
         keys = np.concatenate(self.keys)
-        bucket = ((keys >> np.uint64(1)) % np.uint64(n_buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        return keys, order, bucket[order]
+        order = np.argsort(keys, kind="stable")
+        bucket = ((keys[order] >> np.uint64(32)) * np.uint64(n_buckets)) >> np.uint64(32)
+        return keys, order, bucket.astype(np.int64)
 
 
 def _grams(row: dict, order: int) -> tuple[Grams, np.ndarray]:
     """The runs of a row of ``token_batches``, and which of its texts the model learns from."""
-    one = lambda name: row[name].flatten().to_numpy(zero_copy_only=False)
-    grams = Grams(one("tokens"), one("lengths"), one("hashes").view(np.uint64), order)
-    return grams, one("learns").astype(bool)
+    one = lambda name, kind: unpacked(row[name][0].as_py(), kind)
+    grams = Grams(one("tokens", np.int32), one("lengths", np.int32), one("hashes", np.uint64), order)
+    return grams, row["learns"].flatten().to_numpy(zero_copy_only=False).astype(bool)
 
 
 _SENT = ["tokens", "lengths", "hashes", "learns"]
 
 
 def sent_grams(batches: DataFrame, order: int, n_buckets: int) -> DataFrame:
-    """(batch, bucket, keys, counts): what each batch asks of each bucket and adds to it."""
+    """(batch, bucket, keys, counts): what each batch asks of each bucket and adds to it; keys as differences."""
 
     def run(parts):
         for part in parts:
@@ -148,36 +166,38 @@ def sent_grams(batches: DataFrame, order: int, n_buckets: int) -> DataFrame:
                 row = {c: part.column(part.schema.get_field_index(c)).slice(i, 1) for c in _SENT}
                 grams, learned = _grams(row, order)
                 keys, order_, bucket = grams.dealt(n_buckets)
-                counts = np.concatenate(grams.counts(learned))[order_]
+                counts = np.concatenate(grams.counts(learned))[order_].astype(np.int32)
                 starts = np.flatnonzero(np.diff(bucket, prepend=-1))
-                ends = pa.array(np.append(starts, len(keys)), pa.int32())
+                keys = keys[order_]
+                apart = np.diff(keys, prepend=np.uint64(0))
+                apart[starts] = keys[starts]
+                ends = [*starts[1:], len(keys)]
+                cut = lambda x: pa.array([packed(x[a:b]) for a, b in zip(starts, ends, strict=True)], pa.binary())  # noqa: E731, B023
                 batch = part.column(part.schema.get_field_index("batch"))[i].as_py()
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(starts), batch)), pa.array(bucket[starts], pa.int64()),
-                        pa.ListArray.from_arrays(ends, pa.array(keys[order_].view(np.int64))),
-                        pa.ListArray.from_arrays(ends, pa.array(counts, pa.int32())),
+                        cut(apart), cut(counts),
                     ],
                     names=["batch", "bucket", "keys", "counts"],
                 )
 
-    return batches.select("batch", *_SENT).mapInArrow(run, "batch long, bucket long, keys array<long>, counts array<int>")
+    return batches.select("batch", *_SENT).mapInArrow(run, "batch long, bucket long, keys binary, counts binary")
 
 
 def _totals(sent: pa.Table) -> pa.Table:
     """The whole counts of a bucket's keys, for each batch that asks; ``words`` is the vocabulary in it."""
-    lists = sent["keys"].combine_chunks()
-    keys = lists.flatten().to_numpy()
-    counts = sent["counts"].combine_chunks().flatten().to_numpy()
-    distinct, place = np.unique(keys, return_inverse=True)
+    lists = [np.cumsum(unpacked(x.as_py(), np.uint64), dtype=np.uint64) for x in sent["keys"]]
+    counts = np.concatenate([unpacked(x.as_py(), np.int32) for x in sent["counts"]])
+    ends = np.cumsum([len(x) for x in lists])
+    distinct, place = np.unique(np.concatenate(lists), return_inverse=True)
     total = np.zeros(len(distinct), np.int64)
     np.add.at(total, place, counts)
     words = np.zeros(len(lists), np.int64)
-    words[0] = np.count_nonzero((distinct & 1 == 1) & (total > 0) & (distinct != _BEGIN_KEY))
-    ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
+    words[0] = np.count_nonzero((distinct & np.uint64(1) == 1) & (total > 0) & (distinct != _BEGIN_KEY))
     return pa.table({
         "asker": sent["batch"], "bucket": sent["bucket"],
-        "totals": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(total[place])),
+        "totals": pa.array([packed(x) for x in np.split(total[place], ends[:-1])], pa.binary()),
         "words": pa.array(words),
     })
 
@@ -295,7 +315,7 @@ def _scored(held: pa.Table, answers: pa.Table, order: int, n_buckets: int, n: in
     keys, dealt, _ = grams.dealt(n_buckets)
     answers = answers.sort_by("bucket")
     whole = np.empty(len(keys), np.int64)
-    whole[dealt] = answers["totals"].combine_chunks().flatten().to_numpy()
+    whole[dealt] = np.concatenate([unpacked(x.as_py(), np.int64) for x in answers["totals"]])
     counts = np.split(whole, np.cumsum([len(k) for k in grams.keys])[:-1])
     automaton = Automaton(grams, counts, n, v, strengths)
     begin, count_from, stop, text = places(grams)
@@ -337,7 +357,7 @@ def score_language(
     n = sums.learned or 0
     n_buckets = max(1, math.ceil(order * (sums.tokens or 0) * 12 / BUCKET_BYTES))
     sent = sent_grams(held, order, n_buckets).repartition(n_buckets, "bucket")
-    answers = sent.groupBy("bucket").applyInArrow(_totals, "asker long, bucket long, totals array<long>, words long")
+    answers = sent.groupBy("bucket").applyInArrow(_totals, "asker long, bucket long, totals binary, words long")
     answers = written_table(answers, "totals")
     v = answers.agg(F.sum("words")).first()[0] or 0
     out = StructType([StructField("row", held.schema["rows"].dataType.elementType), *StructType.fromDDL(_SCORED).fields])

@@ -95,6 +95,20 @@ def test_small_batches_and_places(spark, monkeypatch):
     check(spark.createDataFrame(rows, SCHEMA).repartition(5), rows, 3, LAW)
 
 
+def test_numbers_travel_packed(spark):
+    rng = np.random.default_rng(4)
+    keys = np.sort(rng.integers(0, 2**64, 50_000, np.uint64))
+    for x in (keys, np.diff(keys), np.arange(70_000, dtype=np.int32)[::-1].copy(), np.zeros(0, np.int64), np.array([-1, 2**62])):
+        assert (language.unpacked(language.packed(x), x.dtype) == x).all()
+    rows = [(i, " ".join(f"w{n}" for n in rng.zipf(1.3, 3000) % 5000), "", i % 2 == 0) for i in range(40)]
+    batches = language.token_batches(spark.createDataFrame(rows, SCHEMA).coalesce(1), F.col("learns")).localCheckpoint()
+    sent = language.sent_grams(batches, 2, 3).agg(F.sum(F.length("keys") + F.length("counts")), F.min("bucket"), F.max("bucket")).first()
+    [held] = batches.select(F.length("tokens"), "n_tokens").collect()
+    n_grams = len({p for _, t, *_ in rows for p in [*pairwise(["<s>", *tokens(t)]), *tokens(t)]})
+    assert sent[0] < 7.5 * n_grams and sent[1:] == (0, 2)  # 12 bytes each before
+    assert held[0] < 2 * held.n_tokens  # 4 bytes each before
+
+
 def test_without_training_and_without_rows(spark):
     df = spark.createDataFrame([(1, "a b", "x", False), (2, None, "x", None)], SCHEMA)
     got = score_language(df, F.col("learns")).orderBy("row.doc_id").collect()
