@@ -6,7 +6,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sparkwatch.llm.quality import features, fit_ranking, fold, labelled_sample, labelled_texts, learn_quality, score_quality
+from sparkwatch.llm.quality import (
+    clean_labels, features, fit_ranking, fold, labelled_sample, labelled_texts, learn_quality, match_groups, quantile_between,
+    score_quality,
+)
 from sparkwatch.llm.queries import QUERIES
 from sparkwatch.llm.toxicity import learn_toxicity, score_toxicity, sentences
 
@@ -39,6 +42,45 @@ def test_pairs_order_and_quantile_split():
     assert wins > 0.93 and abs((model.score(x) < 0.5).mean() - (label == 0).mean()) < 0.03
 
 
+def test_all_labelled_documents_learn(spark):
+    """Good texts have capitals, bad ones digits, but for a share of each; the fit of all rows in one group is the measure."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(900):
+        kind = (i % 3 > 0) if rng.random() < 0.9 else rng.random() < 0.5
+        word = (lambda: rng.choice("ABC") + "word") if kind else (lambda: f"w{rng.randrange(90)}")
+        rows.append((i, " ".join(word() if rng.random() < 0.2 else "text" for _ in range(30)), int(i % 3 > 0)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int").repartition(5)
+    labels = df.select("doc_id", "quality")
+    table = df.orderBy("doc_id").toArrow()
+    x = features(table["text"])
+    whole = fit_ranking(x, table["quality"].to_numpy(), 1 / 3)
+    one = learn_quality(df, labels, most=900)
+    assert np.corrcoef(one.strength(x), whole.strength(x))[0, 1] > 0.99 and np.abs(one.score(x) - whole.score(x)).mean() < 0.05
+    many = learn_quality(df, labels, most=20)
+    scored = score_quality(df, many).collect()
+    assert abs(np.mean([r.score < 0.5 for r in scored]) - 1 / 3) < 9 / 900  # the threshold is that of all rows
+    groups = match_groups(df, clean_labels(labels, "quality"), 23).collect()
+    assert sum(len(g.labels) for g in groups) == 900 and 15 < len(groups) <= 23
+
+
+def test_threshold_is_the_exact_quantile(spark):
+    rng = random.Random(6)
+    values = [(int(i % 4 > 0), rng.choice([rng.gauss(0, 1), 0.5, 1e6])) for i in range(4000)]
+    df = spark.createDataFrame(values, "label int, strength double").repartition(3)
+    bad, good = 1000, 3000
+    for share in (0.1, 0.25, 0.6):
+        order = sorted((v, (1 - share) / good if k else share / bad) for k, v in values)
+        below, at = 0.0, 0
+        while below < share - 1e-12:
+            below, at = below + order[at][1], at + 1
+        last = order[at - 1][0]
+        after = min((v for v, _ in order if v > last), default=last)
+        assert quantile_between(df, share, good, bad) == (last + after) / 2
+    same = df.select("label", F.lit(0.0).alias("strength"))
+    assert quantile_between(same, 0.25, good, bad) == 0
+
+
 ROWS = [(1, None, 1), (2, "", 1), (3, " \n.", 1), (4, "Plain words here. You moron!", 1), (4, "Plain words here. You moron!", 1), (None, "x", None), (5, "word " * 50_000, 2)]
 SCHEMA = "doc_id long, text string, predicted int"
 
