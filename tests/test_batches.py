@@ -76,3 +76,18 @@ def test_a_hot_day_is_written_by_several_tasks(spark, root):
     assert len(hot.inputFiles()) > 2 and hot.count() > 0.85 * t.read(spark).count()
     plan = hot._jdf.queryExecution().executedPlan().toString()
     assert "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_a_batch_without_rules_is_computed_once(spark, root):
+    seen = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    table = NumberedTable(f"{root}/plain", schemas.flat("id long"))
+    table.write(spark.range(70).mapInArrow(run, "id long"), 0)
+    table.write(spark.range(0).mapInArrow(run, "id long"), 1)
+    assert seen.value == 70 and table.read(spark).count() == 70
+    assert [tuple(r) for r in table.counts(spark).collect()] == [("total_rows", 70)]

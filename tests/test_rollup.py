@@ -112,3 +112,18 @@ def test_events_of_whole_days_are_not_read(spark, root):
     # The days around the beginning and the end of the history, and today's.
     for day in ("2025-01-24", "2025-01-27", "2025-02-06", "2025-02-08", "2025-02-07"):
         assert day in filters, filters
+
+
+def test_micro_batches_are_written_by_many_tasks(spark, root, monkeypatch):
+    from suite import streams
+    from suite import telemetry as T
+
+    monkeypatch.setattr(streams, "scratch_path", lambda spark, name: f"{root}/{name}")
+    run = streams._rolled(
+        "detect_user_behavior_anomaly", lambda spark, sf: T.okta(spark, sf).repartition(6), T.EVENTS_AS_OF, streams.BEHAVIOR_ROLLUP
+    )
+    run(spark, "/root/testdata/sf0.001").collect()
+    days = streams.DailyRollup(f"{root}/rolled/days", **streams.BEHAVIOR_ROLLUP)
+    assert {r.batch_id for r in days.table.numbered(spark).select("batch_id").distinct().collect()} == {0, 1, 2}
+    files = spark.read.parquet(f"{root}/rolled/silver").select("_metadata.file_path").distinct().count()
+    assert files > 6  # 3 before, one for each micro-batch
