@@ -17,3 +17,11 @@ def test_rows_of_a_file_are_bounded(spark, root):
     streams.delivered(spark.range(450_000).coalesce(1), f"{root}/raw")
     assert spark.read.json(f"{root}/raw").count() == 450_000
     assert len(glob(f"{root.removeprefix('file://')}/raw/part-*.json.gz")) == 3
+
+
+def test_raw_files_of_all_sources_are_compressed(spark):
+    streams.written_pipeline(spark, "/root/testdata/sf0.001")
+    base = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    for name in ("okta", "windows", "cloudtrail", "sysmon"):
+        files = glob(f"{base}/sparkwatch/stream-all-*/{name}/part-*")
+        assert files and all(f.endswith(".json.gz") for f in files)
