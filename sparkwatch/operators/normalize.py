@@ -125,10 +125,14 @@ def normalize_sysmon_raw(df: DataFrame, text: str = "value") -> DataFrame:
     One pass: XML gives the JSON of its named values and a JSON record is its own, so both are
     read into the same columns. Records that are not readable are left out; ``unparsed`` returns them.
     """
+    return _sysmon(df, text, otherwise=F.col("value"))
+
+
+def _sysmon(df: DataFrame, text: str, otherwise: Column | None = None) -> DataFrame:
     value = F.col("value")
     names = [f.name for f in schemas.SYSMON.fields]
     parsed = _once(df.select(F.col(text).alias("value")), event=_event(F.when(value.startswith("<Event"), value)))
-    rows = _with_data(parsed, names, otherwise=value).where(_is_json(F.col("data")))
+    rows = _with_data(parsed, names, otherwise).where(_is_json(F.col("data")))
     system = {
         "EventID": F.col("event.System.EventID"),
         "EventTime": F.col("event.System.TimeCreated._SystemTime"),
@@ -147,8 +151,13 @@ _WINDOWS_DATA = (
 
 
 def normalize_windows_raw(df: DataFrame, text: str = "value") -> DataFrame:
-    """NRM-02: Windows event XML to the canonical table, with status and workstation."""
-    good = _once(df.where(F.col(text).startswith("<Event")), event=_event(F.col(text)))
+    """NRM-02: Windows event XML to the canonical table, with status and workstation.
+
+    Other records are left out after parsing: a filter on the text would be pushed below the
+    projection that makes it, and make it twice.
+    """
+    value = F.col(text)
+    good = _once(df, event=_event(F.when(value.startswith("<Event"), value)))
     parsed = _with_data(good.where(_is_event(F.col("event"))), _WINDOWS_DATA)
     data = lambda name: F.col("data")[name]
     system = lambda name: F.col(f"event.System.{name}")
@@ -234,7 +243,7 @@ def _converted(df: DataFrame, columns: str, source: str, fmt: str) -> DataFrame:
 def convert_sysmon_xml(df: DataFrame, text: str = "value") -> DataFrame:
     """NRM-05: the shorter table of the one-off XML conversion."""
     extra = F.from_json("RawEventData", "IntegrityLevel string, LogonId string")
-    rows = normalize_sysmon_raw(df.where(F.col(text).startswith("<Event")), text)
+    rows = _sysmon(df, text)
     return _converted(
         rows.withColumn("_x", extra).withColumns(
             {"IntegrityLevel": F.col("_x.IntegrityLevel"), "LogonId": F.col("_x.LogonId")}

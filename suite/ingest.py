@@ -35,9 +35,16 @@ def data(**fields):
     return F.concat_ws("\n    ", *parts)
 
 
+def spread_events(spark, sf):
+    """``events`` dealt evenly over tasks: parsing a row as XML takes far longer than reading it, and
+    a small file or a few row groups would be parsed by few tasks."""
+    rows = files.spread(T.load(spark, sf, "events"), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return T.with_k(rows)
+
+
 def sysmon_xml(spark, sf):
     """``events`` as host event XML with prolog; every fifth has an attribute on EventID."""
-    e = T.with_k(T.load(spark, sf, "events"))
+    e = spread_events(spark, sf)
     k, uid = F.col("k"), F.col("user_id")
     fields = data(
         RuleName=F.lit(""), User=text("CORP\\user", uid), ProcessId=F.col("event_id") % 5000,
@@ -115,7 +122,7 @@ SYSMON_TO_SILVER = sql(
 
 
 def windows_xml(spark, sf):
-    e = T.with_k(T.load(spark, sf, "events"))
+    e = spread_events(spark, sf)
     k, uid = F.col("k"), F.col("user_id")
     fields = data(
         SubjectUserName=F.when(k % 2 == 0, text("svc", k)).otherwise(F.lit("")),
