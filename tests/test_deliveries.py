@@ -25,3 +25,10 @@ def test_raw_files_of_all_sources_are_compressed(spark):
     for name in ("okta", "windows", "cloudtrail", "sysmon"):
         files = glob(f"{base}/sparkwatch/stream-all-*/{name}/part-*")
         assert files and all(f.endswith(".json.gz") for f in files)
+
+
+def test_event_xml_is_compressed(spark):
+    streams.stream_normalize(spark, "/root/testdata/sf0.001")
+    base = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    files = glob(f"{base}/sparkwatch/stream-xml-*/in/part-*")
+    assert files and all(f.endswith(".txt.gz") for f in files)
